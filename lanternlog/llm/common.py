@@ -50,3 +50,8 @@ def whole_text(name: str = "text") -> Column:
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
+
+
+def let(value: Column, body) -> Column:
+    """``body(value)`` with ``value`` computed once a row, even where ``body`` uses it inside a lambda."""
+    return F.get(F.transform(F.array(value), body), F.lit(0))
