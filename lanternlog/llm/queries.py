@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from . import chunk_dedup, decontaminate, pii
+from . import chunk_dedup, decontaminate, packing, pii, token_shards
 from .common import table
 
 
@@ -12,6 +12,11 @@ def op1_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:
     return decontaminate.find_leaks(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
 
 
+def op2_best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    packed = packing.packed_documents(table(spark, sf_dir, "documents"))
+    return packed.select("doc_id", "piece", "start", "length", "ids_crc32", "sequence_id", "offset", "certified", "round")
+
+
 def op4_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
     return pii.span_digest(table(spark, sf_dir, "documents"))
 
@@ -20,4 +25,8 @@ def op6_chunk_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return chunk_dedup.exact_groups(table(spark, sf_dir, "documents"))
 
 
-QUERIES = {f.__name__: f for f in (op1_decontaminate, op4_pii, op6_chunk_dedup)}
+def op9_token_shards(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return token_shards.write_shards(table(spark, sf_dir, "documents"), token_shards.shard_folder(spark), seed=20240131)
+
+
+QUERIES = {f.__name__: f for f in (op1_decontaminate, op2_best_fit_packing, op4_pii, op6_chunk_dedup, op9_token_shards)}
