@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from . import chunk_dedup, decontaminate, packing, pii, token_shards
+from . import chunk_dedup, decontaminate, jaccard_join, packing, pii, token_shards
 from .common import table
 
 
@@ -29,4 +29,8 @@ def op9_token_shards(spark: SparkSession, sf_dir: str) -> DataFrame:
     return token_shards.write_shards(table(spark, sf_dir, "documents"), token_shards.shard_folder(spark), seed=20240131)
 
 
-QUERIES = {f.__name__: f for f in (op1_decontaminate, op2_best_fit_packing, op4_pii, op6_chunk_dedup, op9_token_shards)}
+def op10_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return jaccard_join.similarity_groups(table(spark, sf_dir, "documents"), k=3, percent=90, steps=3)
+
+
+QUERIES = {f.__name__: f for f in (op1_decontaminate, op2_best_fit_packing, op4_pii, op6_chunk_dedup, op9_token_shards, op10_jaccard_join)}
