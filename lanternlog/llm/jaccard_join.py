@@ -9,10 +9,12 @@ both sets prove nothing, so a set with more than g of them (rare by the choice o
 the shingles of its prefix: two such sets of similarity t share one of those. A set emits
 signatures for its own band and, if it can be similar to a member of it, for the next.
 
-Sets that share a signature form a bucket; each candidate is verified on the whole texts. Only
-connected groups are asked for, so buckets are not expanded into all pairs: members are compared
-with the bucket's pivot first, then buckets that are one group are done. The rest take further
-pivots until the pairs between different groups that are left are few, and those are all verified.
+Sets that share a signature form a bucket. A candidate pair is first held against parity sketches
+(every shingle flips one bit, so sets never differ in fewer shingles than their sketches in bits),
+and what that can't rule out is verified on the whole texts. Only connected groups are asked for,
+so buckets are not expanded into all pairs: members are compared with the bucket's pivot first,
+then buckets that are one group are done. The rest take further pivots, ``PIVOTS`` a round, until
+the pairs between different groups that are left are few, and those are all verified.
 Copies of a set are one class from the start.
 """
 
@@ -26,12 +28,15 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import Window
 
 from .common import checked_broadcast, drop_ids, materialize
 
 U = np.uint64
 #: Cross-group pairs per bucket member up to which all that are left are verified at once.
-PAIRS_PER_MEMBER = 4
+PAIRS_PER_MEMBER = 16
+PIVOTS = 16
+SKETCH_BITS = 1024
 
 
 def mix(x: np.ndarray) -> np.ndarray:
@@ -58,6 +63,12 @@ def shingles(text: str | None, k: int) -> np.ndarray:
     return np.unique(s)
 
 
+def sketch(s: np.ndarray) -> bytes:
+    """Parity of the shingles that fall on each of ``SKETCH_BITS`` bits."""
+    bits = np.bincount((mix(s ^ U(0x1D8E4E27C47D124F)) & U(SKETCH_BITS - 1)).astype(np.int64), minlength=SKETCH_BITS) & 1
+    return np.packbits(bits.astype(np.uint8)).tobytes()
+
+
 class Bands:
     """Size bands for a similarity of ``percent``, and the plan of each."""
 
@@ -124,31 +135,51 @@ def signatures(s: np.ndarray, bands: Bands) -> np.ndarray:
 
 
 def shingle_sets(docs: DataFrame, k: int, percent: int, steps: int) -> DataFrame:
-    """(doc_id, n_shingles, digest of the set, signatures), one row for each row of docs."""
+    """(doc_id, n_shingles, digest of the set, sketch, signatures), one row for each row of docs."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         bands = Bands(percent, steps)
         for b in batches:
-            n, digest, sigs = [], [], []
+            n, digest, sketches, sigs = [], [], [], []
             for text in b.column(1).to_pylist():
                 s = shingles(text, k)
                 n.append(len(s))
                 with np.errstate(over="ignore"):
                     digest.append(b"".join(int(mix(s + U(c)).sum()).to_bytes(8, "little") for c in (1, 2)) if len(s) else None)
+                sketches.append(sketch(s))
                 sigs.append(signatures(s, bands))
             sizes = np.cumsum([0, *map(len, sigs)]).astype(np.int32)
             lists = pa.ListArray.from_arrays(pa.array(sizes), pa.array(np.concatenate([np.empty(0, np.int64), *sigs])))
             yield pa.RecordBatch.from_arrays(
-                [b.column(0), pa.array(n, pa.int64()), pa.array(digest, pa.binary()), lists], ["doc_id", "n_shingles", "digest", "sigs"]
+                [b.column(0), pa.array(n, pa.int64()), pa.array(digest, pa.binary()), pa.array(sketches, pa.binary()), lists],
+                ["doc_id", "n_shingles", "digest", "sketch", "sigs"],
             )
 
     return docs.select(F.col("doc_id").cast("long"), F.col("text").cast("string")).mapInArrow(
-        run, "doc_id long, n_shingles long, digest binary, sigs array<long>"
+        run, "doc_id long, n_shingles long, digest binary, sketch binary, sigs array<long>"
+    )
+
+
+def possible(pairs: DataFrame, reps: DataFrame, percent: int) -> DataFrame:
+    """The pairs (a, b) that sizes and sketches don't rule out; exact, as a sketch never overstates a difference."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            n, m = batch.column("na").to_numpy(), batch.column("nb").to_numpy()
+            x, y = (np.frombuffer(b"".join(batch.column(c).to_pylist()), np.uint64).reshape(len(batch), -1) for c in ("sa", "sb"))
+            apart = np.bitwise_count(x ^ y).sum(1, dtype=np.int64)
+            keep = (100 * np.minimum(n, m) >= percent * np.maximum(n, m)) & (apart * (100 + percent) <= (100 - percent) * (n + m))
+            yield batch.select(["a", "b"]).filter(pa.array(keep))
+
+    sided = pairs.join(reps.select(F.col("doc_id").alias("a"), F.col("n_shingles").alias("na"), F.col("sketch").alias("sa")), "a").join(
+        reps.select(F.col("doc_id").alias("b"), F.col("n_shingles").alias("nb"), F.col("sketch").alias("sb")), "b"
     )
+    return sided.select("a", "b", "na", "nb", "sa", "sb").mapInArrow(run, "a long, b long").distinct()
 
 
-def verified(pairs: DataFrame, docs: DataFrame, k: int, percent: int) -> DataFrame:
+def verified(pairs: DataFrame, reps: DataFrame, docs: DataFrame, k: int, percent: int) -> DataFrame:
     """The pairs (a, b) whose whole texts have the asked similarity, materialized."""
+    pairs = materialize(possible(pairs, reps, percent), "possible")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         kept: dict[int, np.ndarray] = {}
@@ -200,30 +231,37 @@ def groups_of(reps: DataFrame, docs: DataFrame, k: int, percent: int) -> DataFra
     members = materialize(sigs.join(shared, "sig").select("sig", "rep"), "members")
     pivots = members.groupBy("sig").agg(F.min("rep").alias("pivot"))
     pairs = members.join(pivots, "sig").where("rep != pivot").select(F.col("pivot").alias("a"), F.col("rep").alias("b")).distinct()
-    links = verified(materialize(pairs, "pairs"), docs, k, percent)
+    links = verified(pairs, reps, docs, k, percent)
     open_ = members.join(pivots, "sig")  # with the last pivot: pairs of smaller representatives are settled
     while True:
         labels = components(links)
         open_ = open_.select("sig", "rep", "pivot").join(labels, open_["rep"] == labels["node"], "left").select("sig", "rep", "pivot", F.coalesce("label", "rep").alias("label"))
         parts = open_.groupBy("sig", "label").agg(F.count("*").alias("n"))
         whole = parts.groupBy("sig").agg(F.count("*").alias("parts"), F.sum("n").alias("n"), F.max(F.struct("n", "label")).alias("main")).where("parts > 1")
-        whole = whole.select("sig", "n", F.col("main.n").alias("main_n"), F.col("main.label").alias("main"))
-        open_ = materialize(open_.join(whole, "sig"), "open")
+        open_ = materialize(open_.join(whole.select("sig", "n", F.col("main.label").alias("main")), "sig"), "open")
         size = open_.agg(F.count("*"), F.sum(F.when(F.col("label") != F.col("main"), F.col("n")))).first()
         if not size[0]:
             return labels
+        other = open_.select("sig", F.col("rep").alias("rep2"), F.col("label").alias("label2"))
         if size[1] <= max(100_000, PAIRS_PER_MEMBER * size[0]):
-            other = open_.select("sig", F.col("rep").alias("rep2"), F.col("label").alias("label2"))
-            minority = open_.where("label != main").select("sig", "rep", "label")
-            pairs = minority.join(other, "sig").where("label != label2")
-            pairs = pairs.select(F.least("rep", "rep2").alias("a"), F.greatest("rep", "rep2").alias("b")).distinct()
-            return components(links.union(verified(materialize(pairs, "pairs"), docs, k, percent)))
-        following = open_.where("rep > pivot").groupBy("sig").agg(F.min("rep").alias("next"))
-        ends = following.join(open_.select("sig", F.col("rep").alias("next"), F.col("label").alias("next_label")), ["sig", "next"])
-        turn = open_.join(ends, "sig")
-        pairs = turn.where("rep > next and label != next_label").select(F.col("next").alias("a"), F.col("rep").alias("b")).distinct()
-        links = materialize(links.union(verified(materialize(pairs, "pairs"), docs, k, percent)), "links")
-        open_ = turn.select("sig", "rep", F.col("next").alias("pivot"))
+            ahead, last = open_.where("label != main"), True
+        else:
+            # The next pivots of each bucket, merged from the smallest of each task.
+            least = smallest(open_.where("rep > pivot"), PIVOTS)
+            ahead, last = open_.join(least, ["sig", "rep"], "left_semi"), False
+        pairs = ahead.select("sig", "rep", "label").join(other, "sig").where("label != label2")
+        pairs = pairs.select(F.least("rep", "rep2").alias("a"), F.greatest("rep", "rep2").alias("b")).distinct()
+        links = materialize(links.union(verified(pairs, reps, docs, k, percent)), "links")
+        if last:
+            return components(links)
+        done = least.groupBy("sig").agg(F.max("rep").alias("pivot"))
+        open_ = open_.drop("pivot").join(done, "sig")
+
+
+def smallest(rows: DataFrame, n: int) -> DataFrame:
+    """(sig, rep): the ``n`` smallest representatives of each bucket; ranks are cut before the shuffle."""
+    order = Window.partitionBy("sig").orderBy("rep")
+    return rows.select("sig", "rep", F.row_number().over(order).alias("rank")).where(F.col("rank") <= n).select("sig", "rep")
 
 
 def similarity_groups(docs: DataFrame, k: int = 5, percent: int = 80, steps: int = 2) -> DataFrame:
