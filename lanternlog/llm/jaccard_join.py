@@ -9,6 +9,11 @@ both sets prove nothing, so a set with more than g of them (rare by the choice o
 the shingles of its prefix: two such sets of similarity t share one of those. A set emits
 signatures for its own band and, if it can be similar to a member of it, for the next.
 
+Allocation also looks at the lists: similar sets agree on more than g segments, so a set whose
+signatures with long lists (over ``LONG`` sets), together with its empty segments, are at most g
+leaves those lists; only sets with more of them, such as members of large groups of near copies,
+stay there. A passage that many documents share thus makes no long lists of unlike documents.
+
 Sets that share a signature form a bucket. A candidate pair is first held against parity sketches
 (every shingle flips one bit, so sets never differ in fewer shingles than their sketches in bits),
 and what that can't rule out is verified on the whole texts. Only connected groups are asked for,
@@ -37,6 +42,8 @@ U = np.uint64
 PAIRS_PER_MEMBER = 16
 PIVOTS = 16
 SKETCH_BITS = 1024
+#: Sets in a list from which on it is left by those that can do without.
+LONG = 24
 
 
 def mix(x: np.ndarray) -> np.ndarray:
@@ -101,19 +108,22 @@ class Bands:
                 mean = size / m
                 weak = 0.0 if m == 1 and size > deletions else math.exp(-mean) * (1 + mean * deletions)
                 expected = m * weak
-                # Normal tail for the chance of more than g weak segments; such a set pays its prefix too.
-                sparse = 0.0 if expected == 0 else 0.5 * math.erfc((g + 0.5 - expected) / math.sqrt(2 * max(expected, 1e-9)))
-                cost = m * (1 - weak) + high * deletions + sparse * (high * (100 - t) / 100 + 1) * 4
+                # Normal tail for the chance of too few spare segments for the weak ones and a tenth of long lists.
+                sparse = 0.0 if need == 1 else 0.5 * math.erfc((g + 0.5 - expected - need / 10) / math.sqrt(2 * max(expected, 0.2)))
+                cost = m * (1 - weak) + high * deletions + sparse * (high * (100 - t) / 100 + 1) * 8
                 if best is None or cost < best[0]:
                     best = (cost, m, g, deletions)
         return best[1:]
 
 
-def signatures(s: np.ndarray, bands: Bands) -> np.ndarray:
-    """Signatures of a set; two sets of the asked similarity share one at least."""
-    n, out, sparse = len(s), [], False
+def signatures(s: np.ndarray, bands: Bands) -> tuple[np.ndarray, int]:
+    """Signatures of a set, and how many of them it can do without (-1: it is sparse and needs all).
+
+    Two sets of the asked similarity share one at least, also after both left that many.
+    """
+    n, out, slack = len(s), [], 1 << 30
     if not n:
-        return np.empty(0, np.int64)
+        return np.empty(0, np.int64), 0
     value = mix(s ^ U(0xA0761D6478BD642F))
     for band in bands.bands_of(n):
         m, g, deletions = bands.plan(band)
@@ -127,11 +137,11 @@ def signatures(s: np.ndarray, bands: Bands) -> np.ndarray:
             if deletions:
                 of = np.repeat(np.arange(len(starts)), counts)
                 out.append(mix(salt[of] + sums[of] - value + (counts[of] - 1).astype(U)))
-        sparse |= m - int((counts > deletions).sum()) > g
-    if sparse:
+        slack = min(slack, g - (m - int((counts > deletions).sum())))
+    if slack < 0:
         prefix = n - -(-bands.percent * n // 100) + 1
         out.append(mix(s[:prefix] ^ U(0x589965CC75374CC3)))
-    return np.unique(np.concatenate(out)).view(np.int64)
+    return np.unique(np.concatenate(out)).view(np.int64), max(slack, -1)
 
 
 def shingle_sets(docs: DataFrame, k: int, percent: int, steps: int) -> DataFrame:
@@ -140,23 +150,25 @@ def shingle_sets(docs: DataFrame, k: int, percent: int, steps: int) -> DataFrame
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         bands = Bands(percent, steps)
         for b in batches:
-            n, digest, sketches, sigs = [], [], [], []
+            n, digest, sketches, slacks, sigs = [], [], [], [], []
             for text in b.column(1).to_pylist():
                 s = shingles(text, k)
                 n.append(len(s))
                 with np.errstate(over="ignore"):
                     digest.append(b"".join(int(mix(s + U(c)).sum()).to_bytes(8, "little") for c in (1, 2)) if len(s) else None)
                 sketches.append(sketch(s))
-                sigs.append(signatures(s, bands))
+                found, slack = signatures(s, bands)
+                sigs.append(found)
+                slacks.append(slack)
             sizes = np.cumsum([0, *map(len, sigs)]).astype(np.int32)
             lists = pa.ListArray.from_arrays(pa.array(sizes), pa.array(np.concatenate([np.empty(0, np.int64), *sigs])))
             yield pa.RecordBatch.from_arrays(
-                [b.column(0), pa.array(n, pa.int64()), pa.array(digest, pa.binary()), pa.array(sketches, pa.binary()), lists],
-                ["doc_id", "n_shingles", "digest", "sketch", "sigs"],
+                [b.column(0), pa.array(n, pa.int64()), pa.array(digest, pa.binary()), pa.array(sketches, pa.binary()), pa.array(slacks, pa.int32()), lists],
+                ["doc_id", "n_shingles", "digest", "sketch", "slack", "sigs"],
             )
 
     return docs.select(F.col("doc_id").cast("long"), F.col("text").cast("string")).mapInArrow(
-        run, "doc_id long, n_shingles long, digest binary, sketch binary, sigs array<long>"
+        run, "doc_id long, n_shingles long, digest binary, sketch binary, slack int, sigs array<long>"
     )
 
 
@@ -227,8 +239,12 @@ def components(links: DataFrame) -> DataFrame:
 def groups_of(reps: DataFrame, docs: DataFrame, k: int, percent: int) -> DataFrame:
     """(node, label) of the set representatives that have a link, from their signatures."""
     sigs = reps.select(F.col("doc_id").alias("rep"), F.explode("sigs").alias("sig"))
-    shared = sigs.groupBy("sig").count().where("count > 1").select("sig")
-    members = materialize(sigs.join(shared, "sig").select("sig", "rep"), "members")
+    shared = sigs.groupBy("sig").count().where("count > 1").select("sig", (F.col("count") > LONG).alias("long"))
+    listed = materialize(sigs.join(shared, "sig").select("sig", "rep", "long"), "listed")
+    in_long = listed.where("long").groupBy("rep").agg(F.count("*").alias("n_long"))
+    needing = reps.select(F.col("doc_id").alias("rep"), "slack").join(in_long, "rep").where("n_long > slack").select("rep")
+    members = listed.where("not long").unionByName(listed.where("long").join(needing, "rep", "left_semi").select("sig", "rep", "long"))
+    members = materialize(members.select("sig", "rep"), "members")
     pivots = members.groupBy("sig").agg(F.min("rep").alias("pivot"))
     pairs = members.join(pivots, "sig").where("rep != pivot").select(F.col("pivot").alias("a"), F.col("rep").alias("b")).distinct()
     links = verified(pairs, reps, docs, k, percent)
