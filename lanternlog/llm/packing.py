@@ -64,8 +64,10 @@ def lower_bound(lengths: np.ndarray, capacity: int) -> int:
         return 0
     ordered = np.sort(lengths)
     sums = np.concatenate([[0], np.cumsum(ordered)])
-    low = np.unique(ordered[ordered <= capacity // 2])
-    k = np.concatenate([[0], low])
+    half = capacity // 2
+    low, high = ordered[ordered <= half], ordered[ordered > capacity - half]
+    k = np.unique(np.concatenate([[0, half], low, capacity - high + 1]))
+    k = k[k <= half]
     first, large = np.searchsorted(ordered, k, "left"), np.searchsorted(ordered, capacity - k, "right")
     whole = len(ordered) - large
     middle = sums[large] - sums[np.minimum(first, large)]
