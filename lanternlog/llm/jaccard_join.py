@@ -18,8 +18,10 @@ Sets that share a signature form a bucket. A candidate pair is first held agains
 (every shingle flips one bit, so sets never differ in fewer shingles than their sketches in bits),
 and what that can't rule out is verified on the whole texts. Only connected groups are asked for,
 so buckets are not expanded into all pairs: members are compared with the bucket's pivot first,
-then buckets that are one group are done. The rest take further pivots, ``PIVOTS`` a round, until
-the pairs between different groups that are left are few, and those are all verified.
+then buckets that are one group are done. The rest take further pivots outside their largest group,
+``PIVOTS`` a round, held in blocks against the blocks of their bucket, so that only pairs which
+sketches let pass become rows. A pivot that has met its bucket leaves it. When the pairs between
+different groups that are left are few for each member, all take their turn at once.
 Copies of a set are one class from the start.
 """
 
@@ -39,8 +41,10 @@ from .common import checked_broadcast, drop_ids, materialize
 
 U = np.uint64
 #: Cross-group pairs per bucket member up to which all that are left are verified at once.
-PAIRS_PER_MEMBER = 16
-PIVOTS = 16
+PAIRS_PER_MEMBER = 512
+PIVOTS = 512
+#: Sets whose sketches are compared at once.
+BLOCK = 64
 SKETCH_BITS = 1024
 #: Sets in a list from which on it is left by those that can do without.
 LONG = 24
@@ -189,9 +193,42 @@ def possible(pairs: DataFrame, reps: DataFrame, percent: int) -> DataFrame:
     return sided.select("a", "b", "na", "nb", "sa", "sb").mapInArrow(run, "a long, b long").distinct()
 
 
-def verified(pairs: DataFrame, reps: DataFrame, docs: DataFrame, k: int, percent: int) -> DataFrame:
+def in_blocks(rows: DataFrame, names: str) -> DataFrame:
+    """(sig, lists of rep, label, size and sketch) for about ``BLOCK`` of a bucket's rows each, never a whole large bucket."""
+    block = F.pmod(F.xxhash64("rep"), F.ceil(F.col("rows") / BLOCK)).alias("block")
+    return rows.select("sig", block, F.struct("rep", "label", "n_shingles", "sketch").alias("row")).groupBy("sig", "block").agg(F.collect_list("row").alias(names)).drop("block")
+
+
+def possible_in_buckets(ahead: DataFrame, rows: DataFrame, reps: DataFrame, percent: int) -> DataFrame:
+    """Pairs (a, b) of different labels, from ``ahead`` and ``rows`` (sig, rep, label, rows) of one bucket, that sizes and sketches don't rule out."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        def parts(column: pa.ListArray, i: int) -> tuple[np.ndarray, ...]:
+            row = column[i].values
+            sketches = np.frombuffer(b"".join(row.field("sketch").to_pylist()), np.uint64).reshape(len(row), -1)
+            return *(row.field(c).to_numpy() for c in ("rep", "label", "n_shingles")), sketches
+
+        for batch in batches:
+            a, b = [np.empty(0, np.int64)], [np.empty(0, np.int64)]
+            for i in range(len(batch)):
+                (ra, la, na, sa), (rb, lb, nb, sb) = parts(batch.column(0), i), parts(batch.column(1), i)
+                na, apart = na[:, None], np.bitwise_count(sa[:, None] ^ sb[None]).sum(2, dtype=np.int64)
+                keep = (100 * np.minimum(na, nb) >= percent * np.maximum(na, nb)) & (apart * (100 + percent) <= (100 - percent) * (na + nb)) & (la[:, None] != lb)
+                x, y = np.nonzero(keep)
+                a.append(np.minimum(ra[x], rb[y]))
+                b.append(np.maximum(ra[x], rb[y]))
+            yield pa.RecordBatch.from_arrays([pa.array(np.concatenate(a)), pa.array(np.concatenate(b))], ["a", "b"])
+
+    sketches = reps.select(F.col("doc_id").alias("rep"), "n_shingles", "sketch")
+    rows = materialize(rows.select("sig", "rep", "label", "rows").join(sketches, "rep"), "bucketed")
+    met = rows.join(ahead.select("sig", "rep"), ["sig", "rep"], "left_semi")
+    counted = met.drop("rows").join(met.groupBy("sig").agg(F.count("*").alias("rows")), "sig")
+    return in_blocks(counted, "one").join(in_blocks(rows, "two"), "sig").select("one", "two").mapInArrow(run, "a long, b long").distinct()
+
+
+def verified(pairs: DataFrame, docs: DataFrame, k: int, percent: int) -> DataFrame:
     """The pairs (a, b) whose whole texts have the asked similarity, materialized."""
-    pairs = materialize(possible(pairs, reps, percent), "possible")
+    pairs = materialize(pairs, "possible")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         kept: dict[int, np.ndarray] = {}
@@ -247,31 +284,29 @@ def groups_of(reps: DataFrame, docs: DataFrame, k: int, percent: int) -> DataFra
     members = materialize(members.select("sig", "rep"), "members")
     pivots = members.groupBy("sig").agg(F.min("rep").alias("pivot"))
     pairs = members.join(pivots, "sig").where("rep != pivot").select(F.col("pivot").alias("a"), F.col("rep").alias("b")).distinct()
-    links = verified(pairs, reps, docs, k, percent)
-    open_ = members.join(pivots, "sig")  # with the last pivot: pairs of smaller representatives are settled
+    links = verified(possible(pairs, reps, percent), docs, k, percent)
+    labels = components(links)
+    # A pivot has met its whole bucket: no link of it is missing there, so it leaves.
+    open_ = members.join(pivots, "sig").where("rep != pivot").select("sig", "rep")
     while True:
-        labels = components(links)
-        open_ = open_.select("sig", "rep", "pivot").join(labels, open_["rep"] == labels["node"], "left").select("sig", "rep", "pivot", F.coalesce("label", "rep").alias("label"))
+        open_ = open_.join(labels, open_["rep"] == labels["node"], "left").select("sig", "rep", F.coalesce("label", "rep").alias("label"))
         parts = open_.groupBy("sig", "label").agg(F.count("*").alias("n"))
         whole = parts.groupBy("sig").agg(F.count("*").alias("parts"), F.sum("n").alias("n"), F.max(F.struct("n", "label")).alias("main")).where("parts > 1")
         open_ = materialize(open_.join(whole.select("sig", "n", F.col("main.label").alias("main")), "sig"), "open")
         size = open_.agg(F.count("*"), F.sum(F.when(F.col("label") != F.col("main"), F.col("n")))).first()
         if not size[0]:
             return labels
-        other = open_.select("sig", F.col("rep").alias("rep2"), F.col("label").alias("label2"))
-        if size[1] <= max(100_000, PAIRS_PER_MEMBER * size[0]):
-            ahead, last = open_.where("label != main"), True
-        else:
-            # The next pivots of each bucket, merged from the smallest of each task.
-            least = smallest(open_.where("rep > pivot"), PIVOTS)
-            ahead, last = open_.join(least, ["sig", "rep"], "left_semi"), False
-        pairs = ahead.select("sig", "rep", "label").join(other, "sig").where("label != label2")
-        pairs = pairs.select(F.least("rep", "rep2").alias("a"), F.greatest("rep", "rep2").alias("b")).distinct()
-        links = materialize(links.union(verified(pairs, reps, docs, k, percent)), "links")
+        # Pivots are taken outside the largest part: once none is left there, the bucket is one group.
+        ahead, last = open_.where("label != main").select("sig", "rep", "label"), size[1] <= max(100_000, PAIRS_PER_MEMBER * size[0])
+        if not last:
+            ahead = ahead.join(smallest(ahead, PIVOTS), ["sig", "rep"], "left_semi")
+        found = verified(possible_in_buckets(ahead, open_.withColumnRenamed("n", "rows"), reps, percent), docs, k, percent)
+        if not found.isEmpty():
+            links = materialize(links.union(found), "links")
+            labels = components(links)
         if last:
-            return components(links)
-        done = least.groupBy("sig").agg(F.max("rep").alias("pivot"))
-        open_ = open_.drop("pivot").join(done, "sig")
+            return labels
+        open_ = open_.join(ahead.select("sig", "rep"), ["sig", "rep"], "left_anti").select("sig", "rep")
 
 
 def smallest(rows: DataFrame, n: int) -> DataFrame:
