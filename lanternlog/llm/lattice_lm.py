@@ -8,6 +8,10 @@ its count. What the lattice keeps for its pieces is the share of words seen once
 text is its words and one end; its probability is the product, and over all texts it sums to one.
 All recursions run in log space, on words of one length at a time.
 
+Within a text the lattice of the next word gains arcs for the words before it: one weighted by how
+often the word came so far, one by how often it followed the same word. Both are Dirichlet priors
+around the arcs above, so the sum stays one; a text's probability is the mean over ``PRIORS``.
+
 Words are counted by Spark over all documents. To score, each block of documents gets the counts
 and probabilities of just its own distinct words by a join, so no table of all words is ever held
 in one place and the only text that moves is each document, once.
@@ -30,6 +34,8 @@ from .tokens import vocabulary_path
 
 PIECES, WORD_MARK, BLOCK_CHARS = "piece_bpe_32k.model", "▁", 16_000_000
 FLOOR = 0.01
+#: Strengths (in words) of the corpus against the text so far, and of both against what followed the same word.
+PRIORS = ((50, 500, 5000), (5, 500))
 U = np.uint64
 
 
@@ -178,6 +184,29 @@ def log_sum(paths: list[np.ndarray]) -> np.ndarray:
         return np.log(np.exp(all_ - top).sum(0)) + top
 
 
+def earlier(x: np.ndarray) -> np.ndarray:
+    """For each item, how many equal ones come before it."""
+    order = np.argsort(x, kind="stable")
+    starts = np.flatnonzero(np.diff(x[order], prepend=x[order[:1]] - 1))
+    out = np.empty(len(x), np.int64)
+    out[order] = np.arange(len(x)) - np.repeat(starts, np.diff(starts, append=len(x)))
+    return out
+
+
+def in_context(at: np.ndarray, lp: np.ndarray, priors: tuple[tuple[float, ...], tuple[float, ...]] = PRIORS) -> float:
+    """Natural log-probability of the words ``at``, whose lattice alone gives ``lp``, each after those before it."""
+    if not len(at):
+        return 0.0
+    before = np.concatenate([[-1], at[:-1]])
+    with np.errstate(divide="ignore"):
+        word, pair = np.log(earlier(at)), np.log(earlier((before + 1) * (at.max() + 2) + at))
+    so_far, followed, totals = np.arange(len(at)), earlier(before), []
+    for mu in priors[0]:
+        one = np.logaddexp(word, lp + np.log(mu)) - np.log(so_far + mu)
+        totals += [(np.logaddexp(pair, one + np.log(nu)) - np.log(followed + nu)).sum() for nu in priors[1]]
+    return float(np.logaddexp.reduce(totals) - np.log(len(totals)))
+
+
 def with_blocks(docs: DataFrame, block_chars: int) -> DataFrame:
     """(doc_id, text, learn, block): blocks are runs of rows of a file, about ``block_chars`` long."""
     try:
@@ -262,12 +291,12 @@ def score_documents(docs: DataFrame, rounds: int = 2, vocabulary: str = PIECES,
             pieces = lattice.log_probability(decoded(b.column(0)), logp) + per_word
             with np.errstate(divide="ignore"):
                 own = np.log(b.column(1).to_numpy() * (seen / max(n_words, 1)))
-                lp = np.logaddexp(own, pieces + np.log(1 - seen)) + np.log(1 - end)
-            yield pa.RecordBatch.from_arrays([b.column(0), b.column(1), pa.array(lp / np.log(10))], ["word", "c", "lp"])
+                lp = np.logaddexp(own, pieces + np.log(1 - seen))
+            yield pa.RecordBatch.from_arrays([b.column(0), b.column(1), pa.array(lp)], ["word", "c", "lp"])
 
     rated = words.select("word", "c").mapInArrow(rate, "word binary, c long, lp double")
     known = local.select("block", "word").join(rated, "word")
-    size, end_lp = float(n + v + 1), float(np.log10(end))
+    size, go_on, end_lp = float(n + v + 1), float(np.log1p(-end)), float(np.log(end))
 
     def score(key: tuple, texts: pa.Table, dictionary: pa.Table) -> pa.Table:
         index = {w: i for i, w in enumerate(dictionary.column("word").to_pylist())}
@@ -277,7 +306,7 @@ def score_documents(docs: DataFrame, rounds: int = 2, vocabulary: str = PIECES,
         for text in texts.column("text").to_pylist():
             words = words_of(text)
             at = np.fromiter(map(index.__getitem__, words), np.int64, len(words))
-            rows.append((len(at) + 1, int((c[at] > 0).sum()) + (n_docs > 0), float(base[at].sum() + np.log10((n_docs + 1) / size)), float(lp[at].sum() + end_lp), len((text or "").encode("utf-8", "replace"))))
+            rows.append((len(at) + 1, int((c[at] > 0).sum()) + (n_docs > 0), float(base[at].sum() + np.log10((n_docs + 1) / size)), (in_context(at, lp[at]) + len(at) * go_on + end_lp) / np.log(10), len((text or "").encode("utf-8", "replace"))))
         n_tokens, n_known, base_score, total, bytes_ = (np.array(x) for x in zip(*rows, strict=True))
         return pa.table(
             {

@@ -1,6 +1,7 @@
 """Operators against brute force on small tables with nulls, empty texts, ties, repeats and extra columns."""
 
 import hashlib
+import itertools
 import random
 
 import numpy as np
@@ -148,6 +149,14 @@ def test_lattice_sums_all_segmentations(docs):
     assert len(rows) == docs.count() and all(np.isfinite(r["score"]) and r["score"] < 0 for r in rows)
 
 
+def test_words_in_context_sum_to_one():
+    p = np.array([0.5, 0.3, 0.2])
+    total = sum(np.exp(lattice_lm.in_context(np.array(t), np.log(p[list(t)]))) for t in itertools.product(range(3), repeat=4))
+    assert total == pytest.approx(1) and lattice_lm.in_context(np.empty(0, np.int64), np.empty(0)) == 0
+    again = lattice_lm.in_context(np.array([2, 1] * 20), np.log(p[[2, 1] * 20]))
+    assert again > np.log(p[[2, 1] * 20]).sum() and lattice_lm.earlier(np.array([7, 3, 7, 7, 3])).tolist() == [0, 0, 1, 2, 1]
+
+
 def test_pages(spark):
     page = "<html><head><title>t</title><script>var a='<p>';</script></head><body><nav><ul><li><a>menu</a></li></ul></nav><article><h1>Head</h1><p>One &amp; two\n three <b>bold<p>Four five six seven</article><div class='comments'><p>nice text here</div><footer>f</footer>"
     df = spark.createDataFrame([(1, "u", page, "x"), (2, "v", None, "x"), (3, None, "", "x")], "page_id long, url string, html string, text string")
