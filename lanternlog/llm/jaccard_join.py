@@ -20,7 +20,8 @@ and what that can't rule out is verified on the whole texts. Only connected grou
 so buckets are not expanded into all pairs: members are compared with the bucket's pivot first,
 then buckets that are one group are done. The rest take further pivots outside their largest group,
 ``PIVOTS`` a round, held in blocks against the blocks of their bucket, so that only pairs which
-sketches let pass become rows. A pivot that has met its bucket leaves it. When the pairs between
+sketches let pass become rows: first each pivot's nearest of a block, which joins most of a large
+group, then all pairs still between different groups. A pivot that has met its bucket leaves it. When the pairs between
 different groups that are left are few for each member, all take their turn at once.
 Copies of a set are one class from the start.
 """
@@ -46,6 +47,8 @@ PIVOTS = 512
 #: Sets whose sketches are compared at once.
 BLOCK = 64
 SKETCH_BITS = 1024
+#: Candidate pairs that a task holds to report each once.
+HELD = 1_000_000
 #: Sets in a list from which on it is left by those that can do without.
 LONG = 24
 
@@ -199,8 +202,11 @@ def in_blocks(rows: DataFrame, names: str) -> DataFrame:
     return rows.select("sig", block, F.struct("rep", "label", "n_shingles", "sketch").alias("row")).groupBy("sig", "block").agg(F.collect_list("row").alias(names)).drop("block")
 
 
-def possible_in_buckets(ahead: DataFrame, rows: DataFrame, reps: DataFrame, percent: int) -> DataFrame:
-    """Pairs (a, b) of different labels, from ``ahead`` and ``rows`` (sig, rep, label, rows) of one bucket, that sizes and sketches don't rule out."""
+def possible_in_buckets(ahead: DataFrame, rows: DataFrame, reps: DataFrame, percent: int, nearest: bool) -> DataFrame:
+    """Pairs (a, b) of different labels, from ``ahead`` and ``rows`` (sig, rep, label, rows) of one bucket, that sizes and sketches don't rule out.
+
+    With ``nearest`` each row of ``ahead`` gives one pair a block at most: that of the fewest differing sketch bits.
+    """
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         def parts(column: pa.ListArray, i: int) -> tuple[np.ndarray, ...]:
@@ -208,16 +214,28 @@ def possible_in_buckets(ahead: DataFrame, rows: DataFrame, reps: DataFrame, perc
             sketches = np.frombuffer(b"".join(row.field("sketch").to_pylist()), np.uint64).reshape(len(row), -1)
             return *(row.field(c).to_numpy() for c in ("rep", "label", "n_shingles")), sketches
 
+        def rows(pairs: np.ndarray) -> pa.RecordBatch:
+            return pa.RecordBatch.from_arrays([pa.array(pairs[:, 0]), pa.array(pairs[:, 1])], ["a", "b"])
+
+        # A pair often shares many signatures: each task reports it once, as long as it holds at most HELD pairs.
+        held = np.empty((0, 2), np.int64)
         for batch in batches:
-            a, b = [np.empty(0, np.int64)], [np.empty(0, np.int64)]
+            found = [held]
             for i in range(len(batch)):
                 (ra, la, na, sa), (rb, lb, nb, sb) = parts(batch.column(0), i), parts(batch.column(1), i)
                 na, apart = na[:, None], np.bitwise_count(sa[:, None] ^ sb[None]).sum(2, dtype=np.int64)
                 keep = (100 * np.minimum(na, nb) >= percent * np.maximum(na, nb)) & (apart * (100 + percent) <= (100 - percent) * (na + nb)) & (la[:, None] != lb)
-                x, y = np.nonzero(keep)
-                a.append(np.minimum(ra[x], rb[y]))
-                b.append(np.maximum(ra[x], rb[y]))
-            yield pa.RecordBatch.from_arrays([pa.array(np.concatenate(a)), pa.array(np.concatenate(b))], ["a", "b"])
+                if nearest:
+                    x = np.flatnonzero(keep.any(1))
+                    y = np.where(keep, apart, SKETCH_BITS + 1).argmin(1)[x]
+                else:
+                    x, y = np.nonzero(keep)
+                found.append(np.column_stack([np.minimum(ra[x], rb[y]), np.maximum(ra[x], rb[y])]))
+            held = np.unique(np.concatenate(found), axis=0)
+            if len(held) > HELD:
+                yield rows(held)
+                held = held[:0]
+        yield rows(held)
 
     sketches = reps.select(F.col("doc_id").alias("rep"), "n_shingles", "sketch")
     rows = materialize(rows.select("sig", "rep", "label", "rows").join(sketches, "rep"), "bucketed")
@@ -289,10 +307,7 @@ def groups_of(reps: DataFrame, docs: DataFrame, k: int, percent: int) -> DataFra
     # A pivot has met its whole bucket: no link of it is missing there, so it leaves.
     open_ = members.join(pivots, "sig").where("rep != pivot").select("sig", "rep")
     while True:
-        open_ = open_.join(labels, open_["rep"] == labels["node"], "left").select("sig", "rep", F.coalesce("label", "rep").alias("label"))
-        parts = open_.groupBy("sig", "label").agg(F.count("*").alias("n"))
-        whole = parts.groupBy("sig").agg(F.count("*").alias("parts"), F.sum("n").alias("n"), F.max(F.struct("n", "label")).alias("main")).where("parts > 1")
-        open_ = materialize(open_.join(whole.select("sig", "n", F.col("main.label").alias("main")), "sig"), "open")
+        open_ = unsettled(open_, labels)
         size = open_.agg(F.count("*"), F.sum(F.when(F.col("label") != F.col("main"), F.col("n")))).first()
         if not size[0]:
             return labels
@@ -300,13 +315,24 @@ def groups_of(reps: DataFrame, docs: DataFrame, k: int, percent: int) -> DataFra
         ahead, last = open_.where("label != main").select("sig", "rep", "label"), size[1] <= max(100_000, PAIRS_PER_MEMBER * size[0])
         if not last:
             ahead = ahead.join(smallest(ahead, PIVOTS), ["sig", "rep"], "left_semi")
-        found = verified(possible_in_buckets(ahead, open_.withColumnRenamed("n", "rows"), reps, percent), docs, k, percent)
-        if not found.isEmpty():
-            links = materialize(links.union(found), "links")
-            labels = components(links)
+        ahead, rows = materialize(ahead.select("sig", "rep"), "ahead"), open_
+        for nearest in (True, False):
+            found = verified(possible_in_buckets(ahead, rows.withColumnRenamed("n", "rows"), reps, percent, nearest), docs, k, percent)
+            if not found.isEmpty():
+                links = materialize(links.union(found), "links")
+                labels = components(links)
+                rows = unsettled(open_, labels)
         if last:
             return labels
-        open_ = open_.join(ahead.select("sig", "rep"), ["sig", "rep"], "left_anti").select("sig", "rep")
+        open_ = open_.join(ahead, ["sig", "rep"], "left_anti").select("sig", "rep")
+
+
+def unsettled(rows: DataFrame, labels: DataFrame) -> DataFrame:
+    """(sig, rep, label, n, main) of the buckets of ``rows`` (sig, rep) that aren't one group: their rows and largest label."""
+    rows = rows.select("sig", "rep").join(labels, F.col("rep") == labels["node"], "left").select("sig", "rep", F.coalesce("label", "rep").alias("label"))
+    parts = rows.groupBy("sig", "label").agg(F.count("*").alias("n"))
+    whole = parts.groupBy("sig").agg(F.count("*").alias("parts"), F.sum("n").alias("n"), F.max(F.struct("n", "label")).alias("main")).where("parts > 1")
+    return materialize(rows.join(whole.select("sig", "n", F.col("main.label").alias("main")), "sig"), "open")
 
 
 def smallest(rows: DataFrame, n: int) -> DataFrame:
