@@ -120,6 +120,21 @@ def test_leaks_and_their_slots(spark):
     assert decontaminate.find_leaks(docs.limit(0), items).count() == 0
 
 
+def test_item_and_its_variant_in_one_document(spark):
+    item = "The farmer sold 12 apples and 30 pears to Alice for 5 dollars before the market closed"
+    other = item.replace("12", "47").replace("30", "8").replace("Alice", "Robert").replace("5 dollars", "9 euros")
+    third = other.replace("47", "61").replace("Robert", "Wanda").replace("8", "77")
+    longer = item.replace("pears", "very ripe pears")
+    chance = " Then a clerk wrote. The farmer sold 99 apples at noon."
+    rows = [(1, item + ". Later on: " + other), (2, other + " " + third), (3, longer + chance), (4, item + chance), (5, "The farmer sold 12 apples and went home"), (6, item), (6, other)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    items = spark.createDataFrame([(7, item)], "item_id long, text string")
+    got = {r["doc_id"]: r for r in decontaminate.find_leaks(docs, items).collect()}
+    assert set(got) == {1, 2, 3, 4, 6}
+    assert all(got[i]["coverage"] == 1 and got[i]["slot_consistency"] == 1 for i in (1, 2, 4, 6)) and 0.5 <= got[3]["coverage"] < 1
+    assert decontaminate.without_leaks(docs, items).select("doc_id").collect() == [(5,)]
+
+
 def test_spans(spark):
     text = "😀 mail a.b@c.de, ip 10.0.0.1 and 999.1.1.1, card 4111 1111 1111 1111, call +1 (555) 555-1234; iban GB82 WEST 1234 5698 7654 32 a@b.c%d@e.f"
     df = spark.createDataFrame([(1, text), (2, None), (3, ""), (1, text)], "doc_id long, text string")
