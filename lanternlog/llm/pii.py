@@ -12,6 +12,17 @@ from pyspark.sql import functions as F
 
 from .common import whole_text
 
+# Characters of an IBAN by country, from the ISO 13616 registry.
+IBAN_LENGTHS = {
+    15: "NO", 16: "BE", 18: "DK|FI|FK|FO|GL|NL|SD", 19: "MK|SI", 20: "AT|BA|EE|KZ|LT|LU|MN|XK", 21: "CH|HR|LI|LV",
+    22: "BG|BH|CR|DE|GB|GE|IE|ME|RS|VA", 23: "AE|GI|IL|IQ|OM|SO|TL", 24: "AD|CZ|ES|MD|PK|RO|SA|SE|SK|TN|VG", 25: "LY|PT|ST",
+    26: "IS|TR", 27: "DJ|FR|GR|IT|MC|MR|SM", 28: "AL|AZ|BY|CY|DO|GT|HN|HU|LB|NI|PL|SV", 29: "BR|EG|PS|QA|UA", 30: "JO|KW|MU|YE", 31: "MT|SC",
+    32: "LC", 33: "RU",
+}
+IBAN_COUNTRIES = "^(?:" + "|".join(IBAN_LENGTHS.values()) + ")"
+# A country's IBAN has its length, so the words behind it stay out; of another country's, see ``iban_piece``.
+IBAN_REST = "|".join(rf"(?:{c})[0-9]{{2}}(?:\x20?[A-Z0-9]){{{n - 4}}}(?![A-Za-z0-9])" for n, c in IBAN_LENGTHS.items())
+
 # Kinds in report order, their patterns and the words that make a span likelier.
 KINDS = ("email", "ip", "card", "phone", "iban", "ssn", "local_phone")
 PATTERNS = {
@@ -19,7 +30,7 @@ PATTERNS = {
     "ip": r"(?:\G|(?<![0-9]))[0-9]++\.[0-9]++\.[0-9]++\.[0-9]++",
     "card": r"(?<![0-9])(?<![0-9][\x20-])[0-9](?:[\x20-]?[0-9]){13,}+",
     "phone": r"\+[0-9][\x20().0-9-]+[0-9]",
-    "iban": r"(?<![A-Za-z0-9])[A-Z]{2}[0-9]{2}(?:\x20?[A-Z0-9]){11,30}+(?![A-Za-z0-9])",
+    "iban": rf"(?<![A-Za-z0-9])(?=[A-Z]{{2}}[0-9]{{2}})(?:{IBAN_REST}|(?!{IBAN_COUNTRIES[1:]})[A-Z]{{2}}[0-9]{{2}}(?:\x20?[A-Z0-9]){{11,30}}(?![A-Za-z0-9]))",
     "ssn": r"(?<![0-9-])[0-9]{3}-[0-9]{2}-[0-9]{4}(?![0-9-])",
     "local_phone": r"(?<![0-9+)\x20-])(?:\([0-9]{3}\)\x20?|[0-9]{3}[\x20.-])[0-9]{3}[\x20.-][0-9]{4}(?![0-9-])",
 }
@@ -90,6 +101,15 @@ def confirmed(kind: str, match: Column) -> Column:
     return F.lit(True)
 
 
+def iban_piece(s: Column) -> Column:
+    """The longest piece up to a space that passes, where the country's length isn't known: the pattern also takes words behind."""
+    words = F.split(s["match"], " ")
+    heads = F.transform(F.sequence(F.size(words), F.lit(1), F.lit(-1)), lambda n: F.array_join(F.slice(words, F.lit(1), n), " "))
+    piece = F.coalesce(F.get(F.filter(heads, lambda h: confirmed("iban", h)), F.lit(0)), s["match"])
+    short = F.struct(s["start"].alias("start"), (s["start"] + F.char_length(piece)).alias("end"), piece.alias("match"), s["before"].alias("before"))
+    return F.when(s["match"].rlike(IBAN_COUNTRIES), s).otherwise(short)
+
+
 def kind_spans(text: Column, kind: str, order: int, threshold: float, window: int) -> Column:
     """Confirmed spans of one kind with their scores, those below ``threshold`` left out."""
     def scored(s: Column) -> Column:
@@ -103,7 +123,8 @@ def kind_spans(text: Column, kind: str, order: int, threshold: float, window: in
             F.least(F.lit(1.0), F.lit(PRIOR[kind]) + near).alias("score"),
         )
 
-    good = F.filter(raw_spans(text, kind, window), lambda s: confirmed(kind, s["match"]))
+    raw = raw_spans(text, kind, window)
+    good = F.filter(F.transform(raw, iban_piece) if kind == "iban" else raw, lambda s: confirmed(kind, s["match"]))
     return F.filter(F.transform(good, scored), lambda s: s["score"] >= threshold)
 
 

@@ -144,6 +144,22 @@ def test_spans(spark):
     assert "4111" not in pii.mask(df).first()["text"]
 
 
+def test_ibans_before_capitals(spark):
+    def check_digits(country, rest):
+        return f"{98 - int(''.join(str(int(c, 36)) for c in rest + country + '00')) % 97:02}"
+
+    plain, spaced, other = "DE89370400440532013000", "DE89 3704 0044 0532 0130 00", f"ZZ{check_digits('ZZ', '123456789012')} 1234 5678 9012"
+    texts = {
+        f"{plain} today": [plain], f"Konto {plain} Bitte": [plain], f"IBAN {spaced} BIC COBADEFFXXX": [spaced], f"({spaced}) A {plain} B2": [spaced, plain],
+        f"{spaced} {plain} GB82 WEST 1234 5698 7654 32 AND NO93 8601 1117 947 X": [spaced, plain, "GB82 WEST 1234 5698 7654 32", "NO93 8601 1117 947"],
+        f"{other} BIC ABCD Then": [other], f"x{plain} {plain}B DE89 3704 0044 0532 0130 01 Bitte {plain[:-1]} Bitte": [], f"😀 {spaced} Danke": [spaced],
+    }
+    df = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+    for r, (text, want) in zip(pii.find_spans(df).orderBy("doc_id").collect(), texts.items()):
+        assert [s["match"] for s in r["pii"] if s["kind"] == "iban"] == want == [text[s["start"] : s["end"]] for s in r["pii"] if s["kind"] == "iban"]
+    assert pii.mask(df).where("doc_id = 2").first()["text"] == "IBAN [IBAN] BIC COBADEFFXXX"
+
+
 def test_lattice_sums_all_segmentations(docs):
     lattice = lattice_lm.Lattice()
     word, logp = "the", np.append(lattice.start, -np.inf)
