@@ -4,8 +4,10 @@ A page becomes a sequence of words and tags. Words score positive and tags negat
 are log ratios of how often a token occurs inside and outside the article of pages that mark one
 (the labelled pages), clamped to their sign. One linear scan finds the contiguous run of the
 highest sum. Elements that never hold main text (scripts, menus, forms, adverts, comments and so
-on, by name, role or class) count as one heavy negative token and give no words. The text is that
-of the blocks which the run touches.
+on, by name, role or class) count as one heavy negative token and give no words. A class or id
+is only a hint: an element around an ``<article>`` or ``<main>``, around most words of a page
+without them, or with a hint word only as part of a name (``has-sidebar``), keeps its words and
+counts as a negative token of its own. The text is that of the blocks which the run touches.
 """
 
 from __future__ import annotations
@@ -26,8 +28,12 @@ BLOCKS = frozenset(
     "ol p pre section summary table tbody td tfoot th thead tr ul".split()
 )
 VOID = frozenset("area base br col embed hr img input link meta param source track wbr".split())
-INLINE = frozenset("a abbr b bdi bdo big cite code del dfn em font i ins kbd label mark q s samp small span strike strong sub sup time tt u var br img wbr".split())
-OPAQUE = "script|style|noscript|template|textarea|svg|iframe|object|math|select|title|canvas|audio|video"
+INLINE = frozenset(
+    "a abbr b bdi bdo big cite code del dfn em font i ins kbd label mark q s samp small span strike strong sub sup time tt u var br img wbr "
+    "math maction merror mfrac mi mmultiscripts mn mo mover mpadded mphantom mprescripts mroot mrow ms mspace msqrt mstyle msub msubsup msup mtable mtd mtext "
+    "mtr munder munderover semantics".split()
+)
+OPAQUE = "script|style|noscript|template|textarea|svg|iframe|object|select|title|canvas|audio|video"
 FURNITURE = frozenset("nav header footer aside form menu dialog button head datalist map".split())
 ROLES = frozenset("navigation banner contentinfo complementary search form dialog alert alertdialog menu menubar toolbar".split())
 HINTS = frozenset(
@@ -37,38 +43,76 @@ HINTS = frozenset(
     "pagination pager skip".split()
 )
 SKIP = "#skip"
+HINT = "#hint"
+NAMED = "#named"
 WORD = "#word"
 #: Used where no page marks its article.
-DEFAULT_WEIGHTS = {WORD: 0.7, SKIP: -6.0, "a": -1.5, "li": -1.5, "ul": -2.0, "div": -1.0, "td": -1.0, "tr": -1.0, "table": -2.0}
+DEFAULT_WEIGHTS = {WORD: 0.7, SKIP: -6.0, HINT: -3.0, "a": -1.5, "li": -1.5, "ul": -2.0, "div": -1.0, "td": -1.0, "tr": -1.0, "table": -2.0}
 OTHER_TAG = -0.3
 
 TOKEN = re.compile(
-    rf"<!--.*?(?:-->|\Z)|<(?P<opaque>{OPAQUE})\b(?:[^>\"']|\"[^\"]*\"|'[^']*')*+>.*?(?:</(?P=opaque)\s*>|\Z)"
+    r"<!--.*?(?:-->|\Z)|<(?P<note>annotation-xml|annotation)\b(?:[^>\"']|\"[^\"]*\"|'[^']*')*+>.*?(?:</(?P=note)\s*>|\Z)"
+    rf"|<(?P<opaque>{OPAQUE})\b(?:[^>\"']|\"[^\"]*\"|'[^']*')*+>.*?(?:</(?P=opaque)\s*>|\Z)"
     r"|<(?P<close>/?)(?P<name>[a-zA-Z][a-zA-Z0-9:-]*)(?P<attrs>(?:[^>\"']|\"[^\"]*\"|'[^']*')*+)>|<[!?/][^>]*>|<[a-zA-Z][^>]*(?:>|\Z)|(?P<text>[^<]+|<)",
     re.S | re.I,
 )
-ATTRIBUTE = re.compile(r"""(?:^|\s)(class|id|role|hidden|aria-hidden|style)(?:\s*=\s*("[^"]*"|'[^']*'|[^\s"'>]+))?""", re.I)
+ATTRIBUTE = re.compile(r"""([^\s"'>/=]+)(?:\s*=\s*("[^"]*"|'[^']*'|[^\s"'>]+))?""")
+MAIN = ("article", "main")
 
 
-def is_furniture(name: str, attrs: str, in_article: bool) -> bool:
-    if name in FURNITURE and not (name == "header" and in_article):
-        return True
-    if name in ("html", "body", "article", "main") or not attrs:
-        return False
+def hint_of(attrs: str) -> str | None:
+    """NAMED if a class or the id consists of hint words, HINT if one only holds such a word, SKIP if role or visibility say so."""
+    found = None
     for key, value in ATTRIBUTE.findall(attrs):
         key, value = key.lower(), value.strip("\"'").lower()
-        if key in ("class", "id") and not HINTS.isdisjoint(re.split(r"[^a-z0-9]+", value)):
-            return True
         if key == "role" and value in ROLES or key == "hidden" or key == "aria-hidden" and value == "true":
-            return True
+            return SKIP
         if key == "style" and re.search(r"display\s*:\s*none", value):
-            return True
-    return False
+            return SKIP
+        if key in ("class", "id"):
+            for words in (set(re.findall("[a-z0-9]+", x)) for x in value.split()):
+                if words and words <= HINTS:
+                    found = NAMED
+                elif not HINTS.isdisjoint(words):
+                    found = found or HINT
+    return found
 
 
-def tokens(page: str) -> Iterator[tuple[str, str | None, bool]]:
-    """(kind, text, inside the marked article): kind is ``#word`` for a piece of text, ``#skip`` or a tag name."""
+def role_of(name: str, attrs: str, in_article: bool) -> str | None:
+    if name in FURNITURE and not (name == "header" and in_article):
+        return SKIP
+    return hint_of(attrs) if attrs and name not in ("html", "body", *MAIN) else None
+
+
+def spared(page: str) -> set[int]:
+    """Starts of the NAMED elements around an article or main element, or with most words of the articles (else main, else page)."""
     stack: list[str] = []
+    starts: list[int] = []
+    marked: set[int] = set()
+    held, total = {}, [0, 0, 0]
+    for kind, text, inside in walk(page, None, stack, starts, marked):
+        if kind == WORD:
+            n, depth = len(text.split()), 2 if inside else int("main" in stack)
+            for level in range(depth + 1):
+                total[level] += n
+                for at in starts:
+                    if at >= 0:
+                        held[at, level] = held.get((at, level), 0) + n
+    most = max(level for level in range(3) if total[level] or not level)
+    return marked | {at for (at, level), n in held.items() if level == most and 2 * n > total[level]}
+
+
+def tokens(page: str) -> Iterator[tuple[str, str | None, bool]]:
+    """(kind, text, inside the marked article): kind is ``#word`` for a piece of text, ``#skip``, ``#hint`` or a tag name."""
+    return walk(page, spared(page), [], [], set())
+
+
+def walk(page: str, spare: set[int] | None, stack: list[str], starts: list[int], marked: set[int]) -> Iterator[tuple[str, str | None, bool]]:
+    """As ``tokens``; NAMED elements that start elsewhere than in ``spare`` are skipped, none where it is None.
+
+    ``stack`` and ``starts`` hold the open elements and the starts of the NAMED ones (else -1);
+    ``marked`` gets the starts of those around an article or main element without a hint of its own.
+    """
     skipping = article = 0
     for m in TOKEN.finditer(page):
         if m["text"] is not None:
@@ -88,26 +132,36 @@ def tokens(page: str) -> Iterator[tuple[str, str | None, bool]]:
             at = len(stack) - 1 - stack[::-1].index(name)
             # An inline end tag doesn't close a block around it.
             if name in INLINE and any(x in BLOCKS or x in FURNITURE for x in stack[at + 1 :]):
-                del stack[at]
+                del stack[at], starts[at]
                 if skipping > at:
                     skipping -= 1
                 continue
-            closed, stack[at:] = stack[at:], []
-            article -= sum(x == "article" for x in closed)
+            article -= stack[at:].count("article")
+            del stack[at:], starts[at:]
             if skipping > at:
                 skipping = 0
                 continue
             if not skipping:
                 yield name, None, article > 0
             continue
+        start = -1
         if not skipping:
-            if name not in VOID and is_furniture(name, m["attrs"], article > 0):
+            role = None if name in VOID else role_of(name, m["attrs"], article > 0)
+            if role == NAMED:
+                start = m.start()
+                role = HINT if spare is None or start in spare else SKIP
+            if role == SKIP:
                 skipping = len(stack) + 1
                 yield SKIP, None, article > 0
             else:
+                if role == HINT:
+                    yield HINT, None, article > 0
                 yield name, None, article > 0
+                if name in MAIN and not hint_of(m["attrs"]):
+                    marked.update(x for x in starts if x >= 0)
         if name not in VOID and not m["attrs"].rstrip().endswith("/"):
             stack.append(name)
+            starts.append(start)
             article += name == "article"
 
 
@@ -124,7 +178,7 @@ def blocks_and_scores(page: str, weights: dict[str, float]) -> tuple[list[list[s
         scores.append((-1, weights.get(kind, OTHER_TAG)))
         if kind == "br":
             blocks[-1].append(" ")
-        elif kind == SKIP or kind in BLOCKS or kind not in INLINE:
+        elif kind != HINT and kind not in INLINE:
             if blocks[-1]:
                 blocks.append([])
     return blocks, scores
@@ -151,7 +205,7 @@ def learned_weights(pages: DataFrame) -> dict[str, float]:
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         counts: Counter = Counter()
-        known = BLOCKS | INLINE | VOID | {SKIP, WORD, "article"}
+        known = BLOCKS | INLINE | VOID | {SKIP, HINT, WORD, "article"}
         for b in batches:
             for page in b.column(0).to_pylist():
                 if page and len(re.findall(r"<article\b", page, re.I)) == 1:

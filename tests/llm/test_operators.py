@@ -195,6 +195,24 @@ def test_pages(spark):
     assert got == {1: "Head\n\nOne & two three bold\n\nFour five six seven", 2: "", 3: ""}
 
 
+def test_hints_do_not_take_the_article():
+    body = " ".join(f"<p>{'plain words of an article ' * 6}{i}</p>" for i in range(4))
+    ad, want = '<div class="ad">buy now</div>', [f"{'plain words of an article ' * 6}{i}" for i in range(4)]
+    pages = [
+        f'<body><nav>menu</nav><div class="layout has-sidebar"><article>{body}</article></div><footer>f</footer>',
+        f'<body><div class="sidebar"><main>{body}{ad}</main></div><div class="comments">nice</div>',
+        f'<body id="no-comments"><div id="no-comments"><article>{body}</article></div>',
+        f'<body><div class="widget">{body}</div>{ad}',
+        f'<body><article>{ad}<div class="widget">{body}</div></article><div class="comments"><article class="comment">nice</article></div>',
+        "<body><article>" + body.replace("<p>", '<div class="elementor-widget x"><p>').replace("</p>", "</p></div>") + "</article>",
+        "<body><article>" + body.replace("<p>", '<p title="the hidden story" data-x="a role=search class=ad">') + "</article>",
+    ]
+    for page in pages:
+        assert html_content.main_text(page, html_content.DEFAULT_WEIGHTS).split("\n\n") == want, page
+    formula = f"<article>{body}<p>So <math><mi>x</mi> <mo>=</mo> <mn>2</mn><annotation>x=2</annotation></math> holds</p></article>"
+    assert html_content.main_text(formula, html_content.DEFAULT_WEIGHTS).endswith("\n\nSo x = 2 holds")
+
+
 def test_classifiers_on_odd_rows(spark, docs, empty):
     found = {r["doc_id"]: r for r in langid.identify(docs).collect()}
     assert found[202]["lang_pred"] == "und" and found[204]["lang_pred"] == "und" and found[1]["lang_pred"] == "en"
