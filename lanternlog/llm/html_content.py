@@ -4,7 +4,8 @@ A page becomes a sequence of words and tags. Words score positive and tags negat
 are log ratios of how often a token occurs inside and outside the article of pages that mark one
 (the labelled pages), clamped to their sign. One linear scan finds the contiguous run of the
 highest sum. Elements that never hold main text (scripts, menus, forms, adverts, comments and so
-on, by name, role or class) count as one heavy negative token and give no words. A class or id
+on, by name, role or class) count as one heavy negative token and give no words. Where a script
+has no spaces, each letter counts as a word. A class or id
 is only a hint: an element around an ``<article>`` or ``<main>``, around most words of a page
 without them, or with a hint word only as part of a name (``has-sidebar``), keeps its words and
 counts as a negative token of its own. The text is that of the blocks which the run touches.
@@ -58,6 +59,19 @@ TOKEN = re.compile(
 )
 ATTRIBUTE = re.compile(r"""([^\s"'>/=]+)(?:\s*=\s*("[^"]*"|'[^']*'|[^\s"'>]+))?""")
 MAIN = ("article", "main")
+#: Letters of scripts written without spaces: Thai, Lao, Tibetan, Burmese, Khmer, kana, bopomofo, Chinese characters and Yi.
+SPACELESS = re.compile(
+    r"(?=\w)[\u0e00-\u0fff\u1000-\u109f\u1780-\u17ff\u1950-\u19df\u1a20-\u1aaf\u2e80-\u2fdf\u3005-\u3007\u3021-\u3029\u3031-\u303c\u3040-\u312f\u31a0-\u31bf\u31f0-\u31ff"
+    r"\u3400-\u4dbf\u4e00-\ua4cf\ua9e0-\ua9ff\uaa60-\uaadf\uf900-\ufaff\uff66-\uff9f\U0001b000-\U0001b16f\U00020000-\U0003ffff]"
+)
+
+
+def n_words(text: str) -> int:
+    """Words between spaces; each letter of a script without spaces is one, marks between such letters are none."""
+    if text.isascii() or not SPACELESS.search(text):
+        return len(text.split())
+    rest, letters = SPACELESS.subn(" ", text)
+    return letters + sum(any(map(str.isalnum, w)) for w in rest.split())
 
 
 def hint_of(attrs: str) -> str | None:
@@ -92,7 +106,7 @@ def spared(page: str) -> set[int]:
     held, total = {}, [0, 0, 0]
     for kind, text, inside in walk(page, None, stack, starts, marked):
         if kind == WORD:
-            n, depth = len(text.split()), 2 if inside else int("main" in stack)
+            n, depth = n_words(text), 2 if inside else int("main" in stack)
             for level in range(depth + 1):
                 total[level] += n
                 for at in starts:
@@ -172,7 +186,7 @@ def blocks_and_scores(page: str, weights: dict[str, float]) -> tuple[list[list[s
     for kind, text, _ in tokens(page):
         if kind == WORD:
             blocks[-1].append(text)
-            if n := len(text.split()):
+            if n := n_words(text):
                 scores.append((len(blocks) - 1, n * weights[WORD]))
             continue
         scores.append((-1, weights.get(kind, OTHER_TAG)))
@@ -210,7 +224,7 @@ def learned_weights(pages: DataFrame) -> dict[str, float]:
             for page in b.column(0).to_pylist():
                 if page and len(re.findall(r"<article\b", page, re.I)) == 1:
                     for kind, text, inside in tokens(page):
-                        counts[kind if kind in known else "#other", inside] += len(text.split()) if kind == WORD else 1
+                        counts[kind if kind in known else "#other", inside] += n_words(text) if kind == WORD else 1
         keys = list(counts)
         yield pa.RecordBatch.from_arrays(
             [pa.array([k for k, _ in keys], pa.string()), pa.array([i for _, i in keys], pa.bool_()), pa.array([counts[k] for k in keys], pa.int64())], ["kind", "inside", "n"]

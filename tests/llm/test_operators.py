@@ -213,6 +213,19 @@ def test_hints_do_not_take_the_article():
     assert html_content.main_text(formula, html_content.DEFAULT_WEIGHTS).endswith("\n\nSo x = 2 holds")
 
 
+def test_pages_without_spaces(spark):
+    chinese, thai, japanese = "今天的新闻说,这座城市的春天来得很早。人们都在公园里散步。" * 3, "วันนี้อากาศดีมากและทุกคนออกไปเดินเล่น" * 3, "今日はとても良い天気なので、みんなで公園を歩きました。" * 3
+    around = "<html><body><nav>menu</nav>{}<p>Copyright by the owners of this page in 2024</p></body></html>"
+    inner = "<article><p>{0}一</p><div class='ad'>广告</div><p>{0}二</p><form>x</form><p>{0}三</p></article>"
+    pages = [(i, "u", around.format(inner.format(text))) for i, text in enumerate((chinese, thai, japanese))]
+    got = html_content.extract(spark.createDataFrame(pages, "page_id long, url string, html string")).orderBy("page_id").collect()
+    for r, text in zip(got, (chinese, thai, japanese)):
+        assert r["text"] == f"{text}一\n\n{text}二\n\n{text}三"
+        plain = html_content.main_text(pages[r["page_id"]][2], html_content.DEFAULT_WEIGHTS)
+        assert plain.startswith(r["text"])
+    assert [html_content.n_words(x) for x in ("", "a - b", "你好。", "Über uns", "用 Spark 3 做", "한국어 문장", "ไทย")] == [0, 3, 2, 2, 4, 2, 3]
+
+
 def test_classifiers_on_odd_rows(spark, docs, empty):
     found = {r["doc_id"]: r for r in langid.identify(docs).collect()}
     assert found[202]["lang_pred"] == "und" and found[204]["lang_pred"] == "und" and found[1]["lang_pred"] == "en"
