@@ -13,7 +13,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import drop_ids, materialize, whole_text
+from .common import checked_broadcast, drop_ids, drop_texts, materialize, text_hash, whole_text
 
 
 def chunk_pattern(min_chars: int, max_chars: int) -> str:
@@ -61,5 +61,12 @@ def exact_groups(docs: DataFrame, min_chars: int = 512, max_chars: int = 4096, i
 
 
 def keep_one(docs: DataFrame) -> DataFrame:
-    """``docs`` without the copies; rows with a null doc_id are kept."""
-    return drop_ids(docs, exact_groups(docs).where(~F.col("kept")).select("doc_id"), "copies")
+    """``docs`` without the copies, also those under one doc_id; other texts of that doc_id and rows with a null doc_id are kept."""
+    groups = materialize(exact_groups(docs).where("doc_id is not null and group_size > 1").select("doc_id", "text_sha256", "kept"), "groups")
+    left = drop_texts(docs, groups.where(~F.col("kept")), "copies")
+    twice = groups.where("kept").groupBy("doc_id", "text_sha256").count().where("count > 1")
+    if twice.isEmpty():
+        return left
+    ids = materialize(twice.select("doc_id").distinct(), "twice")
+    once = left.join(checked_broadcast(ids), "doc_id", "left_semi").withColumn("_sha", text_hash()).dropDuplicates(["doc_id", "_sha"])
+    return drop_ids(left, ids, "repeated").unionByName(once.select(docs.columns))

@@ -39,6 +39,16 @@ def drop_ids(docs: DataFrame, ids: DataFrame, name: str) -> DataFrame:
     return docs.join(checked_broadcast(ids), "doc_id", "left_anti").select(docs.columns)
 
 
+def text_hash() -> Column:
+    return F.sha2(whole_text(), 256)
+
+
+def drop_texts(docs: DataFrame, texts: DataFrame, name: str) -> DataFrame:
+    """As ``drop_ids``, but only the rows whose doc_id and ``text_hash`` are in ``texts`` (doc_id, text_sha256)."""
+    texts = materialize(texts.where("doc_id is not null").select("doc_id", F.col("text_sha256").alias("_sha")).distinct(), name)
+    return docs.withColumn("_sha", text_hash()).join(checked_broadcast(texts), ["doc_id", "_sha"], "left_anti").select(docs.columns)
+
+
 def fold(doc_id: Column, n: int) -> Column:
     """crc32 of the id's decimal text, modulo n; a null id counts as the empty text."""
     return F.crc32(F.coalesce(doc_id.cast("string"), F.lit("")).cast("binary")) % n

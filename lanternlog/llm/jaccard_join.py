@@ -38,7 +38,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import Window
 
-from .common import checked_broadcast, drop_ids, materialize
+from .common import checked_broadcast, drop_ids, materialize, text_hash
 
 U = np.uint64
 #: Cross-group pairs per bucket member up to which all that are left are verified at once.
@@ -345,10 +345,16 @@ def similarity_groups(docs: DataFrame, k: int = 5, percent: int = 80, steps: int
     """doc_id, n_shingles, component_id for each row of ``docs``; links need ``percent`` similarity.
 
     A null or empty text has no shingles and is linked with nothing: component_id is its doc_id.
-    The smallest doc_id of a group names it. Rows that repeat a doc_id are one document with
-    several texts. A null doc_id gets the group of the equal sets that have one, else null.
+    The smallest doc_id of a group names it. Other texts under one doc_id are documents of their
+    own. A null doc_id gets the group of the equal sets that have one, else null.
     """
     sets = materialize(shingle_sets(docs, k, percent, steps), "sets")
+    if ids_repeat(sets):
+        numbered, nodes = one_id_a_text(docs)
+        found = similarity_groups(numbered, k, percent, steps)
+        for node, name in (("doc_id", "id"), ("component_id", "component")):
+            found = found.join(nodes.select(F.col("node").alias(node), F.col("doc_id").alias(name)), node, "left")
+        return found.select(F.col("id").alias("doc_id"), "n_shingles", F.col("component").alias("component_id"))
     full = sets.where("n_shingles > 0")
     classes = materialize(full.groupBy("digest").agg(F.min("doc_id").alias("rep")), "classes")
     copies = full.join(classes, "digest").where("doc_id != rep").select("doc_id")
@@ -359,7 +365,26 @@ def similarity_groups(docs: DataFrame, k: int = 5, percent: int = 80, steps: int
     return found.unionByName(sets.where("n_shingles = 0").select("doc_id", "n_shingles", F.col("doc_id").alias("component_id")))
 
 
+def ids_repeat(sets: DataFrame) -> bool:
+    """Whether a doc_id has more than one set."""
+    return not sets.where("doc_id is not null").groupBy("doc_id").agg(F.min("digest").alias("a"), F.max("digest").alias("b")).where("not a <=> b").isEmpty()
+
+
+def one_id_a_text(docs: DataFrame) -> tuple[DataFrame, DataFrame]:
+    """``docs`` with a node for doc_id, one for each text of an id, and (doc_id, _sha, node); nodes rise with doc_id, null stays null."""
+    keyed = docs.withColumn("doc_id", F.col("doc_id").cast("long")).withColumn("_sha", text_hash())
+    nodes = keyed.where("doc_id is not null").select("doc_id", "_sha").distinct().orderBy("doc_id", "_sha")
+    nodes = materialize(nodes.withColumn("node", F.monotonically_increasing_id()), "nodes")
+    numbered = keyed.join(nodes, ["doc_id", "_sha"], "left").withColumn("doc_id", F.col("node"))
+    return materialize(numbered.select(docs.columns), "numbered"), nodes
+
+
 def keep_one(docs: DataFrame, k: int = 5, percent: int = 80) -> DataFrame:
     """``docs`` with one document, the smallest doc_id, of each group of near copies; null ids are kept."""
-    found = similarity_groups(docs, k, percent)
-    return drop_ids(docs, found.where("doc_id != component_id").select("doc_id"), "near")
+    texts = docs.where("doc_id is not null").select("doc_id", text_hash().alias("t")).groupBy("doc_id").agg(F.min("t").alias("a"), F.max("t").alias("b"))
+    if texts.where("a != b").isEmpty():
+        found = similarity_groups(docs, k, percent)
+        return drop_ids(docs, found.where("doc_id != component_id").select("doc_id"), "near")
+    numbered, nodes = one_id_a_text(docs)
+    back = keep_one(numbered, k, percent).withColumnRenamed("doc_id", "node").join(nodes.drop("_sha"), "node", "left")
+    return back.withColumn("doc_id", F.col("doc_id").cast(docs.schema["doc_id"].dataType)).select(docs.columns)

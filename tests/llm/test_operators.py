@@ -59,6 +59,26 @@ def test_similarity_groups(docs, k, percent, steps):
     assert {r["doc_id"]: (r["n_shingles"], r["component_id"]) for r in got} == {i: (len(sets[i]), label[i]) for i in sets}
 
 
+def test_ids_with_several_texts(spark):
+    rng = random.Random(8)
+    a, b, c = (words(rng, 60) for _ in range(3))
+    near_a, near_b = a + " ra", b + " to"
+
+    def table(rows):
+        return spark.createDataFrame([(i, t, "s") for i, t in rows], "doc_id long, text string, source string")
+
+    def left(df):
+        return sorted((str(r["doc_id"]), r["text"]) for r in df.collect())
+
+    exact = table([(9, a), (7, a), (7, b), (5, c), (5, c), (None, c), (3, None), (4, "")])
+    assert left(chunk_dedup.keep_one(exact)) == sorted([("9", a), ("7", b), ("5", c), ("None", c), ("4", "")])
+    near = table([(5, a), (7, near_a), (7, b), (8, near_b), (9, c), (9, c + " x"), (None, a)])
+    assert left(jaccard_join.keep_one(near)) in (sorted([("5", a), ("7", b), ("9", t), ("None", a)]) for t in (c, c + " x"))
+    same = table([(5, a), (7, a), (7, b), (8, near_b), (3, c)])
+    assert left(jaccard_join.keep_one(same)) == sorted([("5", a), ("7", b), ("3", c)])
+    assert sorted((r[0], r[2]) for r in jaccard_join.similarity_groups(same).collect()) == [(3, 3), (5, 5), (7, 5), (7, 7), (8, 7)]
+
+
 def test_any_two_similar_sets_share_a_signature():
     rng = np.random.default_rng(5)
     for percent, steps in ((90, 3), (80, 2)):
