@@ -36,7 +36,7 @@ STAGES = [
     ("pack", pack),
 ]
 
-#: SQL expresses neither the classifier nor the tokenizer; tests/llm holds the run against brute force.
+#: SQL expresses neither the classifier nor the tokenizer; tests/llm runs the stages on a small table; of the classifier it asks only that no toxic text stays.
 ORACLE_SQL = None
 
 

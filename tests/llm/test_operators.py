@@ -255,3 +255,28 @@ def test_classifiers_on_odd_rows(spark, docs, empty):
     assert all((r["predicted"] == 1) == (r["score"] >= 0.3) for r in got) and {r["doc_id"] for r in got if r["predicted"]} >= {i for i in range(0, 60, 3)}
     assert toxicity.score(docs, labels.limit(0)).where("predicted = 1").count() == 0
     assert toxicity.swapped({"a", "gay"}, 1) == {"a", "straight"} and toxicity.swapped({"a"}, 1) is None
+
+
+def test_pipeline_stages(spark, tmp_path):
+    import corpus_pipeline
+
+    rng = random.Random(4)
+    item = "The farmer sold 12 apples and 30 pears to Alice for 5 dollars before the market closed"
+    rows = [(i, words(rng, 80) + (" moron" if i < 60 and i % 3 == 0 else "")) for i in range(60)]
+    copied, near = words(rng, 80), words(rng, 80)
+    rows += [(100, copied), (101, copied), (110, near), (111, near + " ra"), (120, item.replace("12", "47")), (130, None), (131, ""), (None, words(rng, 80))]
+    spark.createDataFrame([(*r, "en", "s", 0) for r in rows], "doc_id long, text string, lang string, source string, n_chars long").write.parquet(f"{tmp_path}/documents.parquet")
+    spark.createDataFrame([(i, 1, int(i % 3 == 0)) for i in range(60)], "doc_id long, quality int, toxic int").write.parquet(f"{tmp_path}/labels.parquet")
+    spark.createDataFrame([(1, item)], "item_id long, text string").write.parquet(f"{tmp_path}/benchmark.parquet")
+    table, seen = spark.read.parquet(f"{tmp_path}/documents.parquet"), {}
+    # So small a sample says nothing of texts unlike its own: the other stages get all that isn't toxic.
+    clean = corpus_pipeline.drop_toxic(spark, table, str(tmp_path)).where("doc_id < 60").collect()
+    assert all(r["doc_id"] % 3 for r in clean) and len(clean) > 30
+    table = table.where("doc_id is null or doc_id >= 60 or doc_id % 3 > 0")
+    for name, stage in corpus_pipeline.STAGES[1:-1]:
+        before = {r[0] for r in table.select("doc_id").collect()}
+        table = corpus_pipeline.materialize(stage(spark, table, str(tmp_path)), name)
+        seen[name] = before - {r[0] for r in table.select("doc_id").collect()}
+    assert seen == {"exact_dedup": {100, 130}, "near_dedup": {111}, "decontaminate": {120}}
+    packed = corpus_pipeline.pack(spark, table, str(tmp_path))
+    assert {r[0] for r in packed.select("doc_id").collect()} <= {r[0] for r in table.select("doc_id").collect()}
