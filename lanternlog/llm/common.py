@@ -4,6 +4,9 @@ from __future__ import annotations
 
 import tempfile
 import uuid
+from collections.abc import Callable, Iterator
+from contextlib import contextmanager
+from contextvars import ContextVar
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -12,22 +15,55 @@ from pyspark.sql import functions as F
 BROADCAST_ROWS = 500_000
 
 
+#: Folder of the innermost ``scratch`` block; empty outside.
+_folder: ContextVar[str] = ContextVar("scratch_folder", default="")
+
+
 def scratch_root(spark: SparkSession) -> str:
-    """The shared folder the cluster names; a temporary one only where none is named (tests)."""
+    """The shared folder the cluster names; a temporary one only in local mode with none named (tests)."""
     root = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getCheckpointDir()
     if not root:
+        if not spark.sparkContext.master.startswith("local"):
+            raise ValueError("spark.checkpoint.dir must name a folder that driver and executors share")
         root = "file://" + tempfile.mkdtemp(prefix="lanternlog-")
         spark.sparkContext.setCheckpointDir(root)
     return root.rstrip("/")
 
 
+def delete(spark: SparkSession, path: str) -> None:
+    """Remove a folder of the shared store, whatever store that is."""
+    at = spark._jvm.org.apache.hadoop.fs.Path(path)
+    at.getFileSystem(spark._jsc.hadoopConfiguration()).delete(at, True)
+
+
 def materialize(df: DataFrame, name: str) -> DataFrame:
     """Write ``df`` to the shared folder and read it back: lineage is cut, lost executors don't matter."""
-    path = f"{scratch_root(df.sparkSession)}/{name}-{uuid.uuid4().hex}"
+    path = f"{_folder.get() or scratch_root(df.sparkSession)}/{name}-{uuid.uuid4().hex}"
     df.write.parquet(path)
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
+@contextmanager
+def scratch(spark: SparkSession) -> Iterator[Callable[[DataFrame, str], DataFrame]]:
+    """What ``materialize`` writes inside is deleted at the end; the yielded function writes a table that stays."""
+    outer = _folder.get()
+    folder = f"{outer or scratch_root(spark)}/scratch-{uuid.uuid4().hex}"
+    mark = _folder.set(folder)
+
+    def keep(df: DataFrame, name: str) -> DataFrame:
+        inner = _folder.set(outer)
+        try:
+            return materialize(df, name)
+        finally:
+            _folder.reset(inner)
+
+    try:
+        yield keep
+    finally:
+        _folder.reset(mark)
+        delete(spark, folder)
+
+
 def checked_broadcast(df: DataFrame, rows: int = BROADCAST_ROWS) -> DataFrame:
     """``df`` (already materialized, narrow) with a broadcast hint only when it has at most ``rows`` rows."""
     return F.broadcast(df) if df.limit(rows + 1).count() <= rows else df

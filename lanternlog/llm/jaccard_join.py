@@ -14,16 +14,20 @@ signatures with long lists (over ``LONG`` sets), together with its empty segment
 leaves those lists; only sets with more of them, such as members of large groups of near copies,
 stay there. A passage that many documents share thus makes no long lists of unlike documents.
 
-Sets that share a signature form a bucket. A candidate pair is first held against parity sketches
-(every shingle flips one bit, so sets never differ in fewer shingles than their sketches in bits),
-and what that can't rule out is verified on the whole texts. Only connected groups are asked for,
-so buckets are not expanded into all pairs: members are compared with the bucket's pivot first,
-then buckets that are one group are done. The rest take further pivots outside their largest group,
-``PIVOTS`` a round, held in blocks against the blocks of their bucket, so that only pairs which
-sketches let pass become rows: first each pivot's nearest of a block, which joins most of a large
-group, then all pairs still between different groups. A pivot that has met its bucket leaves it. When the pairs between
-different groups that are left are few for each member, all take their turn at once.
-Copies of a set are one class from the start.
+Sets that share a signature form a bucket; one shuffle of (signature, set) finds those of two or
+more. A set has hundreds of signatures and each at most once, so even a signature that all sets have is
+a small share of that shuffle. A candidate pair is first held against parity sketches, which grow
+with the set (every shingle flips one bit, so sets never differ in fewer shingles than their
+sketches in bits); what they can't rule out is verified on the shingles of both texts, which are
+sent for such pairs only. Copies of a set are one class from the start.
+
+Only connected groups are asked for, so buckets are not expanded into all pairs. Members are held
+against the bucket's pivot first; buckets that are one group then are done. In the rest, rows
+outside the largest group are held against their bucket in blocks of ``BLOCK`` rows: first each
+set in its largest bucket only, then in all. A block gives only a lightest spanning forest of the
+pairs that sketches let pass, so its rows are linear in its members; once those are
+verified, all pairs still between different groups follow. Larger buckets take ``PIVOTS`` rows a
+round; a row that has met its bucket leaves it.
 """
 
 from __future__ import annotations
@@ -38,17 +42,18 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import Window
 
-from .common import checked_broadcast, drop_ids, materialize, text_hash
+from .common import checked_broadcast, drop_ids, materialize, scratch, text_hash
 
 U = np.uint64
-#: Cross-group pairs per bucket member up to which all that are left are verified at once.
-PAIRS_PER_MEMBER = 512
-PIVOTS = 512
-#: Sets whose sketches are compared at once.
-BLOCK = 64
-SKETCH_BITS = 1024
+#: Sketch comparisons per bucket member up to which all rows that are left take their turn at once.
+PAIRS_PER_MEMBER = 16_384
+PIVOTS = 4096
+#: Rows of a bucket whose sketches one task holds against another such block.
+BLOCK = 4096
+#: Bits of the smallest sketch; larger sets have as many bits as shingles at least.
+SKETCH_BITS = 512
 #: Candidate pairs that a task holds to report each once.
-HELD = 1_000_000
+HELD = 500_000
 #: Sets in a list from which on it is left by those that can do without.
 LONG = 24
 
@@ -78,11 +83,33 @@ def shingles(text: str | None, k: int) -> np.ndarray:
 
 
 def sketch(s: np.ndarray) -> bytes:
-    """Parity of the shingles that fall on each of ``SKETCH_BITS`` bits."""
-    bits = np.bincount((mix(s ^ U(0x1D8E4E27C47D124F)) & U(SKETCH_BITS - 1)).astype(np.int64), minlength=SKETCH_BITS) & 1
+    """Parity of the shingles that fall on each bit; halves of a sketch add up to the sketch of half its size."""
+    size = SKETCH_BITS
+    while size < len(s):
+        size *= 2
+    bits = np.bincount((mix(s ^ U(0x1D8E4E27C47D124F)) & U(size - 1)).astype(np.int64), minlength=size) & 1
     return np.packbits(bits.astype(np.uint8)).tobytes()
 
 
+def folded(sketches: np.ndarray, words: int) -> np.ndarray:
+    """Sketches (rows of 64-bit words) brought down to ``words`` words each."""
+    while (half := sketches.shape[1] // 2) >= words:
+        sketches = sketches[:, :half] ^ sketches[:, half:]
+    return sketches
+
+
+def by_size(sketches: list[bytes]) -> list[tuple[np.ndarray, np.ndarray]]:
+    """(positions, rows of 64-bit words) for the sketches of each size."""
+    sizes = np.fromiter(map(len, sketches), np.int64, len(sketches))
+    groups = [np.flatnonzero(sizes == size) for size in np.unique(sizes)]
+    return [(at, np.frombuffer(b"".join([sketches[i] for i in at]), np.uint64).reshape(len(at), -1)) for at in groups]
+
+
+def alike(n: np.ndarray, m: np.ndarray, apart: np.ndarray, percent: int) -> np.ndarray:
+    """Whether sets of ``n`` and ``m`` shingles that differ in ``apart`` of them or more may have the asked similarity."""
+    return (100 * np.minimum(n, m) >= percent * np.maximum(n, m)) & (apart * (100 + percent) <= (100 - percent) * (n + m))
+
+
 class Bands:
     """Size bands for a similarity of ``percent``, and the plan of each."""
 
@@ -151,32 +178,49 @@ def signatures(s: np.ndarray, bands: Bands) -> tuple[np.ndarray, int]:
     return np.unique(np.concatenate(out)).view(np.int64), max(slack, -1)
 
 
-def shingle_sets(docs: DataFrame, k: int, percent: int, steps: int) -> DataFrame:
-    """(doc_id, n_shingles, digest of the set, sketch, signatures), one row for each row of docs."""
+def shingle_sets(docs: DataFrame, k: int) -> DataFrame:
+    """(doc_id, n_shingles, digest of the set, sketch), one row for each row of docs."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        bands = Bands(percent, steps)
         for b in batches:
-            n, digest, sketches, slacks, sigs = [], [], [], [], []
-            for text in b.column(1).to_pylist():
-                s = shingles(text, k)
+            n, digest, sketches = [], [], []
+            for text in b.column(1):
+                s = shingles(text.as_py(), k)
                 n.append(len(s))
                 with np.errstate(over="ignore"):
                     digest.append(b"".join(int(mix(s + U(c)).sum()).to_bytes(8, "little") for c in (1, 2)) if len(s) else None)
                 sketches.append(sketch(s))
-                found, slack = signatures(s, bands)
-                sigs.append(found)
-                slacks.append(slack)
-            sizes = np.cumsum([0, *map(len, sigs)]).astype(np.int32)
-            lists = pa.ListArray.from_arrays(pa.array(sizes), pa.array(np.concatenate([np.empty(0, np.int64), *sigs])))
-            yield pa.RecordBatch.from_arrays(
-                [b.column(0), pa.array(n, pa.int64()), pa.array(digest, pa.binary()), pa.array(sketches, pa.binary()), pa.array(slacks, pa.int32()), lists],
-                ["doc_id", "n_shingles", "digest", "sketch", "slack", "sigs"],
-            )
-
-    return docs.select(F.col("doc_id").cast("long"), F.col("text").cast("string")).mapInArrow(
-        run, "doc_id long, n_shingles long, digest binary, sketch binary, slack int, sigs array<long>"
-    )
+            columns = [b.column(0), pa.array(n, pa.int64()), pa.array(digest, pa.binary()), pa.array(sketches, pa.binary())]
+            yield pa.RecordBatch.from_arrays(columns, ["doc_id", "n_shingles", "digest", "sketch"])
+
+    return docs.select(F.col("doc_id").cast("long"), F.col("text").cast("string")).mapInArrow(run, "doc_id long, n_shingles long, digest binary, sketch binary")
+
+
+def signature_rows(docs: DataFrame, k: int, percent: int, steps: int) -> DataFrame:
+    """(sig, rep, slack) for every signature of every document of ``docs`` (doc_id, text)."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        bands = Bands(percent, steps)
+
+        def rows(sigs: list[np.ndarray], reps: list[int], slacks: list[int]) -> pa.RecordBatch:
+            sizes = [len(x) for x in sigs]
+            columns = [pa.array(np.concatenate(sigs)), pa.array(np.repeat(np.array(reps, np.int64), sizes)), pa.array(np.repeat(np.array(slacks, np.int32), sizes))]
+            return pa.RecordBatch.from_arrays(columns, ["sig", "rep", "slack"])
+
+        for b in batches:
+            sigs, reps, slacks, held = [], [], [], 0
+            for rep, text in zip(b.column(0).to_pylist(), b.column(1), strict=True):
+                found, slack = signatures(shingles(text.as_py(), k), bands)
+                for to, x in ((sigs, found), (reps, rep), (slacks, slack)):
+                    to.append(x)
+                held += len(found)
+                if held > 200_000:
+                    yield rows(sigs, reps, slacks)
+                    sigs, reps, slacks, held = [], [], [], 0
+            if sigs:
+                yield rows(sigs, reps, slacks)
+
+    return docs.select(F.col("doc_id").cast("long"), F.col("text").cast("string")).mapInArrow(run, "sig long, rep long, slack int")
 
 
 def possible(pairs: DataFrame, reps: DataFrame, percent: int) -> DataFrame:
@@ -185,91 +229,171 @@ def possible(pairs: DataFrame, reps: DataFrame, percent: int) -> DataFrame:
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             n, m = batch.column("na").to_numpy(), batch.column("nb").to_numpy()
-            x, y = (np.frombuffer(b"".join(batch.column(c).to_pylist()), np.uint64).reshape(len(batch), -1) for c in ("sa", "sb"))
-            apart = np.bitwise_count(x ^ y).sum(1, dtype=np.int64)
-            keep = (100 * np.minimum(n, m) >= percent * np.maximum(n, m)) & (apart * (100 + percent) <= (100 - percent) * (n + m))
+            x, y, keep = batch.column("sa").to_pylist(), batch.column("sb").to_pylist(), np.zeros(len(batch), bool)
+            for at, left in by_size(x):
+                for of, right in by_size([y[i] for i in at]):
+                    words = min(left.shape[1], right.shape[1])
+                    apart = np.bitwise_count(folded(left[of], words) ^ folded(right, words)).sum(1, dtype=np.int64)
+                    keep[at[of]] = alike(n[at[of]], m[at[of]], apart, percent)
             yield batch.select(["a", "b"]).filter(pa.array(keep))
 
     sided = pairs.join(reps.select(F.col("doc_id").alias("a"), F.col("n_shingles").alias("na"), F.col("sketch").alias("sa")), "a").join(
         reps.select(F.col("doc_id").alias("b"), F.col("n_shingles").alias("nb"), F.col("sketch").alias("sb")), "b"
     )
+    # Sizes are told before sketches are read.
+    sided = sided.where(F.least("na", "nb") * 100 >= F.greatest("na", "nb") * percent)
     return sided.select("a", "b", "na", "nb", "sa", "sb").mapInArrow(run, "a long, b long").distinct()
 
 
-def in_blocks(rows: DataFrame, names: str) -> DataFrame:
-    """(sig, lists of rep, label, size and sketch) for about ``BLOCK`` of a bucket's rows each, never a whole large bucket."""
-    block = F.pmod(F.xxhash64("rep"), F.ceil(F.col("rows") / BLOCK)).alias("block")
-    return rows.select("sig", block, F.struct("rep", "label", "n_shingles", "sketch").alias("row")).groupBy("sig", "block").agg(F.collect_list("row").alias(names)).drop("block")
-
-
-def possible_in_buckets(ahead: DataFrame, rows: DataFrame, reps: DataFrame, percent: int, nearest: bool) -> DataFrame:
-    """Pairs (a, b) of different labels, from ``ahead`` and ``rows`` (sig, rep, label, rows) of one bucket, that sizes and sketches don't rule out.
-
-    With ``nearest`` each row of ``ahead`` gives one pair a block at most: that of the fewest differing sketch bits.
+def forest(u: np.ndarray, v: np.ndarray, weight: np.ndarray) -> np.ndarray:
+    """Positions of the edges (u, v) of a lightest spanning forest; equal weights go by ends."""
+    ids, ends = np.unique(np.concatenate([u, v]), return_inverse=True)
+    order = np.lexsort((v, u, weight))
+    a, b = ends[: len(u)][order], ends[len(u) :][order]
+    tree, left, taken, none = np.arange(len(ids)), np.arange(len(u)), np.zeros(len(u), bool), len(u)
+    while True:
+        left = left[tree[a[left]] != tree[b[left]]]
+        if not len(left):
+            return order[taken]
+        lightest = np.full(len(ids), none)
+        np.minimum.at(lightest, tree[a[left]], left)
+        np.minimum.at(lightest, tree[b[left]], left)
+        roots = np.flatnonzero(lightest < none)
+        edge = lightest[roots]
+        taken[edge] = True
+        joins = np.arange(len(ids))
+        joins[roots] = tree[a[edge]] + tree[b[edge]] - roots
+        twice = roots[(joins[joins[roots]] == roots) & (roots < joins[roots])]  # two trees that took the same edge
+        joins[twice] = twice
+        while (joins[joins] != joins).any():
+            joins = joins[joins]
+        tree = joins[tree]
+
+
+class Rows:
+    """Bucket rows of one batch as arrays."""
+
+    def __init__(self, lists: list[pa.ListArray]):
+        rows = pa.concat_arrays([x.flatten() for x in lists])
+        self.rep, self.label, self.n = (rows.field(c).to_numpy() for c in ("rep", "label", "n_shingles"))
+        self.ahead = rows.field("ahead").to_numpy(zero_copy_only=False)
+        self.sketches = rows.field("sketch").to_pylist()
+
+    def edges(self, p: np.ndarray, q: np.ndarray, apart: np.ndarray) -> np.ndarray:
+        """Columns label, label, rep, rep (the smaller first), distance of the pairs of rows (p, q)."""
+        swap = self.rep[p] > self.rep[q]
+        p, q = np.where(swap, q, p), np.where(swap, p, q)
+        return np.stack([self.label[p], self.label[q], self.rep[p], self.rep[q], apart])
+
+    def possible(self, p: np.ndarray, q: np.ndarray, percent: int) -> np.ndarray:
+        """Edges of those pairs of rows that sketches let pass."""
+        out = [np.empty((5, 0), np.int64)]
+        for at, left in by_size([self.sketches[i] for i in p]):
+            for of, right in by_size([self.sketches[i] for i in q[at]]):
+                words, x, y = min(left.shape[1], right.shape[1]), p[at[of]], q[at[of]]
+                apart = np.bitwise_count(folded(left[of], words) ^ folded(right, words)).sum(1, dtype=np.int64)
+                keep = alike(self.n[x], self.n[y], apart, percent)
+                out.append(self.edges(x[keep], y[keep], apart[keep]))
+        return np.concatenate(out, axis=1)
+
+    def possible_between(self, one: np.ndarray, two: np.ndarray, percent: int, spanning: bool) -> np.ndarray:
+        """As ``possible`` for all pairs of rows ``one`` and ``two`` with other labels; with ``spanning`` a forest of them."""
+        held = [np.empty((5, 0), np.int64)]
+
+        def reduced() -> np.ndarray:
+            edges = np.concatenate(held, axis=1)
+            return edges[:, forest(edges[0], edges[1], edges[4])] if spanning else np.unique(edges, axis=1)
+
+        for at, left in by_size([self.sketches[i] for i in one]):
+            for of, right in by_size([self.sketches[i] for i in two]):
+                words = min(left.shape[1], right.shape[1])
+                x, y, q = folded(left, words), folded(right, words), two[of]
+                step = max(1, (1 << 20) // y.size)
+                for k in range(0, len(x), step):
+                    p = one[at[k : k + step]]
+                    apart = np.bitwise_count(x[k : k + step, None] ^ y[None]).sum(2, dtype=np.int64)
+                    i, j = np.nonzero(alike(self.n[p][:, None], self.n[q][None], apart, percent) & (self.label[p][:, None] != self.label[q][None]))
+                    held.append(self.edges(p[i], q[j], apart[i, j]))
+                    if sum(h.shape[1] for h in held) > HELD:
+                        held = [reduced()]
+        return reduced()
+
+
+def possible_in_buckets(rows: DataFrame, reps: DataFrame, percent: int, spanning: bool) -> DataFrame:
+    """Pairs (a, b) of different labels, one of them ``ahead``, of one bucket that sizes and sketches don't rule out.
+
+    ``rows``: sig, rep, label, n (rows of the bucket), ahead. With ``spanning`` a larger block gives a forest of its pairs only.
     """
 
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        def parts(column: pa.ListArray, i: int) -> tuple[np.ndarray, ...]:
-            row = column[i].values
-            sketches = np.frombuffer(b"".join(row.field("sketch").to_pylist()), np.uint64).reshape(len(row), -1)
-            return *(row.field(c).to_numpy() for c in ("rep", "label", "n_shingles")), sketches
+    def pairs_of(batch: pa.RecordBatch) -> np.ndarray:
+        one, two = batch.column("one"), batch.column("two")
+        rows = Rows([two, one])
+        ends, first = two.offsets.to_numpy() - two.offsets[0].as_py(), one.offsets.to_numpy() - one.offsets[0].as_py()
+        first = first + ends[-1]
+        small, found = [np.empty((2, 0), np.int64)], []
+        for i in range(len(batch)):
+            q = np.arange(ends[i], ends[i + 1])
+            p = np.arange(first[i], first[i + 1]) if first[i] < first[i + 1] else q[rows.ahead[q]]
+            if len(p) * len(q) <= 1024:
+                n, m = rows.n[p][:, None], rows.n[q][None]
+                x, y = np.nonzero((rows.label[p][:, None] != rows.label[q][None]) & (100 * np.minimum(n, m) >= percent * np.maximum(n, m)))
+                small.append(np.stack([p[x], q[y]]))
+            else:
+                found.append(rows.possible_between(p, q, percent, spanning)[2:4])
+        return np.concatenate([rows.possible(*np.concatenate(small, axis=1), percent)[2:4], *found], axis=1).T
 
-        def rows(pairs: np.ndarray) -> pa.RecordBatch:
-            return pa.RecordBatch.from_arrays([pa.array(pairs[:, 0]), pa.array(pairs[:, 1])], ["a", "b"])
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        def out(pairs: np.ndarray) -> pa.RecordBatch:
+            return pa.RecordBatch.from_arrays([pa.array(pairs[:, c].copy()) for c in (0, 1)], ["a", "b"])
 
         # A pair often shares many signatures: each task reports it once, as long as it holds at most HELD pairs.
         held = np.empty((0, 2), np.int64)
         for batch in batches:
-            found = [held]
-            for i in range(len(batch)):
-                (ra, la, na, sa), (rb, lb, nb, sb) = parts(batch.column(0), i), parts(batch.column(1), i)
-                na, apart = na[:, None], np.bitwise_count(sa[:, None] ^ sb[None]).sum(2, dtype=np.int64)
-                keep = (100 * np.minimum(na, nb) >= percent * np.maximum(na, nb)) & (apart * (100 + percent) <= (100 - percent) * (na + nb)) & (la[:, None] != lb)
-                if nearest:
-                    x = np.flatnonzero(keep.any(1))
-                    y = np.where(keep, apart, SKETCH_BITS + 1).argmin(1)[x]
-                else:
-                    x, y = np.nonzero(keep)
-                found.append(np.column_stack([np.minimum(ra[x], rb[y]), np.maximum(ra[x], rb[y])]))
-            held = np.unique(np.concatenate(found), axis=0)
-            if len(held) > HELD:
-                yield rows(held)
-                held = held[:0]
-        yield rows(held)
+            for at in range(0, len(batch), 1024):
+                held = np.unique(np.concatenate([held, pairs_of(batch.slice(at, 1024))]), axis=0)
+                if len(held) > HELD:
+                    yield out(held)
+                    held = held[:0]
+        yield out(held)
 
     sketches = reps.select(F.col("doc_id").alias("rep"), "n_shingles", "sketch")
-    rows = materialize(rows.select("sig", "rep", "label", "rows").join(sketches, "rep"), "bucketed")
-    met = rows.join(ahead.select("sig", "rep"), ["sig", "rep"], "left_semi")
-    counted = met.drop("rows").join(met.groupBy("sig").agg(F.count("*").alias("rows")), "sig")
-    return in_blocks(counted, "one").join(in_blocks(rows, "two"), "sig").select("one", "two").mapInArrow(run, "a long, b long").distinct()
+    blocks = F.ceil(F.col("n") / BLOCK).cast("int")
+    dealt = rows.join(sketches, "rep").select(
+        "sig", blocks.alias("blocks"), F.pmod(F.xxhash64("rep"), blocks).cast("int").alias("block"), F.struct("rep", "label", "n_shingles", "sketch", "ahead").alias("row")
+    )
+    lists = materialize(dealt.groupBy("sig", "blocks", "block").agg(F.collect_list("row").alias("two")), "blocks")
+    ahead, single = F.filter("two", lambda r: r["ahead"]), F.col("blocks") == 1
+    # In larger buckets each block meets every block, keyed by the bucket and the block.
+    met = lists.where(~single).select("sig", "blocks", ahead.alias("one")).where(F.size("one") > 0)
+    met = met.select("sig", "one", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)).alias("block"))
+    split = met.join(lists.where(~single).select("sig", "block", "two"), ["sig", "block"]).select("one", "two")
+    # Where a bucket is one block, ``one`` is empty and stands for the rows ahead of ``two``.
+    return lists.where(single).select(F.slice("two", 1, 0).alias("one"), "two").unionByName(split).mapInArrow(run, "a long, b long").distinct()
 
 
 def verified(pairs: DataFrame, docs: DataFrame, k: int, percent: int) -> DataFrame:
     """The pairs (a, b) whose whole texts have the asked similarity, materialized."""
     pairs = materialize(pairs, "possible")
 
+    def sets(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for b in batches:
+            yield pa.RecordBatch.from_arrays([b.column(0), pa.array([shingles(t.as_py(), k).tobytes() for t in b.column(1)], pa.binary())], ["doc_id", "s"])
+
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        kept: dict[int, np.ndarray] = {}
         for batch in batches:
-            a, b, ta, tb = (batch.column(c) for c in range(4))
             good = []
-            for i, (x, y) in enumerate(zip(a.to_pylist(), b.to_pylist(), strict=True)):
-                if len(kept) > 16:
-                    kept.clear()
-                r = kept[x] if x in kept else kept.setdefault(x, shingles(ta[i].as_py(), k))
-                s = shingles(tb[i].as_py(), k)
-                if 100 * min(len(r), len(s)) >= percent * max(len(r), len(s)):
-                    both = len(np.intersect1d(r, s, assume_unique=True))
-                    if 100 * both >= percent * (len(r) + len(s) - both):
-                        good.append(i)
-            yield pa.RecordBatch.from_arrays([a.take(pa.array(good, pa.int64())), b.take(pa.array(good, pa.int64()))], ["a", "b"])
+            for i, (x, y) in enumerate(zip(batch.column("x"), batch.column("y"), strict=True)):
+                r, s = (np.frombuffer(v.as_buffer(), U) for v in (x, y))
+                both = len(np.intersect1d(r, s, assume_unique=True))
+                if 100 * both >= percent * (len(r) + len(s) - both):
+                    good.append(i)
+            yield batch.select(["a", "b"]).take(pa.array(good, pa.int64()))
 
     ids = materialize(pairs.select(F.explode(F.array("a", "b")).alias("doc_id")).distinct(), "ends")
-    texts = materialize(docs.select(F.col("doc_id").cast("long"), "text").join(checked_broadcast(ids), "doc_id"), "texts")
-    sided = pairs.join(texts.select(F.col("doc_id").alias("a"), F.col("text").alias("ta")), "a").join(
-        texts.select(F.col("doc_id").alias("b"), F.col("text").alias("tb")), "b"
-    )
-    return materialize(sided.select("a", "b", "ta", "tb").mapInArrow(run, "a long, b long"), "links")
+    texts = docs.select(F.col("doc_id").cast("long"), F.col("text").cast("string")).join(checked_broadcast(ids), "doc_id")
+    ends = materialize(texts.mapInArrow(sets, "doc_id long, s binary").dropDuplicates(["doc_id"]), "shingles")
+    sided = pairs.join(ends.select(F.col("doc_id").alias("a"), F.col("s").alias("x")), "a").join(ends.select(F.col("doc_id").alias("b"), F.col("s").alias("y")), "b")
+    return materialize(sided.select("a", "b", "x", "y").mapInArrow(run, "a long, b long"), "links")
 
 
 def components(links: DataFrame) -> DataFrame:
@@ -291,40 +415,53 @@ def components(links: DataFrame) -> DataFrame:
             return labels
 
 
-def groups_of(reps: DataFrame, docs: DataFrame, k: int, percent: int) -> DataFrame:
-    """(node, label) of the set representatives that have a link, from their signatures."""
-    sigs = reps.select(F.col("doc_id").alias("rep"), F.explode("sigs").alias("sig"))
-    shared = sigs.groupBy("sig").count().where("count > 1").select("sig", (F.col("count") > LONG).alias("long"))
-    listed = materialize(sigs.join(shared, "sig").select("sig", "rep", "long"), "listed")
-    in_long = listed.where("long").groupBy("rep").agg(F.count("*").alias("n_long"))
-    needing = reps.select(F.col("doc_id").alias("rep"), "slack").join(in_long, "rep").where("n_long > slack").select("rep")
-    members = listed.where("not long").unionByName(listed.where("long").join(needing, "rep", "left_semi").select("sig", "rep", "long"))
-    members = materialize(members.select("sig", "rep"), "members")
+def members_of(sigs: DataFrame) -> DataFrame:
+    """(sig, rep) of the buckets of two or more, without the rows of long lists that their set can do without."""
+    bucket = Window.partitionBy("sig")
+    listed = sigs.select("sig", "rep", "slack", F.count("*").over(bucket).alias("n")).where("n > 1")
+    listed = materialize(listed.select("sig", "rep", "slack", (F.col("n") > LONG).alias("long")), "listed")
+    needing = listed.where("long").groupBy("rep").agg(F.count("*").alias("lists"), F.max("slack").alias("slack")).where("lists > slack").select("rep")
+    return materialize(listed.where("not long").select("sig", "rep").unionByName(listed.where("long").join(needing, "rep", "left_semi").select("sig", "rep")), "members")
+
+
+def groups_of(reps: DataFrame, docs: DataFrame, k: int, percent: int, steps: int) -> DataFrame:
+    """(node, label) of the set representatives that have a link, from the signatures of their texts (``docs``)."""
+    members = members_of(signature_rows(docs, k, percent, steps))
     pivots = members.groupBy("sig").agg(F.min("rep").alias("pivot"))
     pairs = members.join(pivots, "sig").where("rep != pivot").select(F.col("pivot").alias("a"), F.col("rep").alias("b")).distinct()
     links = verified(possible(pairs, reps, percent), docs, k, percent)
     labels = components(links)
     # A pivot has met its whole bucket: no link of it is missing there, so it leaves.
-    open_ = members.join(pivots, "sig").where("rep != pivot").select("sig", "rep")
-    while True:
+    open_ = unsettled(members.join(pivots, "sig").where("rep != pivot"), labels)
+
+    def joined(rows: DataFrame, spanning: bool) -> None:
+        nonlocal links, labels
+        found = verified(possible_in_buckets(rows, reps, percent, spanning), docs, k, percent)
+        if not found.isEmpty():
+            links = materialize(links.union(found), "links")
+            labels = components(links)
+
+    ahead = F.col("label") != F.col("main")
+    # Each set in its largest bucket only: this joins most of a large group.
+    largest = open_.groupBy("rep").agg(F.max(F.struct("n", "sig")).alias("at")).select("rep", "at.sig")
+    first = unsettled(open_.join(largest, ["sig", "rep"], "left_semi"), labels)
+    if not first.isEmpty():
+        joined(first.withColumn("ahead", ahead), True)
         open_ = unsettled(open_, labels)
-        size = open_.agg(F.count("*"), F.sum(F.when(F.col("label") != F.col("main"), F.col("n")))).first()
+    while True:
+        size = open_.agg(F.count("*"), F.sum(F.when(ahead, F.col("n")))).first()
         if not size[0]:
             return labels
-        # Pivots are taken outside the largest part: once none is left there, the bucket is one group.
-        ahead, last = open_.where("label != main").select("sig", "rep", "label"), size[1] <= max(100_000, PAIRS_PER_MEMBER * size[0])
-        if not last:
-            ahead = ahead.join(smallest(ahead, PIVOTS), ["sig", "rep"], "left_semi")
-        ahead, rows = materialize(ahead.select("sig", "rep"), "ahead"), open_
-        for nearest in (True, False):
-            found = verified(possible_in_buckets(ahead, rows.withColumnRenamed("n", "rows"), reps, percent, nearest), docs, k, percent)
-            if not found.isEmpty():
-                links = materialize(links.union(found), "links")
-                labels = components(links)
-                rows = unsettled(open_, labels)
+        # Rows are taken outside the largest part: once none is left there, the bucket is one group.
+        last, turn = (size[1] or 0) <= max(1_000_000, PAIRS_PER_MEMBER * size[0]), open_.where(ahead).select("sig", "rep")
+        turn = materialize(turn if last else smallest(turn, PIVOTS), "turn")
+        for spanning in (True, False):
+            rows = open_ if spanning else unsettled(open_, labels)
+            flagged = rows.join(turn.withColumn("ahead", F.lit(True)), ["sig", "rep"], "left").withColumn("ahead", F.coalesce("ahead", F.lit(False)))
+            joined(flagged, spanning)
         if last:
             return labels
-        open_ = open_.join(ahead, ["sig", "rep"], "left_anti").select("sig", "rep")
+        open_ = unsettled(open_.join(turn, ["sig", "rep"], "left_anti"), labels)
 
 
 def unsettled(rows: DataFrame, labels: DataFrame) -> DataFrame:
@@ -346,20 +483,27 @@ def similarity_groups(docs: DataFrame, k: int = 5, percent: int = 80, steps: int
 
     A null or empty text has no shingles and is linked with nothing: component_id is its doc_id.
     The smallest doc_id of a group names it. Other texts under one doc_id are documents of their
-    own. A null doc_id gets the group of the equal sets that have one, else null.
+    own. A null doc_id gets the group of the equal sets that have one, else null. Whole texts are
+    read, however long; other columns are ignored; an empty table gives an empty result.
     """
-    sets = materialize(shingle_sets(docs, k, percent, steps), "sets")
+    with scratch(docs.sparkSession) as keep:
+        return keep(grouped(docs, k, percent, steps), "groups")
+
+
+def grouped(docs: DataFrame, k: int, percent: int, steps: int) -> DataFrame:
+    sets = materialize(shingle_sets(docs, k), "sets")
     if ids_repeat(sets):
         numbered, nodes = one_id_a_text(docs)
-        found = similarity_groups(numbered, k, percent, steps)
+        found = grouped(numbered, k, percent, steps)
         for node, name in (("doc_id", "id"), ("component_id", "component")):
             found = found.join(nodes.select(F.col("node").alias(node), F.col("doc_id").alias(name)), node, "left")
         return found.select(F.col("id").alias("doc_id"), "n_shingles", F.col("component").alias("component_id"))
     full = sets.where("n_shingles > 0")
     classes = materialize(full.groupBy("digest").agg(F.min("doc_id").alias("rep")), "classes")
-    copies = full.join(classes, "digest").where("doc_id != rep").select("doc_id")
-    reps = drop_ids(full.where("doc_id is not null"), copies, "copies")
-    labels = groups_of(reps, docs, k, percent)
+    copies = materialize(full.join(classes, "digest").where("doc_id != rep").select("doc_id").distinct(), "copies")
+    reps = drop_ids(full.where("doc_id is not null"), copies, "copies").dropDuplicates(["doc_id"])
+    texts = drop_ids(docs.select(F.col("doc_id").cast("long"), "text").where("doc_id is not null"), copies, "copies")
+    labels = groups_of(materialize(reps, "reps"), texts, k, percent, steps)
     named = classes.join(labels, classes["rep"] == labels["node"], "left").select("digest", F.coalesce("label", "rep").alias("component_id"))
     found = full.select("doc_id", "n_shingles", "digest").join(named, "digest").select("doc_id", "n_shingles", "component_id")
     return found.unionByName(sets.where("n_shingles = 0").select("doc_id", "n_shingles", F.col("doc_id").alias("component_id")))
