@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 
 from lanternlog.llm import chunk_dedup, decontaminate, jaccard_join, packing, toxicity
-from lanternlog.llm.common import materialize, table
+from lanternlog.llm.common import scratch, table
 
 
 def drop_toxic(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -43,6 +43,8 @@ ORACLE_SQL = None
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
     """All stages over ``documents``, each written as Parquet and read again."""
     docs = table(spark, sf_dir, "documents")
-    for name, stage in STAGES:
-        docs = materialize(stage(spark, docs, sf_dir), f"stage-{name}")
-    return docs
+    with scratch(spark) as keep:
+        for name, stage in STAGES[:-1]:
+            with scratch(spark) as keep_stage:
+                docs = keep_stage(stage(spark, docs, sf_dir), f"stage-{name}")
+        return keep(STAGES[-1][1](spark, docs, sf_dir), f"stage-{STAGES[-1][0]}")
