@@ -4,7 +4,7 @@ from __future__ import annotations
 
 import json
 import re
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 from dataclasses import dataclass, field
 
 import pandas as pd
@@ -72,61 +72,97 @@ def java_pattern(pattern: str, ignore_case: bool) -> str:
     return ("(?iuU)" if ignore_case else "(?U)") + re.sub(r"\(\?P<", "(?<", re.sub(r"\(\?P=(\w+)\)", r"\\k<\1>", pattern))
 
 
+def name_test(spec: RedactionSpec) -> tuple[str, str]:
+    """Two patterns, in a syntax that Python and Java share, for a field name in lower case with ``_`` for its word bounds.
+
+    The first finds a listed name or a marker among the words, the second a compound once all bounds are gone.
+    """
+    return rf"(?:^|_)(?:{'|'.join(WORD_MARKERS)})(?:_|$)", "|".join(COMPOUND_MARKERS)
+
+
 def is_sensitive(name: str, spec: RedactionSpec) -> bool:
-    """By exact name, by a word of the name, or by a compound inside its joined form."""
-    parts = [p for p in re.split("[^a-z0-9]+", re.sub(r"([a-z0-9])([A-Z])", r"\1 \2", name).lower()) if p]
-    return name.lower() in spec.names or not set(parts).isdisjoint(WORD_MARKERS) or any(c in "".join(parts) for c in COMPOUND_MARKERS)
+    """Whether a field's name alone tells that its value is secret."""
+    word, compound = name_test(spec)
+    words = re.sub("[^a-z0-9]+", "_", re.sub("(?<=[a-z0-9])(?=[A-Z])", "_", name).lower())
+    return bool(name.lower() in spec.names or re.search(word, words) or re.search(compound, words.replace("_", "")))
 
 
 def sensitive_name(name: Column, spec: RedactionSpec) -> Column:
     """Column form of ``is_sensitive``."""
-    parts = F.split(F.lower(F.regexp_replace(name, "(?<=[a-z0-9])(?=[A-Z])", " ")), "[^a-z0-9]+")
+    word, compound = name_test(spec)
+    words = F.regexp_replace(F.lower(F.regexp_replace(name, "(?<=[a-z0-9])(?=[A-Z])", "_")), "[^a-z0-9]+", "_")
     listed = F.lower(name).isin(*sorted(spec.names)) if spec.names else F.lit(False)
-    return listed | F.arrays_overlap(parts, F.array(*map(F.lit, WORD_MARKERS))) | F.array_join(parts, "").rlike("|".join(COMPOUND_MARKERS))
+    return listed | words.rlike(word) | F.replace(words, F.lit("_"), F.lit("")).rlike(compound)
+
+
+#: No rule but a user's own can match a text without one of these.
+CUE = r"(?U)[:=@\s]|eyJ"
 
 
 def redact_text(text: Column, spec: RedactionSpec) -> Column:
-    """Cuts a long text with a note of how much, then applies the rules in order."""
+    """Cuts a long text with a note of how much, then applies the rules in order; most short values need one look only."""
     cut = F.concat(F.substring(text, 1, spec.max_chars), F.lit("... [truncated "), F.length(text) - spec.max_chars, F.lit(" chars]"))
-    out = F.when(F.length(text) > spec.max_chars, cut).otherwise(text)
-    for pattern, replacement, ignore_case in spec.rules():
+    short = F.when(F.length(text) > spec.max_chars, cut).otherwise(text)
+    out, own = short, len(spec.patterns)
+    rules = spec.rules()
+    for pattern, replacement, ignore_case in rules[: len(rules) - own]:
+        out = F.regexp_replace(out, java_pattern(pattern, ignore_case), replacement)
+    out = F.when(short.rlike(CUE), out).otherwise(short)
+    for pattern, replacement, ignore_case in rules[len(rules) - own :]:
         out = F.regexp_replace(out, java_pattern(pattern, ignore_case), replacement)
     return out
 
 
-def redact_value(value: object, spec: RedactionSpec, rules: list[tuple[re.Pattern, str]], budget: list[int], name: str | None = None, depth: int = 0) -> object:
-    """One JSON value: masked under a sensitive name, else text by rules and containers part by part."""
-    budget[0] -= 1
-    if depth > spec.max_depth or budget[0] < 0:
-        return "[TRUNCATED]"
-    if name is not None and is_sensitive(name, spec):
-        return MASK
-    if isinstance(value, str):
-        if len(value) > spec.max_chars:
-            value = f"{value[: spec.max_chars]}... [truncated {len(value) - spec.max_chars} chars]"
+def mask_tree(root: object, spec: RedactionSpec, clean: Callable[[str], str]) -> object:
+    """A decoded JSON value with secrets masked in place, by an explicit stack of places still to be looked at.
+
+    Places come off in document order. A place too deep, or beyond the allowed number of places, is cut.
+    """
+    top = [root]
+    todo, looked_at = [(top, 0, 0)], 0
+    while todo:
+        holder, key, depth = todo.pop()
+        looked_at += 1
+        item, names = holder[key], isinstance(holder, dict)
+        if depth > spec.max_depth or looked_at > spec.max_nodes:
+            holder[key] = "[TRUNCATED]"
+        elif names and key and is_sensitive(key, spec):
+            holder[key] = MASK
+        elif isinstance(item, str):
+            holder[key] = clean(item)
+        elif isinstance(item, (dict, list)):
+            keys = list(item) if isinstance(item, dict) else range(len(item))
+            todo.extend((item, k, depth + 1) for k in reversed(keys))
+    return top[0]
+
+
+def text_cleaner(spec: RedactionSpec) -> Callable[[str], str]:
+    """``redact_text`` for one Python string."""
+    fixed = [(re.compile(p, re.IGNORECASE if i else 0), re.sub(r"\$(\d)", r"\\\1", r)) for p, r, i in (*TEXT_RULES, *((EMAIL_RULE,) if spec.emails else ()))]
+    rules = fixed + [(re.compile(p), r) for p, r in spec.patterns]
+
+    def clean(text: str) -> str:
+        over = len(text) - spec.max_chars
+        shown = text if over <= 0 else text[: spec.max_chars] + f"... [truncated {over} chars]"
         for pattern, replacement in rules:
-            value = pattern.sub(replacement, value)
-        return value
-    if isinstance(value, dict):
-        return {k: redact_value(v, spec, rules, budget, k, depth + 1) for k, v in value.items()}
-    if isinstance(value, list):
-        return [redact_value(v, spec, rules, budget, None, depth + 1) for v in value]
-    return value
+            shown = pattern.sub(replacement, shown)
+        return shown
+
+    return clean
 
 
 def redact_json(text: Column, spec: RedactionSpec) -> Column:
     """A JSON object's text with every nested secret masked; what can't be decoded is masked whole."""
-    python = [(p, re.sub(r"\$(\d)", r"\\\1", r), i) for p, r, i in (*TEXT_RULES, *((EMAIL_RULE,) if spec.emails else ()))]
 
     @F.pandas_udf("string")
     def run(batches: Iterator[pd.Series]) -> Iterator[pd.Series]:
-        rules = [(re.compile(p, re.IGNORECASE if i else 0), r) for p, r, i in python] + [(re.compile(p), r) for p, r in spec.patterns]
+        clean = text_cleaner(spec)
 
         def one(item: str | None) -> str | None:
             if item is None:
                 return None
             try:
-                return json.dumps(redact_value(json.loads(item), spec, rules, [spec.max_nodes]), separators=(",", ":"), ensure_ascii=False)
+                return json.dumps(mask_tree(json.loads(item), spec, clean), separators=(",", ":"), ensure_ascii=False)
             except (ValueError, RecursionError):
                 return json.dumps("[TRUNCATED]")
 
@@ -137,19 +173,26 @@ def redact_json(text: Column, spec: RedactionSpec) -> Column:
 
 
 def redact_attributes(text: Column, spec: RedactionSpec) -> Column:
-    """Attributes by built-in functions where they are flat; only nested ones go to the helper."""
+    """Attributes by built-in functions where every value is a scalar; objects with nested ones go to the helper.
+
+    What a value is comes from the parsed JSON, never from the look of the text. A value that is no
+    scalar has no way through the built-in path: it would be masked there.
+    """
     fragments = F.from_json(text, "map<string,string>")
-    flat = F.transform_values(
-        F.try_parse_json(text).try_cast("map<string,variant>"),
-        lambda k, v: F.when(sensitive_name(k, spec), F.to_json(F.array(F.lit(MASK)))).when(
-            F.schema_of_variant(v) == "STRING", F.to_json(F.array(redact_text(F.variant_get(v, "$", "string"), spec)))
-        ),
-    )
-    parts = F.transform(
-        F.map_entries(flat),
-        lambda e: F.concat(
-            F.regexp_replace(F.to_json(F.array(e["key"])), r"^\[|\]$", ""), F.lit(":"), F.coalesce(F.regexp_replace(e["value"], r"^\[|\]$", ""), F.element_at(fragments, e["key"]), F.lit("null"))
-        ),
-    )
-    nested = F.coalesce(text.rlike(r"^\s*\{.*[\[{]"), F.lit(True)) | flat.isNull()
-    return F.when(text.isNull(), None).when(~nested, F.concat(F.lit("{"), F.array_join(parts, ","), F.lit("}"))).otherwise(redact_json(F.when(nested, text), spec))
+    parsed = F.try_parse_json(text).try_cast("map<string,variant>")
+    nested = parsed.isNull() | F.exists(F.map_values(parsed), lambda v: F.coalesce(F.schema_of_variant(v).rlike("^(OBJECT|ARRAY)"), F.lit(False)))
+
+    def shown(key: Column, value: Column) -> Column:
+        kind = F.coalesce(F.schema_of_variant(value), F.lit("VOID"))
+        in_quotes = lambda c: F.regexp_replace(F.to_json(F.array(c)), r"^\[|\]$", "")
+        return (
+            F.when(sensitive_name(key, spec), in_quotes(F.lit(MASK)))
+            .when(kind == "STRING", in_quotes(redact_text(F.variant_get(value, "$", "string"), spec)))
+            .when(kind == "VOID", F.lit("null"))
+            .when(kind.rlike("^(BIGINT|DECIMAL|DOUBLE|BOOLEAN)"), F.coalesce(F.element_at(fragments, key), in_quotes(F.lit(MASK))))
+            .otherwise(in_quotes(F.lit(MASK)))
+        )
+
+    parts = F.transform(F.map_entries(parsed), lambda e: F.concat(F.regexp_replace(F.to_json(F.array(e["key"])), r"^\[|\]$", ""), F.lit(":"), shown(e["key"], e["value"])))
+    flat = F.concat(F.lit("{"), F.array_join(parts, ","), F.lit("}"))
+    return F.when(text.isNull(), None).when(~nested, flat).otherwise(redact_json(F.when(nested, text), spec))

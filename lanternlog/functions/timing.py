@@ -3,12 +3,10 @@
 from __future__ import annotations
 
 import re
-from datetime import UTC, datetime, timedelta
+from datetime import timedelta
 
-import pandas as pd
 from pyspark.sql import Column
 from pyspark.sql import functions as F
-from pyspark.sql.types import LongType
 
 # Seconds per unit of a duration, and where each bucket cuts "YYYY-MM-DD HH:MM:SS".
 UNIT_SECONDS = {"s": 1, "m": 60, "h": 3600, "d": 86400, "w": 604800}
@@ -40,26 +38,38 @@ def utc_from_micros(micros: Column) -> Column:
     return F.expr("timestamp_ntz'1970-01-01 00:00:00'") + F.make_dt_interval(F.lit(0), F.lit(0), F.lit(0), (micros.cast("decimal(24,6)") / 1_000_000).cast("decimal(18,6)"))
 
 
-@F.pandas_udf(LongType())
-def odd_iso_micros(texts: pd.Series) -> pd.Series:
-    """Micros of the ISO forms that casts don't know: basic dates, week dates, decimal commas."""
+# ISO 8601 forms that casts don't know: a calendar or week date with or without dashes, then a time with or without colons.
+ODD_ISO = (
+    r"^(?:(\d{4})(\d\d)(\d\d)|(\d{4})-(\d\d)-(\d\d)|(\d{4})W(\d\d)(\d?)|(\d{4})-W(\d\d)(?:-(\d))?)"
+    r"(?:.(\d\d)(?::(\d\d)(?::(\d\d))?|(\d\d)(\d\d)?)?(?:[.,](\d+))?(Z|[+-]\d\d(?::?\d\d)?)?)?$"
+)
 
-    def micros(text: str | None) -> int | None:
-        try:
-            parsed = datetime.fromisoformat(text.strip().removesuffix("Z") + "+00:00" if text.strip().endswith("Z") else text.strip())
-        except (ValueError, AttributeError):
-            return None
-        parsed = parsed.replace(tzinfo=UTC) if parsed.tzinfo is None else parsed
-        return (parsed - datetime(1970, 1, 1, tzinfo=UTC)) // timedelta(microseconds=1)
 
-    return pd.Series([micros(t) for t in texts], dtype="Int64")
+def odd_iso_micros(text: Column) -> Column:
+    """Micros of the ISO forms of ``ODD_ISO``, null for other texts and days or times that don't exist."""
+    def part(*groups: int) -> Column:
+        return F.concat(*[F.regexp_extract(text, ODD_ISO, g) for g in groups])  # one of them at most isn't empty
+
+    def number(c: Column, default: int) -> Column:
+        return F.coalesce(c.try_cast("int"), F.lit(default))
+
+    of_week, week, day = part(7, 10), number(part(8, 11), 0), number(part(9, 12), 1)
+    monday = F.date_add(F.trunc(F.concat(of_week, F.lit("-01-04")).try_cast("date"), "week"), (week - 1) * 7)
+    # A week belongs to the year of its Thursday.
+    exists = day.between(1, 7) & (F.year(F.date_add(monday, 3)) == of_week.try_cast("int"))
+    date = F.when(of_week != "", F.when(exists, F.date_add(monday, day - 1))).otherwise(F.concat_ws("-", part(1, 4), part(2, 5), part(3, 6)).try_cast("date"))
+    hour, minute, second, fraction, zone = part(13), part(14, 16), part(15, 17), part(18), F.regexp_replace(part(19), ":", "")
+    clock = F.concat_ws(":", *[F.lpad(x, 2, "0") for x in (hour, minute, second)])
+    offset = F.when(F.length(zone) < 3, F.lit("+00:00")).otherwise(F.concat(F.substring(zone, 1, 3), F.lit(":"), F.rpad(F.substring(zone, 4, 2), 2, "0")))
+    stamp = F.concat(date.cast("string"), F.lit("T"), clock, F.lit("."), F.rpad(F.substring(fraction, 1, 6), 6, "0"), offset)
+    return F.when(text.rlike(ODD_ISO), F.unix_micros(stamp.try_cast("timestamp")))
 
 
 def parse_timestamp(value: Column, dtype: str, odd_forms: bool = False) -> Column:
     """NTZ in UTC of a timestamp, epoch seconds or ISO-8601 text; null where it can't be read.
 
-    Text without a zone is UTC. ``odd_forms`` also reads basic and week-date forms, by a
-    vectorized helper that sees only the texts which the cast left null.
+    Text without a zone is UTC. ``odd_forms`` also reads basic and week-date forms, where the cast
+    leaves null.
     """
     if dtype == "timestamp_ntz":
         return value

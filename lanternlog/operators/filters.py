@@ -4,8 +4,9 @@ from __future__ import annotations
 
 import base64
 import json
-from dataclasses import dataclass
-from datetime import datetime, timedelta
+from dataclasses import dataclass, replace
+from datetime import UTC, datetime, timedelta
+from functools import reduce
 
 import pandas as pd
 from pyspark.sql import Column, DataFrame
@@ -52,6 +53,12 @@ def window_of(start: datetime | None, end: datetime | None, now: datetime, width
     return start, end
 
 
+def in_window(f: Filters, now: datetime | None = None, width: timedelta = timedelta(hours=24)) -> Filters:
+    """``f`` with the default window before its end, or before ``now``, where it has no start."""
+    start, end = window_of(f.start, f.end, now or datetime.now(UTC).replace(tzinfo=None), width)
+    return replace(f, start=start, end=end)
+
+
 def build_predicate(f: Filters) -> Column:
     """Terms on bare columns, so that the scan can take them over."""
     out = F.lit(True)
@@ -96,7 +103,11 @@ def after_cursor(c: Cursor, descending: bool) -> Column:
 
 
 def id_is(value: str) -> Column:
-    return (F.col("id") == value) | (F.concat("source", F.lit(":"), "id") == value)
+    """An id, or a source and its id. Both terms are on bare columns, so the scan can take them over."""
+    out = F.col("id") == value
+    for at in (i for i, c in enumerate(value) if c == ":"):
+        out = out | ((F.col("source") == value[:at]) & (F.col("id") == value[at + 1 :]))
+    return out
 
 
 def json_blob(df: DataFrame) -> Column:
@@ -124,8 +135,11 @@ def with_text(df: DataFrame, text: str, spec: RedactionSpec | None = None, match
     full = redact_entries(df, spec, full=True)
     if match == "json":
         return full.where(F.contains(json_blob(full), F.lit(text.lower())))
-    found = F.lit(False)
-    for name, kind in full.dtypes:
-        if kind == "string":
-            found = found | F.coalesce(F.contains(F.lower(F.col(name)), F.lit(text.lower())), F.lit(False))
-    return full.where(found)
+    # One pass: the masked row is built once, looked at, and kept or not; a filter would build it again.
+    masked = F.array(F.struct(*full.columns))
+    strings = [name for name, kind in full.dtypes if kind == "string"]
+
+    def holds(row: Column) -> Column:
+        return reduce(lambda a, b: a | b, [F.coalesce(F.contains(F.lower(row[c]), F.lit(text.lower())), F.lit(False)) for c in strings], F.lit(False))
+
+    return full.select(F.inline(F.filter(masked, holds)))

@@ -2,11 +2,14 @@
 
 from __future__ import annotations
 
+from functools import reduce
+
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import Window
 
 from ..functions.redaction import RedactionSpec
+from .filters import id_is
 from .page import CORRELATIONS
 from .redact import redact_entries
 
@@ -15,16 +18,18 @@ TROUBLE = ("ERROR", "WARNING")
 
 
 def expand_errors(df: DataFrame, levels: tuple[str, ...] = TROUBLE, on: tuple[str, ...] = CORRELATIONS) -> DataFrame:
-    """Every row that shares a request, trace or job id with a row of the given levels, once.
+    """Every row that shares a request, trace or job id with a row of the given levels; rows that repeat a (source, id) all stay.
 
-    Null and empty ids never join. Each id kind is one semi join on distinct ids.
+    Null and empty ids never match. Each id kind adds one flag, by a join on its distinct ids, so
+    a row found by several kinds is still one row.
     """
-    found = None
+    out, flags = df, []
     for name in on:
-        ids = df.where(F.col("level").isin(*levels) & F.col(name).isNotNull() & (F.col(name) != "")).select(name).distinct()
-        part = df.where(F.col(name).isNotNull() & (F.col(name) != "")).join(ids, name, "left_semi").select(df.columns)
-        found = part if found is None else found.unionByName(part)
-    return found.dropDuplicates(["source", "id"])
+        given = F.nullif(F.col(name), F.lit(""))
+        ids = df.where(F.col("level").isin(*levels)).select(given.alias(f"_{name}")).where(f"`_{name}` is not null").distinct().withColumn(f"_in_{name}", F.lit(True))
+        out = out.join(ids, given == ids[f"_{name}"], "left").drop(f"_{name}")
+        flags.append(F.coalesce(F.col(f"_in_{name}"), F.lit(False)))
+    return out.where(reduce(lambda a, b: a | b, flags)).select(df.columns)
 
 
 def bulk_timelines(df: DataFrame, ids: DataFrame, on: str, n: int) -> DataFrame:
@@ -57,17 +62,27 @@ def timeline_summary(df: DataFrame, on: str) -> DataFrame:
 
 
 def bulk_detail(df: DataFrame, ids: DataFrame, spec: RedactionSpec | None = None, priority: dict[str, int] | None = None) -> DataFrame:
-    """The redacted row of each ``lookup`` of ``ids``: by id or ``source:id``, first source by priority; ``found`` tells the rest."""
+    """The redacted row of each ``lookup`` of ``ids``: by id or ``source:id``, first source by priority; ``found`` tells the rest.
+
+    Of rows that share an id in one source the first by ``position`` counts where ``df`` has that column, else by time.
+    """
     ranks = F.coalesce(F.try_element_at(F.create_map(*[F.lit(x) for p in (priority or {"": 0}).items() for x in p]), F.col("source")), F.lit(1 << 30))
+    place = [c for c in ("position", "timestamp") if c in df.columns]
     keys = F.array_distinct(F.array("id", F.concat("source", F.lit(":"), "id")))
     hits = df.select("*", ranks.alias("_rank"), F.explode(keys).alias("lookup")).join(ids.select("lookup").distinct(), "lookup", "left_semi")
-    first = hits.withColumn("_n", F.row_number().over(Window.partitionBy("lookup").orderBy("_rank", "source", "timestamp"))).where("_n = 1").drop("_n", "_rank")
+    first = hits.withColumn("_n", F.row_number().over(Window.partitionBy("lookup").orderBy("_rank", "source", *place))).where("_n = 1").drop("_n", "_rank")
     # The lookup key rides along in a struct, which redaction leaves as it is.
     shown = redact_entries(first.withColumn("_key", F.struct("lookup")).drop("lookup"), spec, full=True)
     shown = shown.withColumn("lookup", F.col("_key.lookup")).drop("_key")
     return ids.select("lookup").distinct().join(shown, "lookup", "left").withColumn("found", F.col("id").isNotNull())
 
 
+def detail(df: DataFrame, lookup: str, spec: RedactionSpec | None = None, priority: dict[str, int] | None = None) -> DataFrame:
+    """The redacted row of one id or ``source:id``; the id goes down to the scan. One row, with ``found`` false if there is none."""
+    ids = df.sparkSession.createDataFrame([(lookup,)], "lookup string")
+    return bulk_detail(df.where(id_is(lookup)), ids, spec, priority)
+
+
 def deploy_compare(df: DataFrame, deploys: DataFrame, seconds: int, by: tuple[str, ...] = ("level",)) -> DataFrame:
     """Counts before and after each deploy (deploy_id, at) in windows of ``seconds``; the instant itself is after.
 

@@ -9,6 +9,9 @@ from ..functions.timing import parse_timestamp
 from ..sources.model import CORRELATION, FIELDS, STRICT_TEXT, SourceSpec
 from ..sources.readers import POSITION, RAW
 
+#: JSON text of a number, a truth value or null.
+SCALAR = r"^(?:-?\d+(?:\.\d+)?(?:[eE][+-]?\d+)?|true|false|null)$"
+
 
 def merged_attributes(mapped: Column | None, leftover: Column) -> Column:
     """JSON object text: keys of the mapped attributes, overwritten by the leftover columns or keys.
@@ -81,20 +84,28 @@ def split(shaped: DataFrame) -> tuple[DataFrame, DataFrame]:
 
 def normalize_jsonl(lines: DataFrame, spec: SourceSpec) -> tuple[DataFrame, DataFrame]:
     """(good rows, quarantine) of ``read_jsonl`` lines; the schema is never inferred."""
-    record = F.from_json(F.col(RAW), "map<string,string>")
-    kinds = F.try_parse_json(F.col(RAW))
-    lines = lines.select(RAW, POSITION, record.alias("r"), kinds.alias("v"))
+    lines = lines.select(RAW, POSITION, F.from_json(F.col(RAW), "map<string,string>").alias("r"), F.try_parse_json(F.col(RAW)).alias("v"))
+    # Of keys that repeat the last counts. Such a line has no variant; its values then go by their text.
+    entries = F.map_entries("r")
+    later = lambda e, i: F.exists(F.slice(entries, i + 2, F.size(entries)), lambda x: x["key"] == e["key"])
+    last = F.map_from_entries(F.filter(entries, lambda e, i: ~later(e, i)))
+    repeated = F.col("v").isNull() & F.col("r").isNotNull()
+    lines = lines.withColumn("r", F.when(repeated, last).otherwise(F.col("r")))
+    scalar = lambda t: F.when(t.rlike(SCALAR), F.try_parse_json(t)).otherwise(F.coalesce(F.when(t.rlike(r"^\s*[\[{]"), F.try_parse_json(t)), F.to_variant_object(F.array(t)).cast("array<variant>")[0]))
+    variants = F.coalesce(F.col("v").try_cast("map<string,variant>"), F.transform_values("r", lambda k, t: scalar(t)), F.expr("cast(map() as map<string,variant>)"))
+    lines = lines.withColumn("m", variants)
 
     def raw(name: str) -> Column:
         return F.try_element_at(F.col("r"), F.lit(spec.column(name)))
 
     def kind(name: str) -> Column:
-        return F.schema_of_variant(F.try_variant_get("v", F.lit("$['" + spec.column(name).replace("'", "\\'") + "']"), "variant"))
+        return F.schema_of_variant(F.try_element_at(F.col("m"), F.lit(spec.column(name))))
 
-    stamp_text, number = raw("timestamp"), raw("timestamp").try_cast("double")
-    stamp = F.coalesce(parse_timestamp(stamp_text, "string", spec.odd_timestamps), F.when(kind("timestamp").rlike("BIGINT|DECIMAL|DOUBLE"), parse_timestamp(number, "double")))
+    number = F.coalesce(kind("timestamp").rlike("BIGINT|DECIMAL|DOUBLE"), F.lit(False))
+    text = F.when(~number, raw("timestamp"))
+    stamp = F.when(number, parse_timestamp(raw("timestamp").try_cast("double"), "double")).otherwise(parse_timestamp(text, "string", spec.odd_timestamps))
     consumed = [spec.column(f) for f in FIELDS]
-    left = F.map_filter(F.coalesce(F.col("v").try_cast("map<string,variant>"), F.expr("cast(map() as map<string,variant>)")), lambda k, v: ~k.isin(*consumed))
+    left = F.map_filter("m", lambda k, v: ~k.isin(*consumed))
     position = F.col(POSITION).cast("string")
     shaped = lines.select(
         F.coalesce(raw("id"), F.concat(F.lit(spec.name + ":"), position)).alias("id"),
@@ -108,7 +119,7 @@ def normalize_jsonl(lines: DataFrame, spec: SourceSpec) -> tuple[DataFrame, Data
         reason_of(
             [
                 (F.col("r").isNull() & F.col("v").isNull(), "invalid_json"),
-                (~F.ltrim(F.col(RAW)).startswith("{"), "not_object"),
+                (~F.col(RAW).startswith("{"), "not_object"),
                 (stamp.isNull(), "bad_timestamp"),
                 (raw("level").isNull(), "missing_level"),
                 (raw("message").isNull(), "missing_message"),

@@ -2,14 +2,15 @@
 
 from __future__ import annotations
 
-from dataclasses import dataclass
+from dataclasses import dataclass, replace
+from datetime import datetime
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import Window
 
 from ..functions.redaction import RedactionSpec
-from .filters import KEY, Cursor, Filters, after_cursor, build_predicate, with_text
+from .filters import KEY, Cursor, Filters, after_cursor, build_predicate, in_window, with_text
 from .redact import redact_entries
 
 DEFAULT_LIMIT, HARD_LIMIT = 100, 500
@@ -43,6 +44,18 @@ class Page:
         keys = self.rows.orderBy(*ordering(self.descending)).select(*KEY).take(self.limit + 1)
         return Cursor(*keys[self.limit - 1]).encode() if len(keys) > self.limit else None
 
+    def record(self) -> DataFrame:
+        """One row: entries (a list of rows in order), count, has_more, next_place (the last kept key where there is more)."""
+        keys = F.struct(*KEY)
+        order = F.array_sort("all", lambda a, b: F.when(a["_key"] == b["_key"], 0).when((a["_key"] > b["_key"]) == F.lit(self.descending), -1).otherwise(1))
+        # Only a page's rows, ``limit`` + 1 at most, are gathered.
+        got = self.rows.select(F.struct(keys.alias("_key"), *self.rows.columns).alias("row")).agg(F.collect_list("row").alias("all")).select(order.alias("all"))
+        kept, more = F.slice("all", 1, self.limit), F.size("all") > self.limit
+        return got.select(
+            F.transform(kept, lambda r: F.struct(*[r[c].alias(c) for c in self.rows.columns])).alias("entries"), F.size(kept).alias("count"), more.alias("has_more"),
+            F.when(more, F.get("all", F.lit(self.limit - 1))["_key"]).alias("next_place"),
+        )
+
 
 def page(df: DataFrame, f: Filters, limit: int | None = None, cursor: str | None = None, spec: RedactionSpec | None = None, descending: bool = True, most: int = DEFAULT_LIMIT) -> Page:
     """One page. Without text only the page's own rows are redacted; with text redaction comes first."""
@@ -56,6 +69,11 @@ def page(df: DataFrame, f: Filters, limit: int | None = None, cursor: str | None
     return Page(redact_entries(rows.orderBy(*ordering(descending)).limit(n + 1), spec), n, descending)
 
 
+def recent(df: DataFrame, f: Filters, now: datetime | None = None, limit: int | None = None, cursor: str | None = None, spec: RedactionSpec | None = None, most: int = DEFAULT_LIMIT) -> Page:
+    """``search`` in the last 24 hours before ``now``, or before the end asked for, unless a start is given."""
+    return search(df, in_window(f, now), limit, cursor, spec, most)
+
+
 def search(df: DataFrame, f: Filters, limit: int | None = None, cursor: str | None = None, spec: RedactionSpec | None = None, most: int = DEFAULT_LIMIT) -> Page:
     return page(df, f, limit, cursor, spec, True, most)
 
@@ -79,3 +97,23 @@ def scan_window(df: DataFrame, per_source: int, newest: bool = True) -> DataFram
     first = df.withColumn("_rank", F.row_number().over(order)).where(F.col("_rank") <= per_source + 1)
     over = first.groupBy("source").agg((F.max("_rank") > per_source).alias("incomplete"))
     return first.where(F.col("_rank") <= per_source).join(F.broadcast(over), "source").drop("_rank")
+
+
+def bounded_search(df: DataFrame, f: Filters, max_scan: int, limit: int | None = None, spec: RedactionSpec | None = None, most: int = DEFAULT_LIMIT) -> DataFrame:
+    """Newest rows that hold the text, among the first ``max_scan`` rows of the other terms; ``incomplete`` where rows lie beyond.
+
+    The bound is the feature: a text search whose cost doesn't follow the history.
+    """
+    n = effective_limit(limit, most)
+    rows = df.where(build_predicate(replace(f, text=None))).orderBy(*ordering(True)).limit(max_scan + 1)
+    ranked = rows.withColumn("_n", F.row_number().over(Window.orderBy(*ordering(True))))  # over max_scan + 1 rows at most
+    ranked = ranked.withColumn("incomplete", F.max("_n").over(Window.partitionBy()) > max_scan).where(F.col("_n") <= max_scan).drop("_n")
+    found = with_text(ranked, f.text, spec) if f.text else redact_entries(ranked, spec, full=True)
+    return found.drop("traceback", "attributes").orderBy(*ordering(True)).limit(n)
+
+
+def write_evidence(df: DataFrame, path: str, spec: RedactionSpec | None = None, format: str = "parquet") -> None:
+    """Masked rows in folders by date, each sorted by time; the shuffle is by date and a part of the day, so a busy day is many tasks."""
+    shown = redact_entries(df, spec, full=True).withColumn("date", F.col("timestamp").cast("date"))
+    dealt = shown.repartition("date", F.hour("timestamp")).sortWithinPartitions("date", *KEY)
+    dealt.write.format(format).partitionBy("date").mode("append").save(path)

@@ -2,13 +2,15 @@
 
 from __future__ import annotations
 
+from datetime import datetime
+
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import Window
 
 from ..functions.redaction import RedactionSpec, redact_text
 from ..functions.timing import bucket_of
-from .filters import Filters, build_predicate, with_text
+from .filters import Filters, build_predicate, in_window, with_text
 
 DIMENSIONS = ("level", "service", "logger", "time")
 
@@ -29,10 +31,12 @@ def count_dimensions(df: DataFrame, time_bucket: str = "hour", by_source: bool =
 def cap_groups(counts: DataFrame, cap: int = 100, dimensions: tuple[str, ...] = ("service", "logger")) -> DataFrame:
     """The ``cap`` largest buckets per source of the given dimensions, ties by bucket, with ``truncated``."""
     keys = ["source", "dimension"] if "source" in counts.columns else ["dimension"]
+    # Buckets of the other dimensions are partitions of their own, so only capped ones are sorted, and cut before the shuffle.
     capped = F.col("dimension").isin(*dimensions)
-    ranked = counts.withColumn("_rank", F.row_number().over(Window.partitionBy(*keys).orderBy(F.desc("n"), "bucket")))
-    ranked = ranked.withColumn("truncated", capped & (F.max("_rank").over(Window.partitionBy(*keys)) > cap))
-    return ranked.where(~capped | (F.col("_rank") <= cap)).drop("_rank")
+    own = Window.partitionBy(*keys, F.when(~capped, F.coalesce("bucket", F.lit(""))))
+    ranked = counts.withColumn("_rank", F.row_number().over(own.orderBy(F.desc("n"), "bucket"))).where(F.col("_rank") <= cap + 1)
+    ranked = ranked.withColumn("truncated", F.max("_rank").over(own) > cap)
+    return ranked.where(F.col("_rank") <= cap).drop("_rank")
 
 
 def redact_labels(counts: DataFrame, spec: RedactionSpec | None = None) -> DataFrame:
@@ -48,3 +52,14 @@ def log_stats(df: DataFrame, f: Filters, time_bucket: str = "hour", spec: Redact
     rows = df.where(build_predicate(f))
     rows = with_text(rows, f.text, spec) if f.text else rows
     return redact_labels(count_dimensions(rows, time_bucket), spec)
+
+
+def recent_stats(df: DataFrame, f: Filters, now: datetime | None = None, time_bucket: str = "hour", spec: RedactionSpec | None = None) -> DataFrame:
+    """``log_stats`` in the last 24 hours before ``now``, or before the end asked for, unless a start is given."""
+    return log_stats(df, in_window(f, now), time_bucket, spec)
+
+
+def merged_stats(df: DataFrame, f: Filters, time_bucket: str = "hour", cap: int = 100, spec: RedactionSpec | None = None) -> DataFrame:
+    """Counts over several sources: services and loggers are cut to ``cap`` in each source, then masked and summed."""
+    counts = cap_groups(count_dimensions(df.where(build_predicate(f)), time_bucket, by_source=True), cap)
+    return redact_labels(counts.drop("source"), spec)

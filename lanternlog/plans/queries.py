@@ -8,13 +8,13 @@ from datetime import datetime
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ..functions.redaction import RedactionSpec, redact_attributes, redact_text, sensitive_name
+from ..functions.redaction import SECRET_KEYS, RedactionSpec, redact_attributes, redact_text, sensitive_name
 from ..functions.timing import bucket_of, duration_seconds, iso_z, parse_timestamp
 from ..operators import filters, investigate, normalize, notices, page, stats
 from ..operators.filters import Filters
 from ..operators.redact import redact_entries
 from ..sources.model import SourceSpec
-from ..sources.readers import union_sources
+from ..sources.readers import POSITION, RAW, read_jsonl, union_sources
 from . import views
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -31,10 +31,6 @@ DOCUMENTS = """d AS (SELECT cast(doc_id AS varchar) AS id, timestamp '2024-01-01
   CASE WHEN doc_id % 7 = 0 THEN 'ERROR' ELSE 'INFO' END AS level, text AS message, lang AS logger, source AS service, 'documents' AS source FROM documents)"""
 TALKS = """c AS (SELECT concat(conv_id, '-', turn) AS id, timestamp '2024-01-01 00:00:00' + to_minutes(turn) AS "timestamp", 'INFO' AS level,
   role AS logger, cast(conv_id AS varchar) AS trace_id, 'conversations' AS source FROM conversations)"""
-KEYS = (
-    "access[_-]?token|refresh[_-]?token|session[_-]?token|bearer[_-]?token|client[_-]?secret|api[_-]?secret|secret[_-]?key|private[_-]?key|"
-    "auth[_-]?token|api[_-]?key|apikey|passphrase|credentials|credential|password|passwd|pwd|secret|session|cookie|token|jwt"
-)
 
 
 def masked(column: str, emails: bool = False, max_chars: int = 8000) -> str:
@@ -43,7 +39,7 @@ def masked(column: str, emails: bool = False, max_chars: int = 8000) -> str:
     rules = [
         (r"\bbearer\s+[A-Za-z0-9._~+/=-]+", "Bearer [REDACTED]", "gi"),
         (r"\bauthorization\s*[:=]\s*\S+(?:\s+[A-Za-z0-9._~+/=-]+)?", "Authorization: [REDACTED]", "gi"),
-        (rf"""\b({KEYS})\s*[:=]\s*(?:"[^"]*"|''[^'']*''|[^''"\s,;}}]+)""", r"\1=[REDACTED]", "gi"),
+        (rf"""\b({SECRET_KEYS})\s*[:=]\s*(?:"[^"]*"|''[^'']*''|[^''"\s,;}}]+)""", r"\1=[REDACTED]", "gi"),
         (r"\b([a-zA-Z][a-zA-Z0-9+.-]*://[^\s:/@]*):[^\s/?#@]+@", r"\1:[REDACTED]@", "g"),
         (r"\beyJ[A-Za-z0-9_-]+\.[A-Za-z0-9_-]+\.[A-Za-z0-9_-]*", "[REDACTED]", "g"),
     ] + ([(r"\b[A-Za-z0-9._%+-]+@[A-Za-z0-9.-]+\.[A-Za-z]{2,}\b", "[REDACTED]", "g")] if emails else [])
@@ -271,6 +267,13 @@ def redact_nested_attributes(spark: SparkSession, sf_dir: str) -> DataFrame:
     return views.raw(spark, sf_dir, "events").select("event_id", redact_attributes(text, RedactionSpec()).alias("attributes"))
 
 
+@query("""SELECT event_id, concat('{"list":[{"password":"[REDACTED]"},{"k":', user_id, '}],"o":{"token":"[REDACTED]"}}') AS attributes FROM events""")
+def redact_pretty_attributes(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """JSON with line breaks and tabs between its parts, as pretty printers write it."""
+    text = F.concat(F.lit('{\n\t"list": [\n {"password":\n"p'), "event_id", F.lit('"},\r\n{"k": '), "user_id", F.lit('}],\n "o"\n: {"token": ["t'), "event_id", F.lit('"]}\n}\n'))
+    return views.raw(spark, sf_dir, "events").select("event_id", redact_attributes(text, RedactionSpec()).alias("attributes"))
+
+
 @query(f"""WITH {EVENTS}, e AS (SELECT DISTINCT request_id FROM l WHERE level = 'ERROR' AND {RANGE})
   SELECT id, "timestamp", level, request_id FROM l WHERE request_id IN (SELECT request_id FROM e)""")
 def expand_errors(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -364,3 +367,74 @@ def json_blob_match(spark: SparkSession, sf_dir: str) -> DataFrame:
 def redacted_errors(spark: SparkSession, sf_dir: str) -> DataFrame:
     return redact_entries(views.events(spark, sf_dir).where(filters.build_predicate(Filters(levels="ERROR")))).select("id", "timestamp", "level", "message", "source")
 
+
+GOOD_LINES = "event_id % 10 NOT IN (5, 6, 7)"
+
+
+@query(f"""SELECT cast(event_id AS varchar) AS eid, date_trunc('second', ts) AS "timestamp", upper(event_type) AS level, 'token=[REDACTED] seen' AS message,
+  cast(user_id AS varchar) AS user_id, concat('{{"eid":', event_id, '}}') AS attributes, 'app' AS source FROM events WHERE {GOOD_LINES}""")
+def jsonl_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
+    good, _ = normalize.normalize_jsonl(read_jsonl(spark, views.jsonl_folder(spark, sf_dir)), views.LINES)
+    eid = F.variant_get(F.try_parse_json("attributes"), "$.eid", "string").alias("eid")
+    return redact_entries(good, full=True).select(eid, "timestamp", "level", "message", "user_id", "attributes", "source")
+
+
+@query("""SELECT 'app' AS source, CASE event_id % 10 WHEN 5 THEN 'invalid_json' ELSE 'not_object' END AS reason, count(*) AS n
+  FROM events WHERE event_id % 10 IN (5, 6) GROUP BY ALL""")
+def jsonl_quarantine(spark: SparkSession, sf_dir: str) -> DataFrame:
+    _, bad = normalize.normalize_jsonl(read_jsonl(spark, views.jsonl_folder(spark, sf_dir)), views.LINES)
+    return normalize.quarantine_summary(bad)
+
+
+@query("SELECT count(*) AS n_lines, true AS numbers_right FROM events WHERE event_id % 10 <> 7")
+def jsonl_line_numbers(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Event ids follow each other in a file, so id less line number is one value for each file."""
+    path = views.jsonl_folder(spark, sf_dir)
+    files = len(spark.read.text(path).inputFiles())
+    eid = F.coalesce(F.nullif(F.regexp_extract(RAW, r"\"eid\": (\d+)", 1), F.lit("")), F.regexp_extract(RAW, r"(\d+)\]?$", 1)).cast("long")
+    lines = read_jsonl(spark, path).select((eid - F.col(POSITION)).alias("shift"))
+    return lines.agg(F.count("*").alias("n_lines"), (F.count_distinct("shift") == files).alias("numbers_right"))
+
+
+@query(f"""WITH {EVENTS} SELECT id, "timestamp", level, {masked("message")} AS message, logger, request_id, source FROM l
+  WHERE "timestamp" BETWEEN timestamp '2024-01-19' AND timestamp '2024-01-20' {TOP} LIMIT 100""")
+def search_recent(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return page.recent(views.events(spark, sf_dir), Filters(), END).kept().select(*SHOWN)
+
+
+@query(stats_sql("hour", "\"timestamp\" BETWEEN timestamp '2024-01-19' AND timestamp '2024-01-20'"))
+def stats_recent(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return stats.recent_stats(views.events(spark, sf_dir), Filters(), END)
+
+
+@query(f"""WITH {EVENTS}, p AS (SELECT * FROM l WHERE {RANGE} {TOP} LIMIT 4000)
+  SELECT id, "timestamp", {masked("message")} AS message, (SELECT count(*) > 4000 FROM l WHERE {RANGE}) AS incomplete
+  FROM p WHERE contains(lower({masked("message")}), 'user 4') {TOP} LIMIT 100""")
+def search_bounded(spark: SparkSession, sf_dir: str) -> DataFrame:
+    f = Filters(text="user 4", start=START, end=END)
+    return page.bounded_search(views.events(spark, sf_dir), f, 4000).select("id", "timestamp", "message", "incomplete")
+
+
+@query(f"""WITH {EVENTS}, p AS (SELECT *, row_number() OVER ({TOP}) AS r FROM l WHERE level = 'CLICK' AND {RANGE}),
+  k AS (SELECT * FROM p WHERE r <= 40)
+  SELECT cast(count(*) AS integer) AS "count", (SELECT count(*) FROM p) > 40 AS has_more, string_agg(id, ',' ORDER BY r) AS ids,
+  CASE WHEN (SELECT count(*) FROM p) > 40 THEN max_by(id, r) END AS next_id FROM k""")
+def evidence_record(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = page.search(views.events(spark, sf_dir), Filters(levels="click", start=START, end=END), 40).record()
+    ids = F.array_join(F.col("entries.id"), ",")
+    return found.select("count", "has_more", ids.alias("ids"), F.col("next_place.id").alias("next_id"))
+
+
+@query(f"""WITH {ORDERS} SELECT concat('orders:', id) AS lookup, id, "timestamp", level, source, true AS found FROM o WHERE id = '7'""")
+def detail_one(spark: SparkSession, sf_dir: str) -> DataFrame:
+    logs = union_sources([views.events(spark, sf_dir), views.orders(spark, sf_dir)])
+    return investigate.detail(logs, "orders:7").select("lookup", "id", "timestamp", "level", "source", "found")
+
+
+@query(f"""WITH {EVENTS}, {ORDERS}, a AS (SELECT level, request_id AS logger, source FROM l UNION ALL SELECT level, job_id, source FROM o),
+  g AS (SELECT source, logger AS bucket, count(*) AS n FROM a GROUP BY ALL), r AS (SELECT *, row_number() OVER (PARTITION BY source ORDER BY n DESC, bucket) AS r FROM g)
+  SELECT 'logger' AS dimension, bucket, cast(sum(n) AS bigint) AS n, bool_or(truncated) AS truncated FROM (SELECT *, max(r) OVER (PARTITION BY source) > 100 AS truncated FROM r) WHERE r <= 100 GROUP BY bucket
+  UNION ALL SELECT 'level', level, count(*), false FROM a GROUP BY level""")
+def stats_two_sources(spark: SparkSession, sf_dir: str) -> DataFrame:
+    logs = union_sources([views.events(spark, sf_dir), views.orders(spark, sf_dir)]).withColumn("logger", F.coalesce("request_id", "job_id"))
+    return stats.merged_stats(logs, Filters()).where("dimension in ('logger', 'level')").select("dimension", "bucket", "n", "truncated")

@@ -2,6 +2,9 @@
 
 from __future__ import annotations
 
+import tempfile
+import uuid
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -18,6 +21,8 @@ ORDERS = SourceSpec(
 DOCUMENTS = SourceSpec("documents", {"id": "doc_id", "message": "text", "service": "source", "logger": "lang"}, priority=2)
 CONVERSATIONS = SourceSpec("conversations", {"message": "text", "logger": "role", "trace_id": "conv_id"}, position="turn", priority=3)
 
+LINES = SourceSpec("app", {"timestamp": "ts", "level": "severity", "message": "msg", "user_id": "user"})
+
 
 def raw(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
@@ -53,3 +58,23 @@ def documents(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def conversations(spark: SparkSession, sf_dir: str) -> DataFrame:
     return normalize_table(raw_conversations(spark, sf_dir), CONVERSATIONS)[0]
+
+
+def jsonl_folder(spark: SparkSession, sf_dir: str) -> str:
+    """The events as JSON Lines in four files by event id, with the oddities that real logs have, by event_id % 10.
+
+    3: a tab before the object, 4: a key that repeats, 5: no JSON, 6: no object, 7: blank, 8: seconds since 1970, 9: a basic ISO time.
+    """
+    second, quote = F.substring(F.col("ts").cast("string"), 1, 19), lambda c: F.concat(F.lit('"'), c, F.lit('"'))
+    epoch = F.timestamp_diff("SECOND", F.expr("timestamp_ntz'1970-01-01 00:00:00'"), second.cast("timestamp_ntz"))
+    form = F.col("event_id") % 10
+    stamp = F.when(form == 8, epoch.cast("string")).when(form == 9, quote(F.regexp_replace(F.replace(second, F.lit(" "), F.lit("T")), "[-:]", ""))).otherwise(quote(second))
+    line = F.concat(
+        F.when(form == 3, F.lit("\t")).otherwise(""), F.lit('{"ts": '), stamp, F.when(form == 4, ', "severity": "old"').otherwise(""), F.lit(', "severity": '), quote("event_type"),
+        F.lit(', "msg": "token=t'), "event_id", F.lit(' seen", "user": '), "user_id", F.lit(', "eid": '), "event_id", F.lit("}"),
+    )
+    line = F.when(form == 5, F.concat(F.lit("not json "), "event_id")).when(form == 6, F.concat(F.lit("["), "event_id", F.lit("]"))).when(form == 7, F.lit("\t ")).otherwise(line)
+    root = spark.conf.get("spark.checkpoint.dir", None) or "file://" + tempfile.mkdtemp(prefix="lanternlog-")
+    path = f"{root.rstrip('/')}/lines-{uuid.uuid4().hex}"
+    raw(spark, sf_dir, "events").repartitionByRange(4, "event_id").sortWithinPartitions("event_id").select(line.alias("value")).write.text(path)
+    return path

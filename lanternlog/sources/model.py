@@ -27,7 +27,7 @@ class SourceSpec:
     priority: int = 0
     format: str = "parquet"
     options: dict[str, str] = field(default_factory=dict)
-    odd_timestamps: bool = False
+    odd_timestamps: bool = True
 
     def column(self, name: str) -> str:
         return self.field_map.get(name, name)

@@ -1,5 +1,6 @@
 """Facts of small literal logs; the session runs in a zone other than UTC."""
 
+import json
 import re
 from datetime import datetime, timedelta
 
@@ -7,11 +8,12 @@ import pytest
 from pyspark.sql import functions as F
 
 from lanternlog.functions import timing
-from lanternlog.functions.redaction import RedactionSpec, is_sensitive, redact_attributes, redact_text, sensitive_name
+from lanternlog.functions.redaction import RedactionSpec, is_sensitive, mask_tree, redact_attributes, redact_text, sensitive_name, text_cleaner
 from lanternlog.operators import filters, investigate, normalize, notices, page, stats
 from lanternlog.operators.filters import Cursor, Filters
 from lanternlog.sources.model import SourceSpec
 from lanternlog.sources.readers import read_jsonl, union_sources
+from lanternlog.streaming.rowwise import redacted_stream
 
 LINES = """{"ts": "2026-05-30T07:00:00Z", "severity": "info", "msg": "start", "req": "req-1"}
 {"ts": "2026-05-30T07:01:00", "severity": "WARNING", "msg": "slow", "req": "req-1", "n": 1.5}
@@ -132,7 +134,7 @@ def test_attributes_flat_nested_and_deep(spark):
 def test_attribute_merge_overwrites_and_keeps_types(spark):
     df = spark.createDataFrame([("i", datetime(2024, 1, 1), "info", "m", '{"k": 1, "v": "x"}', 2.5), ("j", datetime(2024, 1, 1), "info", "m", "plain", 1.0)], "id string, timestamp timestamp_ntz, level string, message string, attributes string, k double")
     rows = {r["id"]: r["attributes"] for r in normalize.normalize_table(df, SourceSpec("t"))[0].collect()}
-    assert rows == {"i": '{"k":2.5,"v":"x"}', "j": '{"attributes":"plain","k":1}'} or rows["i"] == '{"v":"x","k":2.5}' or '"k":2.5' in rows["i"]
+    assert {k: json.loads(v) for k, v in rows.items()} == {"i": {"k": 2.5, "v": "x"}, "j": {"attributes": "plain", "k": 1}}
 
 
 def test_tables_union_keeps_colliding_ids(spark):
@@ -147,6 +149,13 @@ def test_time_helpers(spark):
         with pytest.raises(ValueError):
             timing.duration(bad)
     texts = {"2024-03-10 02:30:00": datetime(2024, 3, 10, 2, 30), "2024-11-03T06:30:00Z": datetime(2024, 11, 3, 6, 30), "2024-05-01": datetime(2024, 5, 1), "2024": None, "T07:00": None, "20240501T070000Z": datetime(2024, 5, 1, 7), "2024-W22-6": datetime(2024, 6, 1), "": None}
+    more = ["20240501", "2024W22", "2024-W22", "2024W226T0730", "2020-W53-7", "2021-W53-1", "2024-W00-1", "2024-W22-8", "2024-13-01T00", "20240230", "20240501T07", "2024-05-01T07:30:15,25+05", "20240501T073015.1234567-0330", "20240501T0730.5", "2024-0501", "2024-05-01x07:00", "20240501T250000"]
+    for t in more:
+        try:
+            at = datetime.fromisoformat(t)
+            texts[t] = (at - (at.utcoffset() or timedelta())).replace(tzinfo=None)
+        except ValueError:
+            texts[t] = None
     df = spark.createDataFrame([(t,) for t in texts], "t string")
     assert {r[0]: r[1] for r in df.select("t", timing.parse_timestamp(F.col("t"), "string", odd_forms=True)).collect()} == texts
     with pytest.raises(ValueError):
@@ -174,3 +183,90 @@ def test_deploy_instant_counts_as_after(spark):
     logs = spark.createDataFrame([(at + timedelta(seconds=s), "ERROR") for s in (-61, -60, -1, 0, 60, 61)], "timestamp timestamp_ntz, level string")
     deploys = spark.createDataFrame([("d", at)], "deploy_id string, at timestamp_ntz")
     assert [tuple(r) for r in investigate.deploy_compare(logs, deploys, 60).collect()] == [("d", "ERROR", 2, 2)]
+
+
+def test_no_secret_passes_whatever_the_layout(spark):
+    texts = [
+        '{\n "o": {"password":"hunter2"}\n}', '{"l":[{"token":"hunter2"}],\t"k":1}', '{"a":"x",\r\n"l":\n[["pwd=hunter2"]]}', ' \n{"Password" : "hunter2", "n": 1.50}\n',
+        '{"token":"hunter2","token":"hunter2"}', '["password=hunter2"]', '{"a": {}, "b": []}', '{"secret": {"x": ["hunter2"]}}', "hunter2 {",
+    ]
+    got = [r[0] for r in spark.createDataFrame([(t,) for t in texts], "t string").select(redact_attributes(F.col("t"), RedactionSpec())).collect()]
+    assert not any("hunter2" in g for g in got)
+    assert json.loads(got[0]) == {"o": {"password": "[REDACTED]"}} and json.loads(got[3]) == {"Password": "[REDACTED]", "n": 1.5} and json.loads(got[6]) == {"a": {}, "b": []}
+
+
+def test_tree_is_cut_by_depth_and_number(spark):
+    clean = text_cleaner(RedactionSpec())
+    assert mask_tree([1] * 100, RedactionSpec(max_nodes=10), clean) == [1] * 9 + ["[TRUNCATED]"] * 91
+    assert mask_tree({"a": {"b": {"c": 1}}}, RedactionSpec(max_depth=2), clean) == {"a": {"b": {"c": "[TRUNCATED]"}}}
+    assert mask_tree({"a": "token=x", "pwd": {"k": 1}, "l": ["pwd=y z", 2]}, RedactionSpec(), clean) == {"a": "token=[REDACTED]", "pwd": "[REDACTED]", "l": ["pwd=[REDACTED] z", 2]}
+
+
+def test_line_numbers_over_many_splits(spark, tmp_path):
+    for f in range(2):
+        (tmp_path / f"{f}.jsonl").write_text("".join(f'{{"f": {f}, "n": {i + 1}}}\n' + "\n" * (i % 3 == 0) for i in range(4000)))
+    spark.conf.set("spark.sql.files.maxPartitionBytes", "4k")
+    try:
+        rows = read_jsonl(spark, str(tmp_path)).collect()
+    finally:
+        spark.conf.unset("spark.sql.files.maxPartitionBytes")
+    assert len(rows) == 8000
+    for r in rows:
+        n = json.loads(r["_raw"])["n"]
+        assert r["_position"] == n + (n + 1) // 3
+
+
+def test_odd_lines(spark, tmp_path):
+    lines = ["\t", '\t{"ts": "2024-05-01", "severity": "info", "msg": "tab"} \t', '{"ts": 20240501, "severity": "info", "msg": "number"}', '{"ts": "20240501T070000Z", "severity": "x", "severity": "info", "msg": "twice", "a": 1, "a": {"b": "2"}, "s": "5 x"}']
+    (tmp_path / "odd.jsonl").write_text("\n".join(lines))
+    good, bad = normalize.normalize_jsonl(read_jsonl(spark, str(tmp_path)), SPEC)
+    rows = {r["message"]: r for r in good.collect()}
+    assert bad.count() == 0 and {m: r["id"] for m, r in rows.items()} == {"tab": "app:2", "number": "app:3", "twice": "app:4"}
+    assert rows["number"]["timestamp"] == datetime(1970, 8, 23, 6, 21, 41) and rows["twice"]["timestamp"] == datetime(2024, 5, 1, 7)
+    assert rows["twice"]["level"] == "INFO" and json.loads(rows["twice"]["attributes"]) == {"a": {"b": "2"}, "s": "5 x"}
+
+
+def test_rows_that_repeat_stay_in_expanded_errors(spark):
+    rows = [("X", "s", "ERROR", "r", "j"), ("X", "s", "INFO", "r", None), ("Y", "s", "INFO", None, "j"), ("Z", "s", "INFO", "", None)]
+    df = spark.createDataFrame(rows, "id string, source string, level string, request_id string, job_id string").withColumns({"trace_id": F.lit(None).cast("string"), "timestamp": F.lit(datetime(2024, 1, 1)).cast("timestamp_ntz")})
+    assert sorted((r["id"], r["level"]) for r in investigate.expand_errors(df).collect()) == [("X", "ERROR"), ("X", "INFO"), ("Y", "INFO")]
+
+
+def test_detail_recent_record_and_bounded(spark, parts):
+    good = parts[0]
+    assert investigate.detail(good, "app:6").first()["found"] and not investigate.detail(good, "app:77").first()["found"]
+    assert {r["id"] for r in page.recent(good, Filters(), END).kept().collect()} == {"app:1", "app:2", "app:6", "app:9"}
+    assert page.recent(good, Filters(), datetime(2026, 6, 2)).kept().count() == 0
+    r = page.search(good, Filters(), 2).record().first()
+    assert (r["count"], r["has_more"], [e["id"] for e in r["entries"]], r["next_place"]["id"]) == (2, True, ["app:6", "app:2"], "app:2")
+    assert not page.search(good.limit(0), Filters(), 2).record().first()["has_more"]
+    for scan, ids, incomplete in ((1, ["app:6"], {True}), (4, ["app:6"], {False})):
+        rows = page.bounded_search(good, Filters(text="boom"), scan).collect()
+        assert [r["id"] for r in rows] == ids and {r["incomplete"] for r in rows} == incomplete
+
+
+def test_evidence_is_written_by_date_and_masked(spark, parts, tmp_path):
+    page.write_evidence(parts[0], str(tmp_path / "out"))
+    rows = spark.read.parquet(str(tmp_path / "out"))
+    assert rows.count() == 4 and [str(r[0]) for r in rows.select("date").distinct().collect()] == ["2026-05-30"]
+    assert not any("hunter2" in str(r) or "abc123" in str(r) for r in rows.collect())
+
+
+def test_stream_equals_batch(spark, tmp_path):
+    source = tmp_path / "in"
+    batch = spark.createDataFrame([(i, datetime(2024, 1, 1) + timedelta(hours=i), "error" if i % 2 else "info", f"token=s{i}") for i in range(6)], "id long, timestamp timestamp_ntz, level string, message string")
+    batch.write.parquet(str(source))
+    shown = redacted_stream(spark.readStream.schema(batch.schema).parquet(str(source)), SourceSpec("t"), Filters(levels="error"))
+    shown.writeStream.format("memory").queryName("masked_rows").trigger(availableNow=True).start().awaitTermination(60)
+    assert sorted((r["id"], r["message"]) for r in spark.table("masked_rows").collect()) == [(str(i), "token=[REDACTED]") for i in (1, 3, 5)]
+
+
+def test_filters_on_bare_columns_reach_the_scan(spark, tmp_path):
+    df = spark.createDataFrame([("a", datetime(2024, 1, 1), "INFO", "m", "s")], "id string, timestamp timestamp_ntz, level string, message string, source string")
+    df.write.parquet(str(tmp_path / "t"))
+    stored = spark.read.parquet(str(tmp_path / "t"))
+    spark.conf.set("spark.sql.maxMetadataStringLength", "2000")
+    plan = stored.where(filters.build_predicate(Filters(levels="info", start=START)) & filters.id_is("s:a"))._jdf.queryExecution().toString()
+    spark.conf.unset("spark.sql.maxMetadataStringLength")
+    pushed = plan[plan.index("PushedFilters") :]
+    assert "GreaterThanOrEqual(timestamp" in pushed and "level,INFO" in pushed and "EqualTo(id,a)" in pushed
