@@ -13,7 +13,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import checked_broadcast, drop_ids, drop_texts, materialize, text_hash, whole_text
+from .common import checked_broadcast, drop_ids, drop_texts, materialize, scratch, text_hash, whole_text
 
 
 def chunk_pattern(min_chars: int, max_chars: int) -> str:
@@ -45,24 +45,30 @@ def exact_groups(docs: DataFrame, min_chars: int = 512, max_chars: int = 4096, i
     A null text counts as empty, and all empty texts are one group. Of equal texts the largest
     doc_id stays; rows that repeat a doc_id are one document and share its flags. A null doc_id
     never wins against a number; if a group has none but nulls, keep_id is null and they stay.
-    Other columns of ``docs`` are ignored; an empty table gives an empty result.
+    A text of any length is read whole. Other columns of ``docs`` are ignored; an empty table gives an empty result.
     """
+    with scratch(docs.sparkSession) as keep:
+        return keep(grouped(docs, min_chars, max_chars, id_bits), "groups")
+
+
+def grouped(docs: DataFrame, min_chars: int, max_chars: int, id_bits: int) -> DataFrame:
     chunked = materialize(chunk_table(docs, min_chars, max_chars, id_bits), "chunks")
     if ambiguous_ids(chunked).isEmpty():
         recipe = F.col("chunks.id")
     else:
         recipe = F.transform("chunks", lambda c: F.concat_ws(":", c["id"], F.hex(c["digest"]), c["bytes"]))
     recipes = chunked.select("doc_id", "text_sha256", recipe.alias("recipe"))
-    # Partial aggregation before the shuffle: a group with a third of the rows costs one row per task.
-    groups = recipes.groupBy("recipe", "text_sha256").agg(F.max("doc_id").alias("keep_id"), F.count("*").alias("group_size"))
-    return recipes.join(groups, ["recipe", "text_sha256"]).select(
-        "doc_id", "keep_id", "group_size", F.col("doc_id").eqNullSafe(F.col("keep_id")).alias("kept"), "text_sha256"
-    )
+    # The verified recipe alone decides. Partial sums before the shuffle: a group with a third of the rows costs one row per task.
+    groups = materialize(recipes.groupBy("recipe").agg(F.max("doc_id").alias("keep_id"), F.count("*").alias("group_size")).where("group_size > 1"), "groups")
+    # Most texts are alone and need no partner. Read from a table, so that a recipe with very many rows can be split over tasks.
+    found = recipes.join(checked_broadcast(groups), "recipe", "left")
+    keep_id = F.coalesce("keep_id", "doc_id")
+    return found.select("doc_id", keep_id.alias("keep_id"), F.coalesce("group_size", F.lit(1)).cast("long").alias("group_size"), F.col("doc_id").eqNullSafe(keep_id).alias("kept"), "text_sha256")
 
 
 def keep_one(docs: DataFrame) -> DataFrame:
     """``docs`` without the copies, also those under one doc_id; other texts of that doc_id and rows with a null doc_id are kept."""
-    groups = materialize(exact_groups(docs).where("doc_id is not null and group_size > 1").select("doc_id", "text_sha256", "kept"), "groups")
+    groups = exact_groups(docs).where("doc_id is not null and group_size > 1").select("doc_id", "text_sha256", "kept")
     left = drop_texts(docs, groups.where(~F.col("kept")), "copies")
     twice = groups.where("kept").groupBy("doc_id", "text_sha256").count().where("count > 1")
     if twice.isEmpty():

@@ -11,8 +11,8 @@ from contextvars import ContextVar
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-#: A side with at most this many narrow rows may be broadcast; larger ones are shuffled.
-BROADCAST_ROWS = 500_000
+#: A side with at most this many rows and characters may be broadcast; larger ones are shuffled.
+BROADCAST_ROWS, BROADCAST_CHARS = 500_000, 32_000_000
 
 
 #: Folder of the innermost ``scratch`` block; empty outside.
@@ -64,9 +64,12 @@ def scratch(spark: SparkSession) -> Iterator[Callable[[DataFrame, str], DataFram
         delete(spark, folder)
 
 
-def checked_broadcast(df: DataFrame, rows: int = BROADCAST_ROWS) -> DataFrame:
-    """``df`` (already materialized, narrow) with a broadcast hint only when it has at most ``rows`` rows."""
-    return F.broadcast(df) if df.limit(rows + 1).count() <= rows else df
+def checked_broadcast(df: DataFrame, rows: int = BROADCAST_ROWS, chars: int = BROADCAST_CHARS) -> DataFrame:
+    """``df`` (already materialized) with a broadcast hint only when it has at most ``rows`` rows of ``chars`` characters of JSON in all."""
+    if df.limit(rows + 1).count() > rows:
+        return df
+    size = df.agg(F.sum(F.length(F.to_json(F.struct(*df.columns))))).first()[0] or 0
+    return F.broadcast(df) if size <= chars else df
 
 
 def drop_ids(docs: DataFrame, ids: DataFrame, name: str) -> DataFrame:

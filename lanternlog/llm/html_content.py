@@ -2,7 +2,8 @@
 
 A page becomes a sequence of words and tags. Words score positive and tags negative; the weights
 are log ratios of how often a token occurs inside and outside the article of pages that mark one
-(the labelled pages), clamped to their sign. One linear scan finds the contiguous run of the
+(the labelled pages, menus and other furniture counted as outside), clamped to their sign. Tags
+within a marked article hardly count: its author has said that all of it belongs together. One linear scan finds the contiguous run of the
 highest sum. Elements that never hold main text (scripts, menus, forms, adverts, comments and so
 on, by name, role or class) count as one heavy negative token and give no words. Where a script
 has no spaces, each letter counts as a word. A class or id
@@ -47,6 +48,10 @@ SKIP = "#skip"
 HINT = "#hint"
 NAMED = "#named"
 WORD = "#word"
+#: Words of a skipped element: of no page text, but told to whoever learns weights.
+LOST = "#lost"
+#: A tag or skipped element within a marked article, whose author says that all of it belongs together.
+INSIDE_TAG = -0.01
 #: Used where no page marks its article.
 DEFAULT_WEIGHTS = {WORD: 0.7, SKIP: -6.0, HINT: -3.0, "a": -1.5, "li": -1.5, "ul": -2.0, "div": -1.0, "td": -1.0, "tr": -1.0, "table": -2.0}
 OTHER_TAG = -0.3
@@ -59,6 +64,7 @@ TOKEN = re.compile(
 )
 ATTRIBUTE = re.compile(r"""([^\s"'>/=]+)(?:\s*=\s*("[^"]*"|'[^']*'|[^\s"'>]+))?""")
 MAIN = ("article", "main")
+ANCHORED = frozenset("h1 h2 h3 h4 h5 h6 p a span li dt dd td th figure".split())
 #: Letters of scripts written without spaces: Thai, Lao, Tibetan, Burmese, Khmer, kana, bopomofo, Chinese characters and Yi.
 SPACELESS = re.compile(
     r"(?=\w)[\u0e00-\u0fff\u1000-\u109f\u1780-\u17ff\u1950-\u19df\u1a20-\u1aaf\u2e80-\u2fdf\u3005-\u3007\u3021-\u3029\u3031-\u303c\u3040-\u312f\u31a0-\u31bf\u31f0-\u31ff"
@@ -74,8 +80,11 @@ def n_words(text: str) -> int:
     return letters + sum(any(map(str.isalnum, w)) for w in rest.split())
 
 
-def hint_of(attrs: str) -> str | None:
-    """NAMED if a class or the id consists of hint words, HINT if one only holds such a word, SKIP if role or visibility say so."""
+def hint_of(attrs: str, name: str = "div") -> str | None:
+    """NAMED if a class or the id consists of hint words, HINT if one only holds such a word, SKIP if role or visibility say so.
+
+    The id of a heading or a piece of text is an anchor made of its words, and tells nothing.
+    """
     found = None
     for key, value in ATTRIBUTE.findall(attrs):
         key, value = key.lower(), value.strip("\"'").lower()
@@ -83,7 +92,7 @@ def hint_of(attrs: str) -> str | None:
             return SKIP
         if key == "style" and re.search(r"display\s*:\s*none", value):
             return SKIP
-        if key in ("class", "id"):
+        if key == "class" or key == "id" and name not in ANCHORED:
             for words in (set(re.findall("[a-z0-9]+", x)) for x in value.split()):
                 if words and words <= HINTS:
                     found = NAMED
@@ -95,7 +104,7 @@ def hint_of(attrs: str) -> str | None:
 def role_of(name: str, attrs: str, in_article: bool) -> str | None:
     if name in FURNITURE and not (name == "header" and in_article):
         return SKIP
-    return hint_of(attrs) if attrs and name not in ("html", "body", *MAIN) else None
+    return hint_of(attrs, name) if attrs and name not in ("html", "body", *MAIN) else None
 
 
 def spared(page: str) -> set[int]:
@@ -116,12 +125,12 @@ def spared(page: str) -> set[int]:
     return marked | {at for (at, level), n in held.items() if level == most and 2 * n > total[level]}
 
 
-def tokens(page: str) -> Iterator[tuple[str, str | None, bool]]:
-    """(kind, text, inside the marked article): kind is ``#word`` for a piece of text, ``#skip``, ``#hint`` or a tag name."""
-    return walk(page, spared(page), [], [], set())
+def tokens(page: str, lost: bool = False) -> Iterator[tuple[str, str | None, bool]]:
+    """(kind, text, inside the marked article): kind is ``#word`` for a piece of text, ``#skip``, ``#hint`` or a tag name, with ``lost`` also ``#lost``."""
+    return walk(page, spared(page), [], [], set(), lost)
 
 
-def walk(page: str, spare: set[int] | None, stack: list[str], starts: list[int], marked: set[int]) -> Iterator[tuple[str, str | None, bool]]:
+def walk(page: str, spare: set[int] | None, stack: list[str], starts: list[int], marked: set[int], lost: bool = False) -> Iterator[tuple[str, str | None, bool]]:
     """As ``tokens``; NAMED elements that start elsewhere than in ``spare`` are skipped, none where it is None.
 
     ``stack`` and ``starts`` hold the open elements and the starts of the NAMED ones (else -1);
@@ -132,6 +141,8 @@ def walk(page: str, spare: set[int] | None, stack: list[str], starts: list[int],
         if m["text"] is not None:
             if not skipping:
                 yield WORD, html.unescape(m["text"]), article > 0
+            elif lost:
+                yield LOST, m["text"], False
             continue
         if m["opaque"]:
             if not skipping:
@@ -183,13 +194,13 @@ def blocks_and_scores(page: str, weights: dict[str, float]) -> tuple[list[list[s
     """Texts of the blocks, and (block or -1, score) of each token in page order."""
     blocks: list[list[str]] = [[]]
     scores = []
-    for kind, text, _ in tokens(page):
+    for kind, text, inside in tokens(page):
         if kind == WORD:
             blocks[-1].append(text)
             if n := n_words(text):
                 scores.append((len(blocks) - 1, n * weights[WORD]))
             continue
-        scores.append((-1, weights.get(kind, OTHER_TAG)))
+        scores.append((-1, INSIDE_TAG if inside else weights.get(kind, OTHER_TAG)))
         if kind == "br":
             blocks[-1].append(" ")
         elif kind != HINT and kind not in INLINE:
@@ -223,8 +234,11 @@ def learned_weights(pages: DataFrame) -> dict[str, float]:
         for b in batches:
             for page in b.column(0).to_pylist():
                 if page and len(re.findall(r"<article\b", page, re.I)) == 1:
-                    for kind, text, inside in tokens(page):
-                        counts[kind if kind in known else "#other", inside] += n_words(text) if kind == WORD else 1
+                    for kind, text, inside in tokens(page, lost=True):
+                        if kind == LOST:
+                            counts[WORD, False] += n_words(text)
+                        else:
+                            counts[kind if kind in known else "#other", inside] += n_words(text) if kind == WORD else 1
         keys = list(counts)
         yield pa.RecordBatch.from_arrays(
             [pa.array([k for k, _ in keys], pa.string()), pa.array([i for _, i in keys], pa.bool_()), pa.array([counts[k] for k in keys], pa.int64())], ["kind", "inside", "n"]
@@ -247,8 +261,9 @@ def extract(pages: DataFrame, weights: dict[str, float] | None = None) -> DataFr
     """page_id, url, text and n_chars of each row of ``pages``.
 
     A null or empty page gives an empty text. Broken markup is read as far as it goes: an
-    unclosed comment or script ends with the page, an end tag without a start is ignored. Rows
-    that repeat give a row each; other columns are ignored.
+    unclosed comment or script ends with the page, an end tag without a start is ignored. Pages of
+    any length are read whole, rows that repeat give a row each, an empty table gives an empty
+    result, of runs that tie the first counts; other columns are ignored.
     """
     weights = weights or learned_weights(pages)
 

@@ -10,6 +10,7 @@ from __future__ import annotations
 
 import unicodedata
 from collections.abc import Iterator
+from hashlib import md5
 
 import numpy as np
 import pandas as pd
@@ -91,17 +92,19 @@ def document_frequencies(docs: DataFrame, bits: int) -> np.ndarray:
 
 
 def fitted(sample: DataFrame, labels: list[str], idf: np.ndarray, bits: int, epochs: int) -> tuple[np.ndarray, float]:
-    """Weights (feature by label) and temperature from the bounded ``sample`` (text, lang, held)."""
+    """Weights (feature by label) and temperature from the bounded ``sample`` (text, lang, held, doc_id), in the order of doc_id and text."""
 
     def vectors(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         grams = Grams(bits)
         for b in batches:
-            rows = [(lang, held, *v) for text, lang, held in zip(*(b.column(i).to_pylist() for i in range(3)), strict=True) if (v := grams.vector(text, idf)) is not None]
-            columns = list(zip(*rows, strict=True)) or [[], [], [], []]
-            types = [pa.string(), pa.bool_(), pa.list_(pa.int32()), pa.list_(pa.float32())]
-            yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(columns, types, strict=True)], ["lang", "held", "at", "x"])
+            given = zip(*(b.column(i).to_pylist() for i in range(4)), strict=True)
+            rows = [(i, md5(text.encode("utf-8", "replace")).digest(), lang, held, *v) for text, lang, held, i in given if (v := grams.vector(text, idf)) is not None]
+            columns = list(zip(*rows, strict=True)) or [[]] * 6
+            types = [pa.int64(), pa.binary(), pa.string(), pa.bool_(), pa.list_(pa.int32()), pa.list_(pa.float32())]
+            yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(columns, types, strict=True)], ["doc_id", "digest", "lang", "held", "at", "x"])
 
     def train(rows: pa.Table) -> pa.Table:
+        rows = rows.sort_by([(c, "ascending") for c in ("doc_id", "digest", "lang")])
         where = {label: i for i, label in enumerate(labels)}
         data = [(where[l], h, np.array(a), np.array(x, float)) for l, h, a, x in zip(*(rows.column(c).to_pylist() for c in ("lang", "held", "at", "x")), strict=True)]
         order = np.random.default_rng(7).permutation(len(data))
@@ -120,7 +123,7 @@ def fitted(sample: DataFrame, labels: list[str], idf: np.ndarray, bits: int, epo
         f, k = np.nonzero(w)
         return pa.table({"feature": np.append(f, -1), "label": np.append(k, -1), "w": np.append(w[f, k], temperatures[int(np.argmin(loss))])})
 
-    vectored = sample.mapInArrow(vectors, "lang string, held boolean, at array<int>, x array<float>")
+    vectored = sample.mapInArrow(vectors, "doc_id long, digest binary, lang string, held boolean, at array<int>, x array<float>")
     # The sample is bounded by a parameter, so one task fits it at any size of the corpus.
     got = vectored.withColumn("all", F.lit(0)).groupBy("all").applyInArrow(train, "feature long, label long, w double").toPandas()
     w, temperature = np.zeros((1 << bits, len(labels))), 1.0
@@ -137,7 +140,9 @@ def identify(docs: DataFrame, per_label: int = PER_LABEL, bits: int = BITS, epoc
 
     Learned from text and lang of rows whose crc32(doc_id) mod 3 is not 1 and whose lang is not
     null. A text that is null or has no letter is ``und`` with score 0; with nothing to learn
-    from all are. Equal scores go to the label that sorts first. Other columns are ignored.
+    from all are. Equal scores go to the label that sorts first. Texts of any length
+    are read whole, repeated rows are predicted each, an empty table gives an empty result; other
+    columns are ignored.
     """
     d = docs.select(F.col("doc_id").cast("long"), F.col("text").cast("string"), F.col("lang").cast("string"))
     d = d.withColumn("held_out", fold(F.col("doc_id"), 3) == 1)
@@ -148,7 +153,7 @@ def identify(docs: DataFrame, per_label: int = PER_LABEL, bits: int = BITS, epoc
         idf = document_frequencies(train, bits)
         drawn = F.pmod(F.xxhash64("doc_id", F.lit("langid")), F.lit(1_000_000))
         rate = F.create_map(*[F.lit(x) for k in labels for x in (k, 1_000_000 * per_label / sizes[k])])
-        sample = train.where(drawn < rate[F.col("lang")]).select("text", "lang", (F.pmod(F.xxhash64("doc_id", F.lit("held")), F.lit(5)) == 0).alias("held"))
+        sample = train.where(drawn < rate[F.col("lang")]).select("text", "lang", (F.pmod(F.xxhash64("doc_id", F.lit("held")), F.lit(5)) == 0).alias("held"), "doc_id")
         weights, temperature = fitted(sample, labels, idf, bits, epochs)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:

@@ -10,7 +10,7 @@ All recursions run in log space, on words of one length at a time.
 
 Within a text the lattice of the next word gains arcs for the words before it: one weighted by how
 often the word came so far, one by how often it followed the same word. Both are Dirichlet priors
-around the arcs above, so the sum stays one; a text's probability is the mean over ``PRIORS``.
+around the arcs above, so the sum stays one; a text's probability is the mean over ``PRIORS`` (one pair of strengths by default).
 
 Words are counted by Spark over all documents. To score, each block of documents gets the counts
 and probabilities of just its own distinct words by a join, so no table of all words is ever held
@@ -28,14 +28,14 @@ from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import fold, materialize, whole_text
+from .common import fold, materialize, scratch, whole_text
 from .jaccard_join import mix
 from .tokens import vocabulary_path
 
 PIECES, WORD_MARK, BLOCK_CHARS = "piece_bpe_32k.model", "▁", 16_000_000
 FLOOR = 0.01
 #: Strengths (in words) of the corpus against the text so far, and of both against what followed the same word.
-PRIORS = ((50, 500, 5000), (5, 500))
+PRIORS = ((500,), (50,))
 U = np.uint64
 
 
@@ -69,8 +69,8 @@ class Lattice:
         self.longest = max(len(p) for p, _ in normal)
         # Open addressing: hash of the piece -> id.
         keys = np.array([self.hashed(p) for p, _ in normal], U)
-        self.mask = U((1 << 18) - 1)
-        self.keys, self.ids, self.probes = np.zeros(1 << 18, U), np.full(1 << 18, -1, np.int32), 1
+        self.mask = U((1 << 20) - 1)  # sparse, so that two or three looks suffice
+        self.keys, self.ids, self.probes = np.zeros(1 << 20, U), np.full(1 << 20, -1, np.int32), 1
         for key, (_, i) in zip(keys.tolist(), normal, strict=True):
             at, probes = key & int(self.mask), 1
             while self.ids[at] >= 0:
@@ -266,13 +266,19 @@ def trained_pieces(words: DataFrame, rounds: int, vocabulary: str) -> np.ndarray
     return logp
 
 
-def score_documents(docs: DataFrame, rounds: int = 2, vocabulary: str = PIECES, block_chars: int = BLOCK_CHARS) -> DataFrame:
+def score_documents(docs: DataFrame, rounds: int = 1, vocabulary: str = PIECES, block_chars: int = BLOCK_CHARS) -> DataFrame:
     """Per row: doc_id, held_out, n_tokens, n_known, train_tokens, base_score, score, bits_per_byte.
 
     Rows whose crc32(doc_id) mod 7 is not 2 are learned from. A null or empty text is the end
     token alone. Rows that repeat a doc_id are scored each; a null doc_id counts as the empty
-    text in the split. With no training row every count is 0 and the pieces keep their start.
+    text in the split. With no training row every count is 0 and the pieces keep their start. Texts
+    of any length are read whole; an empty table gives an empty result; other columns are ignored.
     """
+    with scratch(docs.sparkSession) as keep:
+        return keep(scored(docs, rounds, vocabulary, block_chars), "scores")
+
+
+def scored(docs: DataFrame, rounds: int, vocabulary: str, block_chars: int) -> DataFrame:
     blocked = with_blocks(docs, block_chars)
     local = materialize(block_words(blocked).groupBy("block", "word").agg(F.sum("c").alias("c")), "blockwords")
     words = materialize(local.groupBy("word").agg(F.sum("c").alias("c")), "words")

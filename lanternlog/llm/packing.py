@@ -4,8 +4,10 @@ Documents become pieces of at most ``capacity`` tokens. Pieces are dealt over bo
 partitions; each runs best-fit decreasing and computes a lower bound on its bin count with
 dual-feasible functions. A partition that meets its bound is certified and final. In the others
 the full bins are final too, while the bins with a gap give their documents back: these are dealt
-over fewer partitions, so that documents of different partitions meet, and packed again. Rounds
-end when everything is certified or one partition is left.
+anew, so that documents of different partitions meet, and packed again. A partition never holds
+more than about ``GROUP_PIECES`` pieces. Rounds end when everything is certified, when one
+partition held all the rest, or when a round has saved no bin; then the places of the last
+round stand.
 """
 
 from __future__ import annotations
@@ -18,7 +20,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import materialize
+from .common import materialize, scratch
 from .tokens import DEFAULT_VOCABULARY, UnitTokenizer
 
 CAPACITY, END_ID = 4096, 1
@@ -55,10 +57,13 @@ def document_pieces(docs: DataFrame, capacity: int = CAPACITY, vocabulary: str =
 
 
 def lower_bound(lengths: np.ndarray, capacity: int) -> int:
-    """Largest dual-feasible bound on the bins that ``lengths`` need.
+    """Largest bound on the bins that ``lengths`` need, over two families of dual-feasible functions.
 
-    The identity gives ceil(sum / capacity). For a threshold k up to half the capacity, lengths
-    over capacity - k count as a whole bin, those under k as nothing, the others as they are.
+    Such a function gives each length a weight so that no bin holds more than 1 in all; the sum of weights,
+    rounded up, is a bound. First family, for a threshold k up to half the capacity: lengths over
+    capacity - k weigh 1, those under k nothing, the others their share (k = 0: all their share).
+    Second, for p = 1, 2, ...: a length over i/(p+1) of the capacity weighs i/p, rounded down to
+    that grid, but one that is a multiple of capacity/(p+1) keeps its share.
     """
     if not len(lengths):
         return 0
@@ -71,7 +76,14 @@ def lower_bound(lengths: np.ndarray, capacity: int) -> int:
     first, large = np.searchsorted(ordered, k, "left"), np.searchsorted(ordered, capacity - k, "right")
     whole = len(ordered) - large
     middle = sums[large] - sums[np.minimum(first, large)]
-    return int((whole + -(-middle // capacity)).max())
+    best = int((whole + -(-middle // capacity)).max())
+    sizes, counts = np.unique(ordered, return_counts=True)
+    for p in range(1, 65):
+        steps, exact = sizes * (p + 1) // capacity, sizes * (p + 1) % capacity == 0
+        # In units of 1 / (p * capacity), so that sums are whole numbers.
+        weight = np.where(exact, sizes * p, steps * capacity)
+        best = max(best, -(-int((weight * counts).sum()) // (p * capacity)))
+    return best
 
 
 def best_fit_decreasing(lengths: np.ndarray, capacity: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
@@ -101,7 +113,7 @@ def best_fit_decreasing(lengths: np.ndarray, capacity: int) -> tuple[np.ndarray,
     return where, offset, np.array(fill, np.int64)
 
 
-def group_packer(capacity: int, number: int, last: bool, ends_at: float):
+def group_packer(capacity: int, number: int, ends_at: float):
     """Packs one group's pieces; ``number`` and the group keep sequence ids of all rounds apart."""
 
     def run(key: tuple, rows: pa.Table) -> pa.Table:
@@ -109,7 +121,7 @@ def group_packer(capacity: int, number: int, last: bool, ends_at: float):
         lengths = rows.column("length").to_numpy()
         where, offset, fill = best_fit_decreasing(lengths, capacity)
         certified = len(fill) == lower_bound(lengths, capacity)
-        final = np.full(len(where), True) if certified or last else fill[where] >= capacity * (1 - ends_at)
+        final = np.full(len(where), True) if certified else fill[where] >= capacity * (1 - ends_at)
         # 8 bits round, 23 bits group, 32 bits bin.
         sequence = (number << 55) | (key[0].as_py() << 32) | where
         for name, values in (("sequence_id", sequence), ("offset", offset), ("certified", np.full(len(where), certified)), ("final", final)):
@@ -119,7 +131,7 @@ def group_packer(capacity: int, number: int, last: bool, ends_at: float):
     return run
 
 
-def pack(pieces: DataFrame, capacity: int = CAPACITY, group_pieces: int = GROUP_PIECES, spread: int = 8, ends_at: float = 0.0) -> DataFrame:
+def pack(pieces: DataFrame, capacity: int = CAPACITY, group_pieces: int = GROUP_PIECES, ends_at: float = 0.0, rounds: int = 8) -> DataFrame:
     """``pieces`` (with doc_id, piece, length) plus sequence_id, offset, certified, round.
 
     Every piece keeps its place once its bin is final; offsets are gapless from 0. Lengths must
@@ -127,22 +139,21 @@ def pack(pieces: DataFrame, capacity: int = CAPACITY, group_pieces: int = GROUP_
     """
     columns = pieces.columns
     schema = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in pieces.schema) + ", sequence_id long, offset long, certified boolean, final boolean"
-    left, done, number = pieces, [], 0
-    total = left.count()
-    groups = max(1, -(-total // group_pieces))
+    left, done, number, before = pieces, [], 0, None
+    rest = left.count()
     while True:
-        last = groups == 1
-
+        groups = max(1, -(-rest // group_pieces))
         dealt = left.withColumn("_group", F.pmod(F.xxhash64("doc_id", "piece", F.lit(number)), F.lit(groups)))
-        packed = materialize(dealt.groupBy("_group").applyInArrow(group_packer(capacity, number, last, ends_at), schema), f"packed{number}")
-        done.append(packed.where("final").drop("final").withColumn("round", F.lit(number)))
-        if last:
+        packed = materialize(dealt.groupBy("_group").applyInArrow(group_packer(capacity, number, ends_at), schema), f"packed{number}")
+        shown = packed.drop("final").withColumn("round", F.lit(number))
+        open_ = packed.where("not final")
+        per_bin = packed.groupBy("sequence_id").agg(F.bool_or(~F.col("final")).alias("open"), F.count("*").alias("n"))
+        bins, still_open, rest = per_bin.agg(F.count("*"), F.count_if("open"), F.sum(F.when(F.col("open"), F.col("n")))).first()
+        if not rest or groups == 1 or number + 1 >= rounds or (before is not None and bins >= before):
+            done.append(shown)
             break
-        left = packed.where("not final").select(columns)
-        rest = left.count()
-        if not rest:
-            break
-        number, groups = number + 1, min(-(-groups // spread), max(1, -(-rest // group_pieces)))
+        done.append(packed.where("final").drop("final").withColumn("round", F.lit(number)))
+        left, before, number = open_.select(columns), still_open, number + 1
     out = done[0]
     for more in done[1:]:
         out = out.unionByName(more)
@@ -154,5 +165,5 @@ def packed_documents(docs: DataFrame, capacity: int = CAPACITY, vocabulary: str
 
     An empty table gives an empty result; ties in length go by doc_id and piece.
     """
-    pieces = materialize(document_pieces(docs, capacity, vocabulary, with_ids), "pieces")
-    return pack(pieces, capacity)
+    with scratch(docs.sparkSession) as keep:
+        return keep(pack(materialize(document_pieces(docs, capacity, vocabulary, with_ids), "pieces"), capacity), "packed")

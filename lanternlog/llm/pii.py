@@ -10,7 +10,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .common import whole_text
+from .common import let, whole_text
 
 # Characters of an IBAN by country, from the ISO 13616 registry.
 IBAN_LENGTHS = {
@@ -24,7 +24,7 @@ IBAN_COUNTRIES = "^(?:" + "|".join(IBAN_LENGTHS.values()) + ")"
 IBAN_REST = "|".join(rf"(?:{c})[0-9]{{2}}(?:\x20?[A-Z0-9]){{{n - 4}}}(?![A-Za-z0-9])" for n, c in IBAN_LENGTHS.items())
 
 # Kinds in report order, their patterns and the words that make a span likelier.
-KINDS = ("email", "ip", "card", "phone", "iban", "ssn", "local_phone")
+KINDS = ("email", "ip", "card", "phone", "iban", "ssn", "local_phone", "secret")
 PATTERNS = {
     "email": r"(?:\G|(?<![A-Za-z0-9._%+-]))[A-Za-z0-9._%+-]++@[A-Za-z0-9-]++(?:\.[A-Za-z0-9-]++)++",
     "ip": r"(?:\G|(?<![0-9]))[0-9]++\.[0-9]++\.[0-9]++\.[0-9]++",
@@ -33,6 +33,12 @@ PATTERNS = {
     "iban": rf"(?<![A-Za-z0-9])(?=[A-Z]{{2}}[0-9]{{2}})(?:{IBAN_REST}|(?!{IBAN_COUNTRIES[1:]})[A-Z]{{2}}[0-9]{{2}}(?:\x20?[A-Z0-9]){{11,30}}(?![A-Za-z0-9]))",
     "ssn": r"(?<![0-9-])[0-9]{3}-[0-9]{2}-[0-9]{4}(?![0-9-])",
     "local_phone": r"(?<![0-9+)\x20-])(?:\([0-9]{3}\)\x20?|[0-9]{3}[\x20.-])[0-9]{3}[\x20.-][0-9]{4}(?![0-9-])",
+    # Keys that tell by their own form, and values behind the name of a secret.
+    "secret": (
+        r"(?<![A-Za-z0-9_])(?:AKIA[0-9A-Z]{16}|gh[pousr]_[A-Za-z0-9]{30,}+|sk-[A-Za-z0-9_-]{16,}+|sk_live_[A-Za-z0-9]{16,}+|xox[abprs]-[A-Za-z0-9-]{10,}+|AIza[A-Za-z0-9_-]{30,}+|"
+        r"eyJ[A-Za-z0-9_-]{6,}+\.[A-Za-z0-9_-]{6,}+\.[A-Za-z0-9_-]*+|-----BEGIN\x20[A-Z\x20]{0,20}PRIVATE\x20KEY-----)"
+        r"|(?i:(?<![a-z0-9])(?:password|passwd|pwd|secret|token|api[_-]?key|access[_-]?key|secret[_-]?key|private[_-]?key|auth[_-]?token)[\x20\t]{0,3}+[:=][\x20\t]{0,3}+[\"']?[^\s\"',;]{6,}+)"
+    ),
 }
 #: A text without this can't match the kind: a cheap test before the pattern.
 NEEDS = {"email": "@", "ip": ".", "phone": "+", "ssn": "-"}
@@ -44,22 +50,25 @@ CONTEXT = {
     "iban": r"iban|bank|account|konto|compte|cuenta",
     "ssn": r"ssn|social|security|insurance",
     "local_phone": r"phone|call|tel|mobile|fax|anruf|llam|appel",
+    "secret": r"key|secret|token|password|credential",
 }
-PRIOR = {"email": 0.9, "ip": 0.8, "card": 0.9, "phone": 0.8, "iban": 0.9, "ssn": 0.35, "local_phone": 0.4}
+PRIOR = {"email": 0.9, "ip": 0.8, "card": 0.9, "phone": 0.8, "iban": 0.9, "ssn": 0.35, "local_phone": 0.4, "secret": 0.8}
 BASE = KINDS[:4]
 
 
 def raw_spans(text: Column, kind: str, window: int) -> Column:
-    """Leftmost non-overlapping matches as (start, end, match, before), starts in code points from 0."""
+    """Leftmost non-overlapping matches as (start, end, match, before, after), starts in code points from 0."""
     pattern = F.lit(PATTERNS[kind])
     found = F.regexp_extract_all(text, pattern, F.lit(0))
     between = F.split(text, PATTERNS[kind], -1)
-    empty = F.expr("cast(array() as array<struct<start:int,end:int,match:string,before:string>>)")
+    empty = F.expr("cast(array() as array<struct<start:int,end:int,match:string,before:string,after:string>>)")
 
     def step(acc: Column, pair: Column) -> Column:
         start = acc["at"] + F.char_length(pair["0"])
         end = start + F.char_length(pair["1"])
-        span = F.struct(start.alias("start"), end.alias("end"), pair["1"].alias("match"), F.substring(pair["0"], -window, window).alias("before"))
+        # Context may reach over other matches of the kind, so it is cut from the text.
+        before = F.substring(text, F.greatest(start - window, F.lit(0)) + 1, F.least(start, F.lit(window)))
+        span = F.struct(start.alias("start"), end.alias("end"), pair["1"].alias("match"), before.alias("before"), F.substring(text, end + 1, F.lit(window)).alias("after"))
         return F.struct(end.alias("at"), F.concat(acc["spans"], F.array(span)).alias("spans"))
 
     pairs = F.filter(F.arrays_zip(between, found), lambda p: p["1"].isNotNull())
@@ -106,14 +115,14 @@ def iban_piece(s: Column) -> Column:
     words = F.split(s["match"], " ")
     heads = F.transform(F.sequence(F.size(words), F.lit(1), F.lit(-1)), lambda n: F.array_join(F.slice(words, F.lit(1), n), " "))
     piece = F.coalesce(F.get(F.filter(heads, lambda h: confirmed("iban", h)), F.lit(0)), s["match"])
-    short = F.struct(s["start"].alias("start"), (s["start"] + F.char_length(piece)).alias("end"), piece.alias("match"), s["before"].alias("before"))
+    short = F.struct(s["start"].alias("start"), (s["start"] + F.char_length(piece)).alias("end"), piece.alias("match"), s["before"].alias("before"), s["after"].alias("after"))
     return F.when(s["match"].rlike(IBAN_COUNTRIES), s).otherwise(short)
 
 
 def kind_spans(text: Column, kind: str, order: int, threshold: float, window: int) -> Column:
     """Confirmed spans of one kind with their scores, those below ``threshold`` left out."""
     def scored(s: Column) -> Column:
-        near = F.when(F.lower(s["before"]).rlike(CONTEXT[kind]), 0.3).otherwise(0.0)
+        near = F.when(F.lower(F.concat(s["before"], F.lit(" "), s["after"])).rlike(CONTEXT[kind]), 0.3).otherwise(0.0)
         return F.struct(
             s["start"].alias("start"),
             F.lit(order).alias("order"),
@@ -131,12 +140,15 @@ def kind_spans(text: Column, kind: str, order: int, threshold: float, window: in
 def find_spans(docs: DataFrame, text: str = "text", threshold: float = 0.5, window: int = 40) -> DataFrame:
     """Adds ``pii``: spans (start, end, kind, match, score) of the whole text, by start, then kind as listed.
 
-    The four checked kinds are reported whenever their check passes; context only raises their
-    score. Kinds without a strong check need a context word within ``window`` characters before
-    to reach ``threshold``. A null text counts as empty and has no spans; other columns stay.
+    The four checked kinds and secrets are reported whenever their check passes; context only raises
+    their score. Kinds without a strong check need a context word within ``window`` characters before
+    or behind to reach ``threshold``. A null or empty text has no spans, a text of any length is read
+    whole, rows that repeat get theirs each, an empty table gives an empty result; other columns stay,
+    but for one named ``pii``, which is replaced.
     """
-    spans = [kind_spans(F.col("_t"), kind, order, threshold, window) for order, kind in enumerate(KINDS)]
-    return docs.withColumn("_t", whole_text(text)).withColumn("pii", F.array_sort(F.concat(*spans))).drop("_t")
+    t = whole_text(text)
+    spans = let(t, lambda x: F.array_sort(F.concat(*[kind_spans(x, kind, order, threshold, window) for order, kind in enumerate(KINDS)])))
+    return docs.withColumn("pii", spans)
 
 
 def mask(docs: DataFrame, text: str = "text") -> DataFrame:

@@ -1,11 +1,15 @@
 """Training-order materialisation: token sequences in a keyed random order, in fixed-stride shards.
 
-Every sequence (``length`` ids, the last of a document padded) has an index from 0 to N-1. A
-Feistel network keyed with ``seed`` permutes the next power of four; walking its cycles until a
-value below N is met permutes 0..N-1 itself. The result is the sequence's global slot: step k
-of a training run reads slot k, whatever the cluster. Range partitions of slots write shards of
-``shard_slots`` sequences; slot s lies in shard s // shard_slots at byte
-(s % shard_slots) * stride, so a reader resumes by arithmetic alone.
+Documents follow each other, each closed by the end id, and are cut every ``length`` ids, so only a
+task's last sequence is padded. Every sequence has an index from 0 to N-1. A Feistel network keyed
+with ``seed`` permutes the next power of four; walking its cycles until a value below N is met
+permutes 0..N-1 itself. The result is the sequence's global slot: step k of a training run reads
+slot k, whatever the cluster. Range partitions of slots write shards of ``shard_slots`` sequences;
+slot s lies in shard s // shard_slots at byte (s % shard_slots) * stride, so a reader resumes by
+arithmetic alone.
+
+The texts are tokenised once. Sequences are compressed for the way between, and what lies there goes
+once the shards are written.
 """
 
 from __future__ import annotations
@@ -15,16 +19,18 @@ import zlib
 from collections.abc import Iterator
 
 import numpy as np
+import pandas as pd
 import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import Window
 
-from .common import materialize, scratch_root
-from .packing import document_pieces
-from .tokens import DEFAULT_VOCABULARY
+from .common import checked_broadcast, materialize, scratch, scratch_root
+from .packing import END_ID
+from .tokens import DEFAULT_VOCABULARY, UnitTokenizer
 
 LENGTH, SHARD_SLOTS, PAD_ID, ROUNDS = 1024, 4096, 0, 6
-PLACES = "doc_id long, piece int, start long, length long, slot long, shard long, byte_offset long, ids_crc32 long"
+PIECE = "struct<doc_id: bigint, piece: int, start: bigint, length: bigint, offset: bigint, ids_crc32: bigint>"
 
 
 def feistel(index: np.ndarray, n: int, seed: int, rounds: int = ROUNDS) -> np.ndarray:
@@ -56,87 +62,121 @@ def file_system(path: str):
     return fs.FileSystem.from_uri(path if "://" in path else "file://" + path.removeprefix("file:"))
 
 
-def numbered_sequences(docs: DataFrame, length: int, vocabulary: str) -> tuple[DataFrame, int]:
-    """Sequences with a dense ``index``, and their number.
-
-    The written table's rows get (task, place in the task); the index is the place plus the
-    sequences of lower tasks, a running sum over one row per task.
-    """
+def sequences(docs: DataFrame, length: int, vocabulary: str) -> DataFrame:
+    """(task, at, ids: zstd of little-endian uint16, bytes: their size, pieces: what lies in it), one row per sequence."""
     from pyspark import TaskContext
 
-    pieces = document_pieces(docs, length, vocabulary, with_ids=True)
-
-    def place(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        task, at = TaskContext.get().partitionId(), 0
-        for b in batches:
-            yield pa.RecordBatch.from_arrays(
-                [*b.columns, pa.array(np.full(len(b), task, np.int64)), pa.array(np.arange(at, at + len(b)))], [*b.schema.names, "task", "at"]
-            )
-            at += len(b)
-
-    schema = ", ".join(f"{f.name} {f.dataType.simpleString()}" for f in pieces.schema) + ", task long, at long"
-    stored = materialize(pieces.mapInArrow(place, schema), "sequences")
-    per_task = stored.groupBy("task").count().toPandas().sort_values("task")  # one row per input split
-    n = int(per_task["count"].sum())
-    spark = docs.sparkSession
-    first = spark.createDataFrame(per_task.assign(first=per_task["count"].cumsum() - per_task["count"])[["task", "first"]].astype("int64"), "task long, first long")
-    return stored.join(F.broadcast(first), "task").withColumn("index", F.col("first") + F.col("at")).drop("task", "at", "first"), n
+    end = np.array([END_ID], dtype="<u2").tobytes()
+
+    def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        tokenizer, codec, task, at = UnitTokenizer(vocabulary), pa.Codec("zstd"), TaskContext.get().partitionId(), 0
+        held, pieces, full, lists = bytearray(), [], [], []
+
+        def rows() -> pa.RecordBatch:
+            nonlocal at, full, lists
+            flat = list(zip(*(p for one in lists for p in one), strict=True)) or [[]] * 6
+            types = (pa.int64(), pa.int32(), *[pa.int64()] * 4)
+            struct = pa.StructArray.from_arrays([pa.array(c, t) for c, t in zip(flat, types, strict=True)], ["doc_id", "piece", "start", "length", "offset", "ids_crc32"])
+            offsets = pa.array(np.cumsum([0, *map(len, lists)]), pa.int32())
+            ids = pa.array([codec.compress(x, asbytes=True) for x in full], pa.binary())
+            size = pa.array([len(x) for x in full], pa.int32())
+            places = [pa.array(np.full(len(full), task, np.int64)), pa.array(np.arange(at, at + len(full)))]
+            at, full, lists = at + len(full), [], []
+            return pa.RecordBatch.from_arrays([*places, ids, size, pa.ListArray.from_arrays(offsets, struct)], ["task", "at", "ids", "bytes", "pieces"])
+
+        for batch in batches:
+            for doc_id, ids in zip(batch.column(0).to_pylist(), tokenizer.ids(batch.column(1).to_pylist()), strict=True):
+                ids, done, piece = ids + end, 0, 0
+                while done < len(ids):
+                    part = ids[done : done + 2 * length - len(held)]
+                    pieces.append((doc_id, piece, done // 2, len(part) // 2, len(held) // 2, crc(np.frombuffer(part, "<u2"))))
+                    held += part
+                    done, piece = done + len(part), piece + 1
+                    if len(held) == 2 * length:
+                        full.append(bytes(held))
+                        lists.append(pieces)
+                        held, pieces = bytearray(), []
+            if len(full) >= 1024:
+                yield rows()
+        if held:
+            full.append(bytes(held))
+            lists.append(pieces)
+        if full:
+            yield rows()
+
+    schema = f"task long, at long, ids binary, bytes int, pieces array<{PIECE}>"
+    return docs.select(F.col("doc_id").cast("long"), F.col("text").cast("string")).mapInArrow(cut, schema)
+
+
+def with_slots(stored: DataFrame, seed: int) -> tuple[DataFrame, int]:
+    """``stored`` (task, at, ...) with the global ``slot`` of each sequence, and their number."""
+    tasks = materialize(stored.groupBy("task").agg(F.count("*").alias("n")), "tasks")  # one row per input split
+    n = tasks.agg(F.sum("n")).first()[0] or 0
+    first = tasks.select("task", (F.sum("n").over(Window.orderBy("task")) - F.col("n")).alias("first"))
+
+    @F.pandas_udf("long")
+    def slot(index: pd.Series) -> pd.Series:
+        return pd.Series(feistel(index.to_numpy(), n, seed) if len(index) else [], dtype="int64")
+
+    # Only the index goes to the helper; ids stay where they are.
+    return stored.join(checked_broadcast(materialize(first, "first")), "task").withColumn("slot", slot(F.col("first") + F.col("at"))).drop("task", "at", "first"), n
 
 
 def write_shards(
     docs: DataFrame, path: str, seed: int, length: int = LENGTH, shard_slots: int = SHARD_SLOTS, vocabulary: str = DEFAULT_VOCABULARY
 ) -> DataFrame:
-    """Plan that writes all sequences of ``docs`` to ``path`` and returns where each went.
-
-    A row per sequence: doc_id, piece, start and length in the document, slot, shard,
-    byte_offset, ids_crc32 (of the ids as uint32, without padding). The files are
-    ``shard-<number>.u16``; a task writes under a name of its own and renames at the end, so a
-    repeated or lost task leaves no broken shard. A null or empty text is one sequence that holds
-    the end id. An empty table writes nothing.
+    """Write all sequences of ``docs`` to ``path`` and return where each piece of a document went.
+
+    A row per piece, which is a document or its part in one sequence: doc_id, piece, start and
+    length in the document's ids, slot, shard, byte_offset of its first id in the shard, ids_crc32
+    (of its ids as uint32). The files are ``shard-<number>.u16``. A task writes under names of its
+    own in ``_open`` and renames at the end, so a repeated or lost task leaves no broken shard;
+    ``_open`` goes at the end. Shards are written once, here; reading the result writes nothing.
+    A null or empty text is the end id alone, a text of any length is cut where a sequence ends,
+    rows that repeat a doc_id are documents each, other columns are ignored; an empty table writes nothing.
     """
-    sequences, n = numbered_sequences(docs, length, vocabulary)
-    stride = 2 * length
-
-    def slots(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for b in batches:
-            slot = feistel(b.column("index").to_numpy(), n, seed) if len(b) else np.empty(0, np.int64)
-            yield b.drop_columns(["index"]).append_column("slot", pa.array(slot)).append_column("shard", pa.array(slot // shard_slots))
-
-    schema = "doc_id long, piece int, start long, length long, ids_crc32 long, ids binary, slot long, shard long"
-    placed = sequences.mapInArrow(slots, schema)
-    shards = max(1, -(-n // shard_slots))
-    # A shard lies within one task; ranges of shards keep neighbours together.
-    ordered = placed.repartitionByRange(min(shards, 4096), "shard").sortWithinPartitions("slot")
+    spark = docs.sparkSession
+    with scratch(spark) as keep:
+        placed, n = with_slots(materialize(sequences(docs, length, vocabulary), "sequences"), seed)
+        shards = max(1, -(-n // shard_slots))
+        parts, shard = min(shards, 4096), F.floor(F.col("slot") / shard_slots)
+        # Ranges of slots: a shard lies within one task, neighbours lie together.
+        ordered = placed.withColumn("shard", shard).repartitionById(parts, F.floor(F.col("shard") * parts / shards).cast("int")).sortWithinPartitions("slot")
+        written = keep(ordered.mapInArrow(shard_writer(path, length), f"slot long, shard long, pieces array<{PIECE}>"), "places")
+    if n:
+        system, root = file_system(path)
+        system.delete_dir(f"{root}/_open")
+    piece = written.select("slot", "shard", F.explode("pieces").alias("p"))
+    at = F.pmod("slot", F.lit(shard_slots)) * (2 * length) + 2 * F.col("p.offset")
+    return piece.select("p.doc_id", "p.piece", "p.start", "p.length", "slot", "shard", at.alias("byte_offset"), "p.ids_crc32")
+
+
+def shard_writer(path: str, length: int):
+    """Writes the rows of a partition (slot, shard, ids, bytes, pieces), sorted by slot, to one file a shard."""
 
     def write(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        out, name, system, root = None, "", *file_system(path)
+        codec, tag, stride = pa.Codec("zstd"), uuid.uuid4().hex, 2 * length
+        system, root = file_system(path)
+        system.create_dir(f"{root}/_open", recursive=True)
+        out, open_shard = None, -1
 
         def close() -> None:
             nonlocal out
             if out is not None:
                 out.close()
-                system.move(f"{root}/{name}.{tag}", f"{root}/{name}")
                 out = None
+                system.move(f"{root}/_open/{open_shard:08d}.{tag}", f"{root}/shard-{open_shard:08d}.u16")
 
-        tag, open_shard = uuid.uuid4().hex, -1
         for b in batches:
-            slot, shard = b.column("slot").to_numpy(), b.column("shard").to_numpy()
-            for s, ids in zip(shard.tolist(), b.column("ids"), strict=True):
-                if s != open_shard:
+            for shard, ids, size in zip(b.column("shard").to_pylist(), b.column("ids"), b.column("bytes").to_pylist(), strict=True):
+                if shard != open_shard:
                     close()
-                    open_shard, name = s, f"shard-{s:08d}.u16"
-                    system.create_dir(root, recursive=True)
-                    out = system.open_output_stream(f"{root}/{name}.{tag}")
-                raw = ids.as_py()
-                out.write(raw + b"\0" * (stride - len(raw)))
-            offset = (slot % shard_slots) * stride
-            yield pa.RecordBatch.from_arrays(
-                [b.column(c) for c in ("doc_id", "piece", "start", "length", "slot", "shard")] + [pa.array(offset), b.column("ids_crc32")],
-                ["doc_id", "piece", "start", "length", "slot", "shard", "byte_offset", "ids_crc32"],
-            )
+                    open_shard, out = shard, system.open_output_stream(f"{root}/_open/{shard:08d}.{tag}")
+                out.write(codec.decompress(ids.as_buffer(), size, asbytes=True).ljust(stride, b"\0"))
+            yield b.select(["slot", "shard", "pieces"])
         close()
 
-    return ordered.mapInArrow(write, PLACES)
+    return write
 
 
 def read_slots(path: str, first: int, count: int, length: int = LENGTH, shard_slots: int = SHARD_SLOTS) -> Iterator[np.ndarray]:

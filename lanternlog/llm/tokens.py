@@ -35,7 +35,9 @@ class UnitTokenizer(dict):
 
         super().__init__()
         self.whole = Tokenizer.from_file(vocabulary_path(name))
+        # A special token's own text stands for its id; such texts go to the tokenizer whole, and units are plain text.
         self.whole.encode_special_tokens = True
+        self.special = [t.content for t in self.whole.get_added_tokens_decoder().values() if t.special]
         if self.whole.get_vocab_size() > 1 << 16:
             raise ValueError("a vocabulary of at most 65,536 ids is asked for")
         self.model, self.memory = self.whole.model, memory
@@ -68,5 +70,11 @@ class UnitTokenizer(dict):
         """ids of each text; None counts as empty."""
         get = self.__getitem__
         for text in texts:
+            if text and any(t in text for t in self.special):
+                self.whole.encode_special_tokens = False
+                whole = self.encoded(text.encode("utf-8", "replace"))
+                self.whole.encode_special_tokens = True
+                yield whole
+                continue
             # The tokenizer lower-cases; bytes.split() cuts at ASCII white space, which it drops as well.
             yield b"".join(map(get, (text or "").encode("utf-8", "replace").lower().split()))

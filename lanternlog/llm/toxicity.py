@@ -13,6 +13,7 @@ from __future__ import annotations
 import math
 import re
 from collections.abc import Iterator
+from hashlib import md5
 
 import numpy as np
 import pyarrow as pa
@@ -76,27 +77,19 @@ def fitted(sample: DataFrame, prior: float, sample_prior: float, bits: int, epoc
 
     def vectors(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
-            ids, ys, turns, at = [], [], [], []
+            ids, ys, digests, versions = [], [], [], []
             for doc_id, text, y in zip(*(b.column(i).to_pylist() for i in range(3)), strict=True):
                 found = words(text)
-                for turn in range(SWAPS + 1):
-                    if (version := swapped(found, turn) if turn else found) is not None:
-                        ids.append(doc_id)
-                        ys.append(y)
-                        turns.append(turn)
-                        at.append(features(version, bits))
-            yield pa.RecordBatch.from_arrays(
-                [pa.array(ids, pa.int64()), pa.array(ys, pa.int32()), pa.array(turns, pa.int32()), pa.array(at, pa.list_(pa.int32()))], ["doc_id", "toxic", "turn", "at"]
-            )
+                forms = [found, *(s for turn in range(1, SWAPS + 1) if (s := swapped(found, turn)) is not None)]
+                for to, x in ((ids, doc_id), (ys, y), (digests, md5((text or "").encode("utf-8", "replace")).digest()), (versions, [features(f, bits) for f in forms])):
+                    to.append(x)
+            columns = [pa.array(ids, pa.int64()), pa.array(digests, pa.binary()), pa.array(ys, pa.int32()), pa.array(versions, pa.list_(pa.list_(pa.int32())))]
+            yield pa.RecordBatch.from_arrays(columns, ["doc_id", "digest", "toxic", "versions"])
 
     def train(rows: pa.Table) -> pa.Table:
-        rows = rows.sort_by([("doc_id", "ascending"), ("turn", "ascending")])
-        data: list[tuple[int, np.ndarray, list[np.ndarray]]] = []
-        for y, turn, at in zip(*(rows.column(c).to_pylist() for c in ("toxic", "turn", "at")), strict=True):
-            if turn == 0:
-                data.append((y, np.array(at, np.int64), []))
-            else:
-                data[-1][2].append(np.array(at, np.int64))
+        # A text and its swapped versions are one row; repeated rows are learned from each.
+        rows = rows.sort_by([(c, "ascending") for c in ("doc_id", "digest", "toxic")])
+        data = [(y, np.array(at[0], np.int64), [np.array(x, np.int64) for x in at[1:]]) for y, at in zip(*(rows.column(c).to_pylist() for c in ("toxic", "versions")), strict=True)]
         model, bias, rng = Ftrl(1 << bits, 1, alpha=0.3, l1=1.0, l2=0.5), Ftrl(1, 1, alpha=0.3, l1=0.0, l2=0.0), np.random.default_rng(7)
         zero = np.zeros(1, np.int64)
         for _ in range(epochs):
@@ -116,7 +109,7 @@ def fitted(sample: DataFrame, prior: float, sample_prior: float, bits: int, epoc
         f = np.flatnonzero(w)
         return pa.table({"feature": np.append(f, -1), "w": np.append(w[f], float(bias.weights(zero)[0, 0]))})
 
-    vectored = sample.mapInArrow(vectors, "doc_id long, toxic int, turn int, at array<int>")
+    vectored = sample.mapInArrow(vectors, "doc_id long, digest binary, toxic int, versions array<array<int>>")
     # The sample is bounded by a parameter, so one task fits it at any size of the corpus.
     got = vectored.withColumn("all", F.lit(0)).groupBy("all").applyInArrow(train, "feature long, w double").toPandas()
     weights = dict(zip(got["feature"].astype(int).tolist(), got["w"].tolist(), strict=True))
@@ -129,7 +122,8 @@ def score(docs: DataFrame, labels: DataFrame, per_label: int = PER_LABEL, bits:
 
     Learned from labelled rows whose crc32(doc_id) mod 4 is not 2. A null or empty text scores
     as a text without known words. Without both labels to learn from, the score is the share of
-    label 1, or 0. Repeated rows are scored each; other columns are ignored.
+    label 1, or 0. Texts of any length are read whole, repeated rows are scored each, an empty table
+    gives an empty result; other columns are ignored.
     """
     d = docs.select(F.col("doc_id").cast("long"), F.col("text").cast("string")).withColumn("held_out", fold(F.col("doc_id"), 4) == 2)
     known = labels.where("toxic is not null and doc_id is not null").groupBy(F.col("doc_id").cast("long").alias("doc_id")).agg(F.max(F.col("toxic").cast("int")).alias("toxic"))

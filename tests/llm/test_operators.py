@@ -3,11 +3,15 @@
 import hashlib
 import itertools
 import random
+import zlib
 
 import numpy as np
 import pytest
+from tokenizers import Tokenizer
 
 from lanternlog.llm import chunk_dedup, decontaminate, html_content, jaccard_join, langid, lattice_lm, packing, pii, token_shards, toxicity
+from lanternlog.llm.common import materialize
+from lanternlog.llm.tokens import UnitTokenizer, vocabulary_path
 
 SCHEMA = "doc_id long, text string, lang string, source string, kept boolean, text_sha256 string"
 
@@ -104,6 +108,15 @@ def test_packing(docs, empty):
         assert at <= 64
     assert packing.packed_documents(empty).count() == 0
     lengths = np.array([33, 33, 33, 10, 10, 10, 31, 31, 31])
+    places = {(r["doc_id"], r["piece"]): r for r in rows if r["doc_id"] not in (None, 200)}
+    tokenizer = Tokenizer.from_file(vocabulary_path("word_bpe_49k.json"))
+    for d in docs.where("doc_id is not null and doc_id <> 200").collect():
+        ids = tokenizer.encode(d["text"] or "", add_special_tokens=False).ids + [1]
+        cuts = [ids[i : i + 64] for i in range(0, len(ids), 64)]
+        for i, part in enumerate(cuts):
+            r = places.pop((d["doc_id"], i))
+            assert (r["start"], r["length"], r["ids_crc32"]) == (64 * i, len(part), zlib.crc32(np.array(part, "<u4").tobytes()))
+    assert not places
     assert packing.lower_bound(lengths, 64) == 4 and packing.lower_bound(np.array([40, 40, 40]), 64) == 3
 
 
@@ -118,15 +131,31 @@ def test_partitions_with_gaps_exchange(spark):
     assert max(fill.values()) <= 64
 
 
-def test_shards_round_trip(docs, tmp_path):
+def test_shards_round_trip(docs, empty, tmp_path):
     n = 1000
     assert sorted(token_shards.feistel(np.arange(n), n, 9).tolist()) == list(range(n)) and token_shards.feistel(np.arange(1), 1, 9).tolist() == [0]
-    rows = token_shards.write_shards(docs, str(tmp_path), seed=5, length=16, shard_slots=8).collect()
-    assert sorted(r["slot"] for r in rows) == list(range(len(rows)))
-    blocks = list(token_shards.read_slots(str(tmp_path), 3, len(rows) - 3, 16, 8))
-    for r in rows:
-        if r["slot"] >= 3:
-            assert token_shards.crc(blocks[r["slot"] - 3][: r["length"]]) == r["ids_crc32"]
+    first = None
+    for run in ("a", "b"):
+        path = tmp_path / run
+        rows = token_shards.write_shards(docs, str(path), seed=5, length=16, shard_slots=8).collect()
+        slots = {r["slot"] for r in rows}
+        assert slots == set(range(len(slots))) and {p.name for p in path.iterdir()} == {f"shard-{i:08d}.u16" for i in range(-(-len(slots) // 8))}
+        blocks, whole = dict(enumerate(token_shards.read_slots(str(path), 0, len(slots) + 5, 16, 8))), {}
+        assert len(blocks) == len(slots) and [b.tolist() for b in token_shards.read_slots(str(path), 3, 7, 16, 8)] == [blocks[i].tolist() for i in range(3, 10)]
+        for r in rows:
+            at = (r["byte_offset"] - r["slot"] % 8 * 32) // 2
+            ids = blocks[r["slot"]][at : at + r["length"]]
+            assert token_shards.crc(ids) == r["ids_crc32"] and r["shard"] == r["slot"] // 8
+            whole.setdefault(r["doc_id"], []).append((r["start"], r["piece"], ids.tolist()))
+        tokenizer = UnitTokenizer()
+        for r in docs.collect():
+            want = np.frombuffer(next(tokenizer.ids([r["text"]])), "<u2").tolist() + [1]
+            if r["doc_id"] not in (None, 200):  # these ids repeat
+                parts = sorted(whole[r["doc_id"]])
+                assert sum((p[2] for p in parts), []) == want and [p[1] for p in parts] == list(range(len(parts)))
+        first = first or sorted(map(str, rows))
+        assert sorted(map(str, rows)) == first  # resumed or repeated runs write the same
+    assert token_shards.write_shards(empty, str(tmp_path / "none"), seed=5).count() == 0
 
 
 def test_leaks_and_their_slots(spark):
@@ -275,7 +304,7 @@ def test_pipeline_stages(spark, tmp_path):
     table = table.where("doc_id is null or doc_id >= 60 or doc_id % 3 > 0")
     for name, stage in corpus_pipeline.STAGES[1:-1]:
         before = {r[0] for r in table.select("doc_id").collect()}
-        table = corpus_pipeline.materialize(stage(spark, table, str(tmp_path)), name)
+        table = materialize(stage(spark, table, str(tmp_path)), name)
         seen[name] = before - {r[0] for r in table.select("doc_id").collect()}
     assert seen == {"exact_dedup": {100, 130}, "near_dedup": {111}, "decontaminate": {120}}
     packed = corpus_pipeline.pack(spark, table, str(tmp_path))
