@@ -23,10 +23,9 @@ sent for such pairs only. Copies of a set are one class from the start.
 
 Only connected groups are asked for, so buckets are not expanded into all pairs. Members are held
 against the bucket's pivot first; buckets that are one group then are done. In the rest, rows
-outside the largest group are held against their bucket in blocks of ``BLOCK`` rows: first each
-set in its largest bucket only, then in all. A block gives only a lightest spanning forest of the
-pairs that sketches let pass, so its rows are linear in its members; once those are
-verified, all pairs still between different groups follow. Larger buckets take ``PIVOTS`` rows a
+outside the largest group are held against their bucket in blocks of ``BLOCK`` rows. A block first
+gives only a lightest spanning forest of the pairs that sketches let pass, so its rows are
+linear in its members; once those are verified, all pairs still between different groups follow. Larger buckets take ``PIVOTS`` rows a
 round; a row that has met its bucket leaves it.
 """
 
@@ -52,6 +51,8 @@ PIVOTS = 4096
 BLOCK = 4096
 #: Bits of the smallest sketch; larger sets have as many bits as shingles at least.
 SKETCH_BITS = 512
+#: Links that one task brings to stars.
+PART_LINKS = 500_000
 #: Candidate pairs that a task holds to report each once.
 HELD = 500_000
 #: Sets in a list from which on it is left by those that can do without.
@@ -396,13 +397,39 @@ def verified(pairs: DataFrame, docs: DataFrame, k: int, percent: int) -> DataFra
     return materialize(sided.select("a", "b", "x", "y").mapInArrow(run, "a long, b long"), "links")
 
 
+def roots(a: np.ndarray, b: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """(nodes of the links a-b, the smallest node that each reaches)."""
+    ids, ends = np.unique(np.concatenate([a, b]), return_inverse=True)
+    x, y, label = ends[: len(a)], ends[len(a) :], np.arange(len(ids))
+    while True:
+        u, v = label[x], label[y]
+        apart = u != v
+        if not apart.any():
+            return ids, ids[label]
+        x, y, u, v = x[apart], y[apart], u[apart], v[apart]
+        np.minimum.at(label, np.maximum(u, v), np.minimum(u, v))
+        while (label[label] != label).any():
+            label = label[label]
+
+
 def components(links: DataFrame) -> DataFrame:
     """(node, label) for the ends of ``links`` (a, b): the smallest node that links reach.
 
-    Each round takes the smallest label of the neighbours and then the label's own label, so
+    Parts of at most about ``PART_LINKS`` links are brought to stars first, each by itself; few links
+    are one part, and then that is all. What several parts leave is joined by rounds that take
+    the smallest label of the neighbours and then the label's own label, so
     chains shrink by halves. Rounds end when no label changes.
     """
-    both = materialize(links.select("a", "b").union(links.select("b", "a")).distinct(), "edges")
+    def stars(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        rows = [np.stack([b.column("a").to_numpy(), b.column("b").to_numpy()]) for b in batches]
+        a, b = np.concatenate([np.empty((2, 0), np.int64), *rows], axis=1)
+        yield pa.RecordBatch.from_arrays([pa.array(x) for x in roots(a, b)], ["a", "b"])
+
+    parts = max(1, -(-links.count() // PART_LINKS))
+    links = materialize(links.select("a", "b").coalesce(parts).mapInArrow(stars, "a long, b long"), "stars")
+    if parts == 1:
+        return links.select(F.col("a").alias("node"), F.col("b").alias("label"))
+    both = materialize(links.union(links.select("b", "a")).where("a != b").distinct(), "edges")
     labels = materialize(both.groupBy("a").agg(F.least(F.min("b"), F.col("a")).alias("label")).withColumnRenamed("a", "node"), "labels")
     while True:
         near = both.join(labels, both["b"] == labels["node"]).groupBy("a").agg(F.min("label").alias("near"))
@@ -442,12 +469,6 @@ def groups_of(reps: DataFrame, docs: DataFrame, k: int, percent: int, steps: int
             labels = components(links)
 
     ahead = F.col("label") != F.col("main")
-    # Each set in its largest bucket only: this joins most of a large group.
-    largest = open_.groupBy("rep").agg(F.max(F.struct("n", "sig")).alias("at")).select("rep", "at.sig")
-    first = unsettled(open_.join(largest, ["sig", "rep"], "left_semi"), labels)
-    if not first.isEmpty():
-        joined(first.withColumn("ahead", ahead), True)
-        open_ = unsettled(open_, labels)
     while True:
         size = open_.agg(F.count("*"), F.sum(F.when(ahead, F.col("n")))).first()
         if not size[0]:

@@ -282,6 +282,19 @@ def test_sketches_fold_and_never_overstate():
         assert 0.6 * true < apart <= true
 
 
+@pytest.mark.parametrize("part", [500_000, 7])
+def test_components_in_one_part_or_many(spark, monkeypatch, part):
+    monkeypatch.setattr(jaccard_join, "PART_LINKS", part)
+    rng = random.Random(5)
+    links = [(i, i + 1) for i in range(0, 90) if i % 30 != 29] + [tuple(rng.sample(range(200, 260), 2)) for _ in range(25)] + [(7, 7)]
+    label = {x: x for e in links for x in e}
+    for _ in label:
+        for a, b in links:
+            label[a] = label[b] = min(label[a], label[b])
+    df = spark.createDataFrame([e if rng.random() < 0.5 else e[::-1] for e in links], "a long, b long").repartition(9)
+    assert {r["node"]: r["label"] for r in jaccard_join.components(df).collect()} == label
+
+
 def test_forest_is_lightest():
     rng = random.Random(3)
     for _ in range(200):
