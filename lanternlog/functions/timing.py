@@ -47,22 +47,22 @@ ODD_ISO = (
 
 def odd_iso_micros(text: Column) -> Column:
     """Micros of the ISO forms of ``ODD_ISO``, null for other texts and days or times that don't exist."""
-    def part(*groups: int) -> Column:
-        return F.concat(*[F.regexp_extract(text, ODD_ISO, g) for g in groups])  # one of them at most isn't empty
-
-    def number(c: Column, default: int) -> Column:
-        return F.coalesce(c.try_cast("int"), F.lit(default))
-
-    of_week, week, day = part(7, 10), number(part(8, 11), 0), number(part(9, 12), 1)
-    monday = F.date_add(F.trunc(F.concat(of_week, F.lit("-01-04")).try_cast("date"), "week"), (week - 1) * 7)
-    # A week belongs to the year of its Thursday.
-    exists = day.between(1, 7) & (F.year(F.date_add(monday, 3)) == of_week.try_cast("int"))
-    date = F.when(of_week != "", F.when(exists, F.date_add(monday, day - 1))).otherwise(F.concat_ws("-", part(1, 4), part(2, 5), part(3, 6)).try_cast("date"))
-    hour, minute, second, fraction, zone = part(13), part(14, 16), part(15, 17), part(18), F.regexp_replace(part(19), ":", "")
-    clock = F.concat_ws(":", *[F.lpad(x, 2, "0") for x in (hour, minute, second)])
-    offset = F.when(F.length(zone) < 3, F.lit("+00:00")).otherwise(F.concat(F.substring(zone, 1, 3), F.lit(":"), F.rpad(F.substring(zone, 4, 2), 2, "0")))
-    stamp = F.concat(date.cast("string"), F.lit("T"), clock, F.lit("."), F.rpad(F.substring(fraction, 1, 6), 6, "0"), offset)
-    return F.when(text.rlike(ODD_ISO), F.unix_micros(stamp.try_cast("timestamp")))
+    # One look at the text gives all parts: year, month, day, year of the week, week, its day, hour, minute, second, fraction, zone.
+    found = F.split(F.regexp_replace(text, ODD_ISO, "$1$4|$2$5|$3$6|$7$10|$8$11|$9$12|$13|$14$16|$15$17|$18|$19"), r"\|")
+
+    def micros(parts: Column) -> Column:
+        part = lambda i: F.get(parts, F.lit(i))
+        of_week, week, day = part(3), F.coalesce(part(4).try_cast("int"), F.lit(0)), F.coalesce(part(5).try_cast("int"), F.lit(1))
+        monday = F.date_add(F.trunc(F.concat(of_week, F.lit("-01-04")).try_cast("date"), "week"), (week - 1) * 7)
+        # A week belongs to the year of its Thursday.
+        exists = day.between(1, 7) & (F.year(F.date_add(monday, 3)) == of_week.try_cast("int"))
+        date = F.when(of_week != "", F.when(exists, F.date_add(monday, day - 1))).otherwise(F.concat_ws("-", part(0), part(1), part(2)).try_cast("date"))
+        clock, zone = F.concat_ws(":", *[F.lpad(part(i), 2, "0") for i in (6, 7, 8)]), F.replace(part(10), F.lit(":"), F.lit(""))
+        offset = F.when(F.length(zone) < 3, F.lit("+00:00")).otherwise(F.concat(F.substring(zone, 1, 3), F.lit(":"), F.rpad(F.substring(zone, 4, 2), 2, "0")))
+        stamp = F.concat(date.cast("string"), F.lit("T"), clock, F.lit("."), F.rpad(F.substring(part(9), 1, 6), 6, "0"), offset)
+        return F.unix_micros(stamp.try_cast("timestamp"))
+
+    return F.when(text.rlike(ODD_ISO), F.get(F.transform(F.array(found), micros), F.lit(0)))
 
 
 def parse_timestamp(value: Column, dtype: str, odd_forms: bool = False) -> Column:

@@ -84,16 +84,22 @@ def split(shaped: DataFrame) -> tuple[DataFrame, DataFrame]:
 
 def normalize_jsonl(lines: DataFrame, spec: SourceSpec) -> tuple[DataFrame, DataFrame]:
     """(good rows, quarantine) of ``read_jsonl`` lines; the schema is never inferred."""
-    lines = lines.select(RAW, POSITION, F.from_json(F.col(RAW), "map<string,string>").alias("r"), F.try_parse_json(F.col(RAW)).alias("v"))
+    # Each line is parsed once: what ``inline`` gives are columns, which no later expression repeats.
+    record, variant = F.from_json(F.col(RAW), "map<string,string>"), F.try_parse_json(F.col(RAW))
+    lines = lines.select(RAW, POSITION, F.inline(F.array(F.struct(record.alias("r"), variant.alias("v")))))
     # Of keys that repeat the last counts. Such a line has no variant; its values then go by their text.
     entries = F.map_entries("r")
     later = lambda e, i: F.exists(F.slice(entries, i + 2, F.size(entries)), lambda x: x["key"] == e["key"])
     last = F.map_from_entries(F.filter(entries, lambda e, i: ~later(e, i)))
     repeated = F.col("v").isNull() & F.col("r").isNotNull()
-    lines = lines.withColumn("r", F.when(repeated, last).otherwise(F.col("r")))
-    scalar = lambda t: F.when(t.rlike(SCALAR), F.try_parse_json(t)).otherwise(F.coalesce(F.when(t.rlike(r"^\s*[\[{]"), F.try_parse_json(t)), F.to_variant_object(F.array(t)).cast("array<variant>")[0]))
-    variants = F.coalesce(F.col("v").try_cast("map<string,variant>"), F.transform_values("r", lambda k, t: scalar(t)), F.expr("cast(map() as map<string,variant>)"))
-    lines = lines.withColumn("m", variants)
+
+    def from_text(t: Column) -> Column:
+        return F.coalesce(F.when(t.rlike(SCALAR) | t.rlike(r"^\s*[\[{]"), F.try_parse_json(t)), F.to_variant_object(F.array(t)).cast("array<variant>")[0])
+
+    by_text = F.when(repeated, F.transform_values(last, lambda k, t: from_text(t)))
+    variants = F.coalesce(F.col("v").try_cast("map<string,variant>"), by_text, F.expr("cast(map() as map<string,variant>)"))
+    fields = F.struct(F.when(repeated, last).otherwise(F.col("r")).alias("r"), F.col("v").isNotNull().alias("parsed"), variants.alias("m"))
+    lines = lines.select(RAW, POSITION, F.inline(F.array(fields)))
 
     def raw(name: str) -> Column:
         return F.try_element_at(F.col("r"), F.lit(spec.column(name)))
@@ -103,7 +109,8 @@ def normalize_jsonl(lines: DataFrame, spec: SourceSpec) -> tuple[DataFrame, Data
 
     number = F.coalesce(kind("timestamp").rlike("BIGINT|DECIMAL|DOUBLE"), F.lit(False))
     text = F.when(~number, raw("timestamp"))
-    stamp = F.when(number, parse_timestamp(raw("timestamp").try_cast("double"), "double")).otherwise(parse_timestamp(text, "string", spec.odd_timestamps))
+    when = F.when(number, parse_timestamp(raw("timestamp").try_cast("double"), "double")).otherwise(parse_timestamp(text, "string", spec.odd_timestamps))
+    lines, stamp = lines.select(RAW, POSITION, "r", "m", "parsed", F.inline(F.array(F.struct(when.alias("_stamp"))))), F.col("_stamp")
     consumed = [spec.column(f) for f in FIELDS]
     left = F.map_filter("m", lambda k, v: ~k.isin(*consumed))
     position = F.col(POSITION).cast("string")
@@ -118,7 +125,7 @@ def normalize_jsonl(lines: DataFrame, spec: SourceSpec) -> tuple[DataFrame, Data
         position.alias("_position"),
         reason_of(
             [
-                (F.col("r").isNull() & F.col("v").isNull(), "invalid_json"),
+                (F.col("r").isNull() & ~F.col("parsed"), "invalid_json"),
                 (~F.col(RAW).startswith("{"), "not_object"),
                 (stamp.isNull(), "bad_timestamp"),
                 (raw("level").isNull(), "missing_level"),
