@@ -1,4 +1,10 @@
-"""Corpus cleaning in five stages, each over all documents that the one before kept."""
+"""Corpus cleaning in five stages, each over all documents that the one before kept.
+
+Null and empty texts count as one empty text: never toxic, near to nothing or leaking, and one of
+them stays. Rows with a null doc_id pass every filtering stage. Rows of one doc_id with other texts
+are documents of their own, but for toxicity and leaks, which drop all rows of the id. Texts are
+read whole, other columns pass through the filtering stages, an empty table gives an empty result.
+"""
 
 from __future__ import annotations
 
