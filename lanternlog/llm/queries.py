@@ -51,7 +51,7 @@ def op10_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 QUERIES = {f.__name__: f for f in (op1_decontaminate, op2_best_fit_packing, op3_lattice_lm, op4_pii, op5_html_content, op6_chunk_dedup, op7_langid, op8_toxicity, op9_token_shards, op10_jaccard_join)}
 
-# SQL for what SQL expresses; tests/llm has brute force for the joins, packing and shards, hand examples for op1, op4, op5, op7 and op8.
+# SQL for what SQL expresses; tests/llm/test_brute_force.py and test_operators.py hold the others against plain Python, round trips, held-out accuracy or planted cases.
 ORACLES = {
     "op6_chunk_dedup": """
         WITH d AS (SELECT doc_id, sha256(coalesce(text, '')) AS text_sha256 FROM documents)
