@@ -63,13 +63,13 @@ def file_system(path: str):
 
 
 def sequences(docs: DataFrame, length: int, vocabulary: str) -> DataFrame:
-    """(task, at, ids: zstd of little-endian uint16, bytes: their size, pieces: what lies in it), one row per sequence."""
+    """(task, at, ids: little-endian uint16, pieces: what lies in it), one row per sequence."""
     from pyspark import TaskContext
 
     end = np.array([END_ID], dtype="<u2").tobytes()
 
     def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        tokenizer, codec, task, at = UnitTokenizer(vocabulary), pa.Codec("zstd"), TaskContext.get().partitionId(), 0
+        tokenizer, task, at = UnitTokenizer(vocabulary), TaskContext.get().partitionId(), 0
         held, pieces, full, lists = bytearray(), [], [], []
 
         def rows() -> pa.RecordBatch:
@@ -78,11 +78,9 @@ def sequences(docs: DataFrame, length: int, vocabulary: str) -> DataFrame:
             types = (pa.int64(), pa.int32(), *[pa.int64()] * 4)
             struct = pa.StructArray.from_arrays([pa.array(c, t) for c, t in zip(flat, types, strict=True)], ["doc_id", "piece", "start", "length", "offset", "ids_crc32"])
             offsets = pa.array(np.cumsum([0, *map(len, lists)]), pa.int32())
-            ids = pa.array([codec.compress(x, asbytes=True) for x in full], pa.binary())
-            size = pa.array([len(x) for x in full], pa.int32())
-            places = [pa.array(np.full(len(full), task, np.int64)), pa.array(np.arange(at, at + len(full)))]
+            places = [pa.array(np.full(len(full), task, np.int64)), pa.array(np.arange(at, at + len(full))), pa.array(full, pa.binary())]
             at, full, lists = at + len(full), [], []
-            return pa.RecordBatch.from_arrays([*places, ids, size, pa.ListArray.from_arrays(offsets, struct)], ["task", "at", "ids", "bytes", "pieces"])
+            return pa.RecordBatch.from_arrays([*places, pa.ListArray.from_arrays(offsets, struct)], ["task", "at", "ids", "pieces"])
 
         for batch in batches:
             for doc_id, ids in zip(batch.column(0).to_pylist(), tokenizer.ids(batch.column(1).to_pylist()), strict=True):
@@ -104,12 +102,12 @@ def sequences(docs: DataFrame, length: int, vocabulary: str) -> DataFrame:
         if full:
             yield rows()
 
-    schema = f"task long, at long, ids binary, bytes int, pieces array<{PIECE}>"
+    schema = f"task long, at long, ids binary, pieces array<{PIECE}>"
     return docs.select(F.col("doc_id").cast("long"), F.col("text").cast("string")).mapInArrow(cut, schema)
 
 
 def with_slots(stored: DataFrame, seed: int) -> tuple[DataFrame, int]:
-    """``stored`` (task, at, ...) with the global ``slot`` of each sequence, and their number."""
+    """(slot, ids: zstd, bytes: their size, pieces) of ``stored`` with the global slot of each sequence, and their number."""
     tasks = materialize(stored.groupBy("task").agg(F.count("*").alias("n")), "tasks")  # one row per input split
     n = tasks.agg(F.sum("n")).first()[0] or 0
     first = tasks.select("task", (F.sum("n").over(Window.orderBy("task")) - F.col("n")).alias("first"))
@@ -118,8 +116,13 @@ def with_slots(stored: DataFrame, seed: int) -> tuple[DataFrame, int]:
     def slot(index: pd.Series) -> pd.Series:
         return pd.Series(feistel(index.to_numpy(), n, seed) if len(index) else [], dtype="int64")
 
-    # Only the index goes to the helper; ids stay where they are.
-    return stored.join(checked_broadcast(materialize(first, "first")), "task").withColumn("slot", slot(F.col("first") + F.col("at"))).drop("task", "at", "first"), n
+    @F.pandas_udf("binary")
+    def packed(ids: pd.Series) -> pd.Series:
+        codec = pa.Codec("zstd", compression_level=6)
+        return ids.map(lambda x: codec.compress(x, asbytes=True))
+
+    placed = stored.join(checked_broadcast(materialize(first, "first")), "task")
+    return placed.select(slot(F.col("first") + F.col("at")).alias("slot"), packed("ids").alias("ids"), F.octet_length("ids").alias("bytes"), "pieces"), n
 
 
 def write_shards(
@@ -137,7 +140,7 @@ def write_shards(
     """
     spark = docs.sparkSession
     with scratch(spark) as keep:
-        placed, n = with_slots(materialize(sequences(docs, length, vocabulary), "sequences"), seed)
+        placed, n = with_slots(materialize(sequences(docs, length, vocabulary), "sequences", "zstd"), seed)
         shards = max(1, -(-n // shard_slots))
         parts, shard = min(shards, 4096), F.floor(F.col("slot") / shard_slots)
         # Ranges of slots: a shard lies within one task, neighbours lie together.
