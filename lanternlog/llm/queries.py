@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from . import chunk_dedup, decontaminate, html_content, jaccard_join, langid, lattice_lm, packing, pii, token_shards, toxicity
+from . import chunk_dedup, decontaminate, html_content, jaccard_join, langid, lattice_lm, packing, periodic_runs, pii, token_alignment, token_shards, toxicity, url_filter
 from .common import table
 
 
@@ -49,7 +49,19 @@ def op10_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
     return jaccard_join.similarity_groups(table(spark, sf_dir, "documents"), k=3, percent=90, steps=3)
 
 
-QUERIES = {f.__name__: f for f in (op1_decontaminate, op2_best_fit_packing, op3_lattice_lm, op4_pii, op5_html_content, op6_chunk_dedup, op7_langid, op8_toxicity, op9_token_shards, op10_jaccard_join)}
+def op11_token_alignment(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return token_alignment.align(table(spark, sf_dir, "documents"))
+
+
+def op12_url_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return url_filter.judge(table(spark, sf_dir, "pages"))
+
+
+def op13_periodic_runs(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return periodic_runs.find_runs(table(spark, sf_dir, "documents"), plant=True)
+
+
+QUERIES = {f.__name__: f for f in (op1_decontaminate, op2_best_fit_packing, op3_lattice_lm, op4_pii, op5_html_content, op6_chunk_dedup, op7_langid, op8_toxicity, op9_token_shards, op10_jaccard_join, op11_token_alignment, op12_url_filter, op13_periodic_runs)}
 
 # SQL for what SQL expresses; tests/llm/test_brute_force.py and test_operators.py hold the others against plain Python, round trips, held-out accuracy or planted cases.
 ORACLES = {
