@@ -3,9 +3,9 @@
 A text becomes a list of typed tokens: numbers, units and names turn into ``<n>``, ``<u>`` and
 ``<p>`` (units: after a number; names: capitalised words inside a sentence), other words are lower-cased and lose their
 punctuation. Windows of ``window`` template tokens of the benchmark items are hash-joined with
-windows of the documents; windows that are nearly all slots go by their values. The documents'
-windows start every ``stride`` tokens, chosen from the shortest item so that no whole item is missed. Each hit fixes an
-alignment; there the item and the document are compared token by token, at every window, and the
+all windows of the documents; windows that are nearly all slots go by their values. The rarer half of
+an item's windows name the documents it is held against; all its windows then give the
+alignments with each of them. There the item and the document are compared token by token, at every window, and the
 values behind equal slots must form a consistent renaming. That is asked of each alignment, of each
 run of neighbouring alignments (words put in or left out shift the rest) and of all of them
 together, so a second copy with other values elsewhere in the document hides nothing.
@@ -55,31 +55,36 @@ def slot_marks(canon: Column) -> Column:
     return F.array_join(F.transform(canon, lambda t: F.when(t.isin(NUMBER, UNIT, NAME), "s").otherwise("w")), "")
 
 
+def plain_words(marks: Column, start: Column, window: int) -> Column:
+    return F.length(F.replace(F.substring(marks, start, F.lit(window)), F.lit("s"), F.lit("")))
+
+
 def place_hash(canon: Column, raw: Column, marks: Column, start: Column, window: int, literals: int) -> Column:
     """Hash of the window at ``start``: of its template if that has enough plain words, else of its values (``3 + 4 * 5``)."""
-    plain = F.length(F.replace(F.substring(marks, start, F.lit(window)), F.lit("s"), F.lit("")))
-    return F.when(plain >= literals, F.xxhash64(F.slice(canon, start, window))).otherwise(F.xxhash64(F.lit("values"), F.slice(raw, start, window)))
+    return F.when(plain_words(marks, start, window) >= literals, F.xxhash64(F.slice(canon, start, window))).otherwise(F.xxhash64(F.lit("values"), F.slice(raw, start, window)))
 
 
-def item_windows(items: DataFrame, window: int, literals: int, stride: int) -> DataFrame:
-    """(hash, item_id, item_pos) of the windows of items of ``window`` tokens or more that are probed for.
+def item_windows(items: DataFrame, window: int, literals: int) -> DataFrame:
+    """(hash, item_id, item_pos, naming) of all windows of items of ``window`` tokens or more.
 
-    A document's probes meet the windows of one residue modulo ``stride``. Of each residue the half
-    that fewest other items have is kept, and one more: whoever holds half of them holds one of these. Wording that
-    many items share thus finds no partners. An item's first word may look like a name inside a
-    document, so windows that begin with it are there in both readings.
+    An item's first word may look like a name inside a document, so windows that begin with it are
+    there in both readings. ``naming`` windows tell which documents are held against an item: of the windows
+    with enough plain words those that fewest other items have, half of them and one more, and as
+    many of the others. A document that holds half of either kind holds one of these; wording that
+    many items share names no pair as long as an item has more of its own.
     """
     starts = F.sequence(F.lit(1), F.size("canon") - window + 1)
     at = items.where(F.size("canon") >= window).select("item_id", "canon", "raw", F.col("capital"), F.explode(starts).alias("item_pos"))
     as_name = F.concat(F.array(F.lit(NAME)), F.slice("canon", 2, F.size("canon")))
     forms = F.when((F.col("item_pos") == 1) & F.col("capital"), F.array("canon", as_name)).otherwise(F.array("canon"))
-    at = at.select("item_id", "item_pos", "raw", F.explode(forms).alias("canon"))
-    at = at.select("item_id", "item_pos", place_hash(F.col("canon"), F.col("raw"), slot_marks(F.col("canon")), F.col("item_pos"), window, literals).alias("hash"))
+    at = at.select("item_id", "item_pos", "raw", F.explode(forms).alias("canon")).withColumn("marks", slot_marks(F.col("canon")))
+    worded = plain_words(F.col("marks"), F.col("item_pos"), window) >= literals
+    at = at.select("item_id", "item_pos", worded.alias("worded"), place_hash(F.col("canon"), F.col("raw"), F.col("marks"), F.col("item_pos"), window, literals).alias("hash"))
     common = at.groupBy("hash").agg(F.count_distinct("item_id").alias("n_items"))
-    per_place = at.join(common, "hash").groupBy("item_id", "item_pos").agg(F.collect_set("hash").alias("hashes"), F.min("n_items").alias("n_items"))
-    residue = Window.partitionBy("item_id", F.col("item_pos") % stride)
-    ranked = per_place.withColumn("rank", F.row_number().over(residue.orderBy("n_items", "item_pos"))).withColumn("n", F.count("*").over(residue))
-    return ranked.where(F.col("rank") <= F.floor(F.col("n") / 2) + 1).select(F.explode("hashes").alias("hash"), "item_id", "item_pos")
+    per_place = at.join(common, "hash").groupBy("item_id", "item_pos").agg(F.collect_set("hash").alias("hashes"), F.min("n_items").alias("n_items"), F.max("worded").alias("worded"))
+    kind = Window.partitionBy("item_id", "worded")
+    ranked = per_place.withColumn("rank", F.row_number().over(kind.orderBy("n_items", "item_pos"))).withColumn("n", F.count("*").over(kind))
+    return ranked.select(F.explode("hashes").alias("hash"), "item_id", "item_pos", (F.col("rank") <= F.floor(F.col("n") / 2) + 1).alias("naming"))
 
 
 def find_leaks(
@@ -109,10 +114,8 @@ def leaks(docs: DataFrame, items: DataFrame, window: int, literals: int, coverag
     items = with_tokens(items).where(F.size("canon") >= SHORTEST).select("item_id", "raw", "canon", capital.alias("capital"))
     items = materialize(items, "items")
     lengths = {r[0] for r in items.where(F.size("canon") < window).select(F.size("canon")).distinct().collect()}  # fewer than ``window``
-    shortest = items.where(F.size("canon") >= window).agg(F.min(F.size("canon"))).first()[0] or window
-    stride = max(1, min(window, shortest - window + 1))
-    whole = items.where(F.size("canon") < window).select(F.xxhash64(F.lit("whole"), "raw").alias("hash"), "item_id", F.lit(1).alias("item_pos"))
-    index = materialize(item_windows(items, window, literals, stride).unionByName(whole), "windows")
+    whole = items.where(F.size("canon") < window).select(F.xxhash64(F.lit("whole"), "raw").alias("hash"), "item_id", F.lit(1).alias("item_pos"), F.lit(True).alias("naming"))
+    index = materialize(item_windows(items, window, literals).unionByName(whole), "windows")
 
     docs = docs.select("doc_id", "text").where("doc_id is not null")
 
@@ -120,22 +123,24 @@ def leaks(docs: DataFrame, items: DataFrame, window: int, literals: int, coverag
         canon, raw = tokens["canon"], tokens["raw"]
         empty = F.expr("cast(array() as array<struct<doc_pos:int,hash:bigint>>)")
 
-        def probes(size: int, step: int, hashed) -> Column:
-            starts = F.sequence(F.lit(1), F.size(canon) - size + 1, F.lit(step))
+        def probes(size: int, hashed) -> Column:
+            starts = F.sequence(F.lit(1), F.size(canon) - size + 1)
             return F.when(F.size(canon) >= size, F.transform(starts, lambda p: F.struct(p.alias("doc_pos"), hashed(p).alias("hash")))).otherwise(empty)
 
-        found = [let(slot_marks(canon), lambda marks: probes(window, stride, lambda p: place_hash(canon, raw, marks, p, window, literals)))]
-        found += [probes(size, 1, lambda p, size=size: F.xxhash64(F.lit("whole"), F.slice(raw, p, size))) for size in sorted(lengths)]
+        found = [let(slot_marks(canon), lambda marks: probes(window, lambda p: place_hash(canon, raw, marks, p, window, literals)))]
+        found += [probes(size, lambda p, size=size: F.xxhash64(F.lit("whole"), F.slice(raw, p, size))) for size in sorted(lengths)]
         return F.concat(*found)
 
-    tokens = F.struct(canon_tokens(whole_text()).alias("canon"), raw_tokens(whole_text()).alias("raw"))
-    probes = docs.select("doc_id", F.explode(let(tokens, places)).alias("w")).select("doc_id", "w.*")
-    # One row per alignment, however many windows agree on it.
-    hits = (
-        probes.join(checked_broadcast(index), "hash")
-        .select("doc_id", "item_id", (F.col("doc_pos") - F.col("item_pos")).alias("shift"))
-        .distinct()
-    )
+    def windows(some: DataFrame) -> DataFrame:
+        tokens = F.struct(canon_tokens(whole_text()).alias("canon"), raw_tokens(whole_text()).alias("raw"))
+        return some.select("doc_id", F.explode(let(tokens, places)).alias("w")).select("doc_id", "w.*")
+
+    naming = materialize(index.where("naming").select("hash", "item_id").distinct(), "naming")
+    named = materialize(windows(docs).join(checked_broadcast(naming), "hash").select("doc_id", "item_id").distinct(), "named")
+    # Of a named pair every alignment is wanted, by all of the item's windows; one row per alignment, however many windows agree on it.
+    again = windows(docs.join(checked_broadcast(materialize(named.select("doc_id").distinct(), "named-docs")), "doc_id"))
+    sought = named.join(checked_broadcast(index), "item_id").select("doc_id", "item_id", "hash", "item_pos")
+    hits = again.join(sought, ["doc_id", "hash"]).select("doc_id", "item_id", (F.col("doc_pos") - F.col("item_pos")).alias("shift")).distinct()
     hits = materialize(hits, "hits")
     lens = checked_broadcast(materialize(items.select("item_id", F.size("canon").alias("len")), "lengths"))
     per_doc = materialize(hits.join(lens, "item_id").groupBy("doc_id").agg(F.collect_list(F.struct("item_id", "shift", "len")).alias("hits")), "aligned")
