@@ -13,6 +13,9 @@ together, so a second copy with other values elsewhere in the document hides not
 
 from __future__ import annotations
 
+from functools import reduce
+from itertools import combinations
+
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -33,10 +36,11 @@ SHORTEST = 3
 
 def canon_tokens(text: Column) -> Column:
     """Typed tokens: letter runs in lower case, numbers (with inner separators), units and names as marks."""
-    t = F.translate(text, NUMBER + UNIT + NAME, "   ")
+    held = [F.contains(text, F.lit(m)) for m in (NUMBER, UNIT, NAME)]
+    t = F.when(held[0] | held[1] | held[2], F.translate(text, NUMBER + UNIT + NAME, "   ")).otherwise(text)
     t = F.regexp_replace(t, r"[0-9]+(?:[.,:/][0-9]+)*", f" {NUMBER} ")
     # A name: a capital and small letters after a word or comma, so inside a sentence.
-    t = F.regexp_replace(t, rf"(?=\p{{Lu}})(?<=[\p{{Ll}}{NUMBER},;][ ])\p{{Lu}}\p{{Ll}}[\p{{L}}\p{{M}}]*", NAME)
+    t = F.regexp_replace(t, rf"[ ]\p{{Lu}}(?<=[\p{{Ll}}{NUMBER},;][ ]\p{{Lu}})\p{{Ll}}[\p{{L}}\p{{M}}]*", " " + NAME)
     t = F.regexp_replace(F.lower(t), rf"{NUMBER}[^\p{{L}}\p{{M}}{NUMBER}{NAME}]*(?:{UNITS})(?![\p{{L}}\p{{M}}])", f"{NUMBER} {UNIT}")
     return F.array_remove(F.split(t, rf"[^\p{{L}}\p{{M}}{NUMBER}{UNIT}{NAME}]+"), "")
 
@@ -50,18 +54,27 @@ def with_tokens(df: DataFrame) -> DataFrame:
     return df.withColumn("canon", canon_tokens(whole_text())).withColumn("raw", raw_tokens(whole_text()))
 
 
-def slot_marks(canon: Column) -> Column:
-    """One character per token: ``s`` for a slot, ``w`` for a plain word."""
-    return F.array_join(F.transform(canon, lambda t: F.when(t.isin(NUMBER, UNIT, NAME), "s").otherwise("w")), "")
+def is_slot(token: Column) -> Column:
+    return token.isin(NUMBER, UNIT, NAME)
+
+
+def template_hashes(canon: Column, window: int) -> Column:
+    """Hash of the template of each window of ``canon``, in order; each token is hashed once."""
+    starts = F.sequence(F.lit(0), F.size(canon) - window)
+    return let(F.transform(canon, lambda t: F.xxhash64(t)), lambda h: F.transform(starts, lambda p: F.xxhash64(*[F.get(h, p + i) for i in range(window)])))
 
 
-def plain_words(marks: Column, start: Column, window: int) -> Column:
-    return F.length(F.replace(F.substring(marks, start, F.lit(window)), F.lit("s"), F.lit("")))
+def values_hash(raw: Column, start: Column, window: int) -> Column:
+    return F.xxhash64(F.lit("values"), F.slice(raw, start, window))
 
 
-def place_hash(canon: Column, raw: Column, marks: Column, start: Column, window: int, literals: int) -> Column:
-    """Hash of the window at ``start``: of its template if that has enough plain words, else of its values (``3 + 4 * 5``)."""
-    return F.when(plain_words(marks, start, window) >= literals, F.xxhash64(F.slice(canon, start, window))).otherwise(F.xxhash64(F.lit("values"), F.slice(raw, start, window)))
+def wordless(canon: Column, window: int, literals: int) -> Column:
+    """Starts of the windows with fewer than ``literals`` plain words (``3 + 4 * 5``); few texts have any, which one look at their slots tells."""
+    slots, least = F.transform(canon, lambda t: is_slot(t).cast("int")), window - literals + 1
+    forms = "|".join("".join("1" if i in at else "." for i in range(window)) for at in combinations(range(window), least))
+    starts = F.sequence(F.lit(1), F.size(canon) - window + 1)
+    some = let(slots, lambda s: F.filter(starts, lambda p: reduce(lambda a, b: a + b, [F.get(s, p + i) for i in range(-1, window - 1)]) >= least))
+    return F.when(F.array_join(slots, "").rlike(forms), some).otherwise(F.expr("cast(array() as array<int>)"))
 
 
 def item_windows(items: DataFrame, window: int, literals: int) -> DataFrame:
@@ -77,9 +90,10 @@ def item_windows(items: DataFrame, window: int, literals: int) -> DataFrame:
     at = items.where(F.size("canon") >= window).select("item_id", "canon", "raw", F.col("capital"), F.explode(starts).alias("item_pos"))
     as_name = F.concat(F.array(F.lit(NAME)), F.slice("canon", 2, F.size("canon")))
     forms = F.when((F.col("item_pos") == 1) & F.col("capital"), F.array("canon", as_name)).otherwise(F.array("canon"))
-    at = at.select("item_id", "item_pos", "raw", F.explode(forms).alias("canon")).withColumn("marks", slot_marks(F.col("canon")))
-    worded = plain_words(F.col("marks"), F.col("item_pos"), window) >= literals
-    at = at.select("item_id", "item_pos", worded.alias("worded"), place_hash(F.col("canon"), F.col("raw"), F.col("marks"), F.col("item_pos"), window, literals).alias("hash"))
+    at = at.select("item_id", "item_pos", "raw", F.explode(forms).alias("canon"))
+    worded = F.size(F.filter(F.slice("canon", F.col("item_pos"), window), lambda t: ~is_slot(t))) >= literals
+    key = F.when(worded, F.get(template_hashes(F.slice("canon", F.col("item_pos"), window), window), F.lit(0))).otherwise(values_hash(F.col("raw"), F.col("item_pos"), window))
+    at = at.select("item_id", "item_pos", worded.alias("worded"), key.alias("hash"))
     common = at.groupBy("hash").agg(F.count_distinct("item_id").alias("n_items"))
     per_place = at.join(common, "hash").groupBy("item_id", "item_pos").agg(F.collect_set("hash").alias("hashes"), F.min("n_items").alias("n_items"), F.max("worded").alias("worded"))
     kind = Window.partitionBy("item_id", "worded")
@@ -121,14 +135,18 @@ def leaks(docs: DataFrame, items: DataFrame, window: int, literals: int, coverag
 
     def places(tokens: Column) -> Column:
         canon, raw = tokens["canon"], tokens["raw"]
-        empty = F.expr("cast(array() as array<struct<doc_pos:int,hash:bigint>>)")
-
-        def probes(size: int, hashed) -> Column:
-            starts = F.sequence(F.lit(1), F.size(canon) - size + 1)
-            return F.when(F.size(canon) >= size, F.transform(starts, lambda p: F.struct(p.alias("doc_pos"), hashed(p).alias("hash")))).otherwise(empty)
-
-        found = [let(slot_marks(canon), lambda marks: probes(window, lambda p: place_hash(canon, raw, marks, p, window, literals)))]
-        found += [probes(size, lambda p, size=size: F.xxhash64(F.lit("whole"), F.slice(raw, p, size))) for size in sorted(lengths)]
+        place = lambda p, h: F.struct(p.cast("int").alias("doc_pos"), h.alias("hash"))
+
+        def of(size: int, found: Column) -> Column:
+            return F.when(F.size(canon) >= size, found).otherwise(F.expr("cast(array() as array<struct<doc_pos:int,hash:bigint>>)"))
+
+        # The index holds templates with enough plain words only, so any template may be asked for.
+        found = [
+            of(window, F.transform(template_hashes(canon, window), lambda h, i: place(i + 1, h))),
+            of(window, F.transform(wordless(canon, window, literals), lambda p: place(p, values_hash(raw, p, window)))),
+        ]
+        starts = lambda size: F.sequence(F.lit(1), F.size(canon) - size + 1)
+        found += [of(size, F.transform(starts(size), lambda p, size=size: place(p, F.xxhash64(F.lit("whole"), F.slice(raw, p, size))))) for size in sorted(lengths)]
         return F.concat(*found)
 
     def windows(some: DataFrame) -> DataFrame:
