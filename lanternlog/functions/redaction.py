@@ -6,9 +6,12 @@ import json
 import re
 from collections.abc import Callable, Iterator
 from dataclasses import dataclass, field
+from functools import cache
 
 import pandas as pd
-from pyspark.sql import Column
+from py4j.protocol import Py4JJavaError
+from pyspark.errors import IllegalArgumentException
+from pyspark.sql import Column, SparkSession
 from pyspark.sql import functions as F
 
 MASK = "[REDACTED]"
@@ -57,8 +60,8 @@ class RedactionSpec:
         object.__setattr__(self, "names", frozenset(name.lower() for name in (*kept, *self.fields)))
 
     def rules(self) -> tuple[tuple[str, str, bool], ...]:
-        own = tuple((p, python_replacement(r), False) for p, r in self.patterns)
-        return (*TEXT_RULES, *((EMAIL_RULE,) if self.emails else ()), *own)
+        """The fixed rules; ``patterns`` follow them."""
+        return (*TEXT_RULES, *((EMAIL_RULE,) if self.emails else ()))
 
 
 def python_replacement(replacement: str) -> str:
@@ -99,18 +102,87 @@ def sensitive_name(name: Column, spec: RedactionSpec) -> Column:
 CUE = r"(?U)[:=@\s]|eyJ"
 
 
+#: What Java takes in another sense than Python: end of text, sets inside sets.
+OTHER_SENSE = r"\\Z|&&|\[[^\]]*\["
+
+
+@cache
+def java_takes(pattern: str) -> bool:
+    """Whether Java compiles the pattern, and in Python's sense; asked of the session's JVM, before any job runs."""
+    if re.search(OTHER_SENSE, pattern):
+        return False
+    try:
+        SparkSession.active()._jvm.java.util.regex.Pattern.compile(own_java_pattern(pattern))
+    except (Py4JJavaError, IllegalArgumentException):  # PySpark turns the one into the other
+        return False
+    return True
+
+
+def own_java_pattern(pattern: str) -> str:
+    """A user's pattern for Java, where only ``\\n`` ends a line, as in Python."""
+    return "(?d)" + java_pattern(pattern, False)
+
+
+def redact_own(text: Column, rules: tuple[tuple[str, str], ...]) -> Column:
+    """The user's rules in their order; from the first that Java doesn't take on they run in Python, a batch at a time."""
+    for n, (pattern, replacement) in enumerate(rules):
+        if not java_takes(pattern):
+            return redact_in_python(text, rules[n:])
+        text = F.regexp_replace(text, own_java_pattern(pattern), python_replacement(replacement))
+    return text
+
+
+def redact_in_python(text: Column, rules: tuple[tuple[str, str], ...]) -> Column:
+    @F.pandas_udf("string")
+    def run(batches: Iterator[pd.Series]) -> Iterator[pd.Series]:
+        compiled = [(re.compile(p), r) for p, r in rules]
+
+        def one(item: str | None) -> str | None:
+            for pattern, replacement in compiled if item is not None else ():
+                item = pattern.sub(replacement, item)
+            return item
+
+        for batch in batches:
+            yield batch.map(one)
+
+    return run(text)
+
+
 def redact_text(text: Column, spec: RedactionSpec) -> Column:
     """Cuts a long text with a note of how much, then applies the rules in order; most short values need one look only."""
     cut = F.concat(F.substring(text, 1, spec.max_chars), F.lit("... [truncated "), F.length(text) - spec.max_chars, F.lit(" chars]"))
     short = F.when(F.length(text) > spec.max_chars, cut).otherwise(text)
-    out, own = short, len(spec.patterns)
-    rules = spec.rules()
-    for pattern, replacement, ignore_case in rules[: len(rules) - own]:
-        out = F.regexp_replace(out, java_pattern(pattern, ignore_case), replacement)
-    out = F.when(short.rlike(CUE), out).otherwise(short)
-    for pattern, replacement, ignore_case in rules[len(rules) - own :]:
+    out = short
+    for pattern, replacement, ignore_case in spec.rules():
         out = F.regexp_replace(out, java_pattern(pattern, ignore_case), replacement)
-    return out
+    return redact_own(F.when(short.rlike(CUE), out).otherwise(short), spec.patterns)
+
+
+def put_in(spec: RedactionSpec) -> list[str]:
+    """What masking writes that the text didn't hold, in lower case; ``#`` stands for a digit of the cut note's number."""
+    fixed = [re.sub(r"\$\d", "", r) for _, r, _ in (*TEXT_RULES, EMAIL_RULE)]
+    notes = [f"... [truncated {'#' * n} chars]" for n in range(1, 11)]
+    return [x.lower() for x in (MASK, "[TRUNCATED]", *fixed, *notes)]
+
+
+def overlaps(needle: str, written: str) -> bool:
+    """Whether ``needle`` could be found at a place that takes in some of ``written``: one inside the other, or end to beginning."""
+    agree = lambda a, b: a == b or b == "#" and a.isdigit()
+    return any(
+        all(agree(needle[i], written[i + at]) for i in range(max(0, -at), min(len(needle), len(written) - at))) for at in range(1 - len(needle), len(written))
+    )
+
+
+def raw_holds(text: str, spec: RedactionSpec) -> bool:
+    """Whether a match of ``text`` in a masked value can only come from the value itself.
+
+    So it is when the text shares no place with anything that masking writes. A rule replaces what it
+    matched by such a piece (but for a group that it puts back), so a match that avoids the pieces lies
+    in what was there before. Patterns of the user may write anything. A sigma's small form depends on
+    its neighbours, so such a text has no sure small form.
+    """
+    needle = text.lower()
+    return bool(needle) and not spec.patterns and not set("\u03c3\u03c2\u03a3") & set(needle) and not any(overlaps(needle, w) for w in put_in(spec))
 
 
 def mask_tree(root: object, spec: RedactionSpec, clean: Callable[[str], str]) -> object:
@@ -178,6 +250,8 @@ def redact_attributes(text: Column, spec: RedactionSpec) -> Column:
     What a value is comes from the parsed JSON, never from the look of the text. A value that is no
     scalar has no way through the built-in path: it would be masked there.
     """
+    if not all(java_takes(p) for p, _ in spec.patterns):
+        return redact_json(text, spec)  # a Python function can't run inside the lambdas below
     fragments = F.from_json(text, "map<string,string>")
     parsed = F.try_parse_json(text).try_cast("map<string,variant>")
     nested = parsed.isNull() | F.exists(F.map_values(parsed), lambda v: F.coalesce(F.schema_of_variant(v).rlike("^(OBJECT|ARRAY)"), F.lit(False)))

@@ -12,7 +12,7 @@ import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from ..functions.redaction import RedactionSpec
+from ..functions.redaction import RedactionSpec, is_sensitive, raw_holds
 from ..functions.timing import iso_z
 from ..sources.model import FILTERABLE
 from .redact import redact_entries
@@ -73,6 +73,20 @@ def build_predicate(f: Filters) -> Column:
     return out
 
 
+def where_levels(df: DataFrame, column: str, levels: str | tuple[str, ...], most: int = 64) -> DataFrame:
+    """Rows of a raw source whose ``column`` is one of ``levels`` in any spelling, as a term that the scan can take over.
+
+    One distinct over that column finds the spellings; with more than ``most`` of them the term is on the
+    upper-case form, which no scan takes. Without levels all rows are kept.
+    """
+    wanted = Filters(levels=levels).level_set()
+    if not wanted:
+        return df
+    form = F.upper(F.col(column)).isin(*wanted)
+    found = [r[0] for r in df.select(column).where(form).distinct().limit(most + 1).collect()]  # most + 1 rows at most
+    return df.where(F.col(column).isin(*found) if len(found) <= most else form)
+
+
 @dataclass(frozen=True)
 class Cursor:
     """Place of the last row of a page in the total order."""
@@ -85,6 +99,15 @@ class Cursor:
         data = json.dumps({"ts": self.timestamp.isoformat(), "id": self.id, "src": self.source}, separators=(",", ":"))
         return base64.urlsafe_b64encode(data.encode()).decode()
 
+    @staticmethod
+    def encoded(place: Column) -> Column:
+        """``encode`` for a struct column with the fields of ``KEY``."""
+        at = place["timestamp"]
+        whole = F.date_trunc("second", at) == at
+        stamp = F.when(whole, F.date_format(at, "yyyy-MM-dd'T'HH:mm:ss")).otherwise(F.date_format(at, "yyyy-MM-dd'T'HH:mm:ss.SSSSSS"))
+        data = F.to_json(F.struct(stamp.alias("ts"), place["id"].alias("id"), place["source"].alias("src")))
+        return F.when(place.isNotNull(), F.translate(F.base64(data.cast("binary")), "+/\r\n", "-_"))
+
     @classmethod
     def decode(cls, text: str) -> Cursor:
         try:
@@ -127,19 +150,45 @@ def json_blob(df: DataFrame) -> Column:
     return run(F.struct(iso_z(F.col("timestamp")).alias("timestamp"), *columns))
 
 
+#: Attributes that masking may write anew: escapes, nested values, numbers with more than one spelling.
+REWRITTEN = r"(?s)\\|.[\[{]|\d[eE]|[0-9.]{16}|\.0000"
+
+
+def may_hold(df: DataFrame, text: str, spec: RedactionSpec) -> Column | None:
+    """A test of the raw columns that no row fails whose masked columns hold ``text``; None where there is no such test.
+
+    It says nothing about a row that passes: a secret may hold the text. Attributes are written
+    anew from their parts, so a text with JSON marks may be found across parts, and rows with parts of
+    another spelling pass unseen.
+    """
+    if not raw_holds(text, spec):
+        return None
+    needle = F.lit(text.lower())
+    strings = [name for name, kind in df.dtypes if kind == "string" and not is_sensitive(name, spec)]
+    tests = [F.coalesce(F.contains(F.lower(F.col(c)), needle), F.lit(False)) for c in strings if c != "attributes"]
+    if "attributes" in strings:
+        given = F.col("attributes")
+        test = given.isNotNull() if set(text) & set('"\\{}[],:') else F.contains(F.lower(given), needle) | given.rlike(REWRITTEN)
+        tests.append(F.coalesce(test, F.lit(False)))
+    return reduce(lambda a, b: a | b, tests, F.lit(False))
+
+
 def with_text(df: DataFrame, text: str, spec: RedactionSpec | None = None, match: str = "values") -> DataFrame:
     """Fully redacted rows that contain ``text``, whatever its case. A secret can't be searched.
 
-    ``match='json'`` looks in the row's JSON text, field names included.
+    ``match='json'`` looks in the row's JSON text, field names included. Otherwise rows that can't hold the
+    text are left out before any rule runs, where the raw columns tell so; what is found is found in masked columns only.
     """
-    full = redact_entries(df, spec, full=True)
+    spec = spec or RedactionSpec()
+    sure = may_hold(df, text, spec) if match == "values" else None
+    full = redact_entries(df if sure is None else df.where(sure), spec, full=True)
     if match == "json":
         return full.where(F.contains(json_blob(full), F.lit(text.lower())))
     # One pass: the masked row is built once, looked at, and kept or not; a filter would build it again.
-    masked = F.array(F.struct(*full.columns))
-    strings = [name for name, kind in full.dtypes if kind == "string"]
+    return full.select(F.inline(F.filter(F.array(F.struct(*full.columns)), lambda row: holds(row, full, text))))
 
-    def holds(row: Column) -> Column:
-        return reduce(lambda a, b: a | b, [F.coalesce(F.contains(F.lower(row[c]), F.lit(text.lower())), F.lit(False)) for c in strings], F.lit(False))
 
-    return full.select(F.inline(F.filter(masked, holds)))
+def holds(row: Column, df: DataFrame, text: str) -> Column:
+    """Whether a string of ``row``, a struct with the columns of ``df``, has ``text`` in it, whatever its case."""
+    strings = [name for name, kind in df.dtypes if kind == "string"]
+    return reduce(lambda a, b: a | b, [F.coalesce(F.contains(F.lower(row[c]), F.lit(text.lower())), F.lit(False)) for c in strings], F.lit(False))

@@ -64,13 +64,18 @@ def timeline_summary(df: DataFrame, on: str) -> DataFrame:
 def bulk_detail(df: DataFrame, ids: DataFrame, spec: RedactionSpec | None = None, priority: dict[str, int] | None = None) -> DataFrame:
     """The redacted row of each ``lookup`` of ``ids``: by id or ``source:id``, first source by priority; ``found`` tells the rest.
 
-    Of rows that share an id in one source the first by ``position`` counts where ``df`` has that column, else by time.
+    Of rows that share an id in one source the first by ``position`` (of ``normalize``, as a number where it is one) counts where ``df`` has that column, else by time.
     """
     ranks = F.coalesce(F.try_element_at(F.create_map(*[F.lit(x) for p in (priority or {"": 0}).items() for x in p]), F.col("source")), F.lit(1 << 30))
-    place = [c for c in ("position", "timestamp") if c in df.columns]
-    keys = F.array_distinct(F.array("id", F.concat("source", F.lit(":"), "id")))
-    hits = df.select("*", ranks.alias("_rank"), F.explode(keys).alias("lookup")).join(ids.select("lookup").distinct(), "lookup", "left_semi")
-    first = hits.withColumn("_n", F.row_number().over(Window.partitionBy("lookup").orderBy("_rank", "source", *place))).where("_n = 1").drop("_n", "_rank")
+    by_position = [F.col("position").try_cast("long"), F.col("position")] if "position" in df.columns else []
+    # The ids are split at every colon into (source, id); the log is joined once, on its id.
+    colons = F.filter(F.sequence(F.lit(1), F.length("lookup")), lambda i: F.substring(F.col("lookup"), i, F.lit(1)) == ":")
+    own = F.array(F.struct(F.lit(None).cast("string").alias("_of"), F.col("lookup").alias("id")))
+    split = F.transform(colons, lambda i: F.struct(F.substring(F.col("lookup"), F.lit(1), i - 1).alias("_of"), F.substring(F.col("lookup"), i + 1, F.length("lookup")).alias("id")))
+    asked = ids.select("lookup").where("lookup <> ''").distinct().select("lookup", F.inline(F.concat(own, split)))
+    hits = df.join(asked, "id").where(F.col("_of").isNull() | (F.col("_of") == F.col("source"))).select("*", ranks.alias("_rank"))
+    order = Window.partitionBy("lookup").orderBy("_rank", "source", *by_position, "timestamp")
+    first = hits.withColumn("_n", F.row_number().over(order)).where("_n = 1").select("lookup", *df.columns)
     # The lookup key rides along in a struct, which redaction leaves as it is.
     shown = redact_entries(first.withColumn("_key", F.struct("lookup")).drop("lookup"), spec, full=True)
     shown = shown.withColumn("lookup", F.col("_key.lookup")).drop("_key")

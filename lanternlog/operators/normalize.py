@@ -2,13 +2,15 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Observation
 from pyspark.sql import functions as F
 
 from ..functions.timing import parse_timestamp
 from ..sources.model import CORRELATION, FIELDS, STRICT_TEXT, SourceSpec
 from ..sources.readers import POSITION, RAW
 
+#: Why a line or a row is set apart, in the order of the tests.
+BAD_LINE, BAD_ROW = ("invalid_json", "not_object"), ("bad_timestamp", "missing_level", "missing_message")
 #: JSON text of a number, a truth value or null.
 SCALAR = r"^(?:-?\d+(?:\.\d+)?(?:[eE][+-]?\d+)?|true|false|null)$"
 
@@ -37,11 +39,8 @@ def reason_of(checks: list[tuple[Column, str]]) -> Column:
     return out
 
 
-def normalize_table(df: DataFrame, spec: SourceSpec) -> tuple[DataFrame, DataFrame]:
-    """(good rows, quarantine) of a typed table.
-
-    Quarantine rows are (source, position, reason); a reason never shows a value.
-    """
+def shape_table(df: DataFrame, spec: SourceSpec) -> DataFrame:
+    """Normalized columns of a typed table with ``_position`` and ``_reason``, null for good rows."""
     types = dict(df.dtypes)
 
     def raw(name: str) -> Column | None:
@@ -69,21 +68,61 @@ def normalize_table(df: DataFrame, spec: SourceSpec) -> tuple[DataFrame, DataFra
         F.lit(spec.name).alias("source"),
         position.alias("_position"),
         reason_of(
-            [(stamp.isNull(), "bad_timestamp"), (text("level").isNull(), "missing_level"), (text("message").isNull(), "missing_message")]
+            list(zip((stamp.isNull(), text("level").isNull(), text("message").isNull()), BAD_ROW, strict=True))
             + [(raw(f).isNotNull(), f"bad_type:{f}") for f in STRICT_TEXT if raw(f) is not None and types[spec.column(f)] != "string"]
             + [(F.coalesce(text("id"), position).isNull(), "missing_id")]
         ).alias("_reason"),
     )
-    return split(shaped)
+    return shaped
 
 
-def split(shaped: DataFrame) -> tuple[DataFrame, DataFrame]:
-    good = shaped.where("_reason is null").drop("_reason", "_position")
+def split(shaped: DataFrame, positions: bool = False) -> tuple[DataFrame, DataFrame]:
+    """(good rows, quarantine) of shaped rows; with ``positions`` the good ones keep theirs as ``position``."""
+    good = shaped.where("_reason is null").drop("_reason")
+    good = good.withColumnRenamed("_position", "position") if positions else good.drop("_position")
     return good, shaped.where("_reason is not null").select("source", F.col("_position").alias("position"), F.col("_reason").alias("reason"))
 
 
-def normalize_jsonl(lines: DataFrame, spec: SourceSpec) -> tuple[DataFrame, DataFrame]:
+def normalize_table(df: DataFrame, spec: SourceSpec, positions: bool = False) -> tuple[DataFrame, DataFrame]:
+    """(good rows, quarantine) of a typed table.
+
+    Quarantine rows are (source, position, reason); a reason never shows a value. Each side reads
+    the table for itself; ``split_once`` and ``watched`` tell the good rows and the counts from one reading.
+    """
+    return split(shape_table(df, spec), positions)
+
+
+def normalize_jsonl(lines: DataFrame, spec: SourceSpec, positions: bool = False) -> tuple[DataFrame, DataFrame]:
     """(good rows, quarantine) of ``read_jsonl`` lines; the schema is never inferred."""
+    return split(shape_jsonl(lines, spec), positions)
+
+
+def split_once(shaped: DataFrame, path: str, format: str = "parquet") -> tuple[DataFrame, DataFrame]:
+    """(good rows, quarantine) from one reading of the source: shaped rows are written to ``path`` in two folders, and each side reads its own."""
+    shaped.withColumn("bad", F.col("_reason").isNotNull()).write.format(format).partitionBy("bad").save(path)
+    written = shaped.sparkSession.read.schema(shaped.withColumn("bad", F.lit(True)).schema).format(format).load(path)
+    good, bad = (written.where(F.col("bad") == flag).drop("bad") for flag in (False, True))
+    return split(good)[0], split(bad)[1]
+
+
+def watched(shaped: DataFrame, spec: SourceSpec, name: str = "quarantine") -> tuple[DataFrame, Observation]:
+    """(good rows, counts): the counts by reason and of good rows are there after the first action on the good rows, which reads the source once.
+
+    They are exact where that action keeps every row; a limit on top would end the reading early, and a
+    task of a shuffle that runs again is counted again. ``split_once`` has no such terms.
+    """
+    counts = Observation(name)
+    found = [F.count_if(F.col("_reason") == r).alias(r) for r in reasons(spec)]
+    return split(shaped.observe(counts, F.count_if(F.col("_reason").isNull()).alias("good"), *found))[0], counts
+
+
+def reasons(spec: SourceSpec) -> list[str]:
+    """All reasons there are."""
+    return [*BAD_LINE, *BAD_ROW, *(f"bad_type:{f}" for f in STRICT_TEXT), "missing_id"]
+
+
+def shape_jsonl(lines: DataFrame, spec: SourceSpec) -> DataFrame:
+    """Normalized columns of ``read_jsonl`` lines with ``_position`` and ``_reason``."""
     # Each line is parsed once: what ``inline`` gives are columns, which no later expression repeats.
     record, variant = F.from_json(F.col(RAW), "map<string,string>"), F.try_parse_json(F.col(RAW))
     lines = lines.select(RAW, POSITION, F.inline(F.array(F.struct(record.alias("r"), variant.alias("v")))))
@@ -124,18 +163,13 @@ def normalize_jsonl(lines: DataFrame, spec: SourceSpec) -> tuple[DataFrame, Data
         F.lit(spec.name).alias("source"),
         position.alias("_position"),
         reason_of(
-            [
-                (F.col("r").isNull() & ~F.col("parsed"), "invalid_json"),
-                (~F.col(RAW).startswith("{"), "not_object"),
-                (stamp.isNull(), "bad_timestamp"),
-                (raw("level").isNull(), "missing_level"),
-                (raw("message").isNull(), "missing_message"),
-            ]
+            list(zip((F.col("r").isNull() & ~F.col("parsed"), ~F.col(RAW).startswith("{")), BAD_LINE, strict=True))
+            + list(zip((stamp.isNull(), raw("level").isNull(), raw("message").isNull()), BAD_ROW, strict=True))
             + [(F.coalesce(~kind(f).isin("STRING", "VOID"), F.lit(False)), f"bad_type:{f}") for f in STRICT_TEXT]
             + [(F.coalesce(raw("id"), position).isNull(), "missing_id")]
         ).alias("_reason"),
     )
-    return split(shaped)
+    return shaped
 
 
 def quarantine_summary(quarantine: DataFrame) -> DataFrame:

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import json
 from dataclasses import dataclass, replace
 from datetime import datetime
 
@@ -10,7 +11,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import Window
 
 from ..functions.redaction import RedactionSpec
-from .filters import KEY, Cursor, Filters, after_cursor, build_predicate, in_window, with_text
+from .filters import KEY, Cursor, Filters, after_cursor, build_predicate, holds, in_window, with_text
 from .redact import redact_entries
 
 DEFAULT_LIMIT, HARD_LIMIT = 100, 500
@@ -44,17 +45,30 @@ class Page:
         keys = self.rows.orderBy(*ordering(self.descending)).select(*KEY).take(self.limit + 1)
         return Cursor(*keys[self.limit - 1]).encode() if len(keys) > self.limit else None
 
-    def record(self) -> DataFrame:
-        """One row: entries (a list of rows in order), count, has_more, next_place (the last kept key where there is more)."""
+    def record(self, f: Filters | None = None, warnings: DataFrame | None = None) -> DataFrame:
+        """One row: entries (a list of rows in order), count, has_more, next_place (the last kept key where there is more), next_cursor.
+
+        With ``f`` also filters, its terms as a map of texts; with ``warnings`` (place, text; bounded by
+        ``summarize_warnings``) also these texts in order.
+        """
         keys = F.struct(*KEY)
         order = F.array_sort("all", lambda a, b: F.when(a["_key"] == b["_key"], 0).when((a["_key"] > b["_key"]) == F.lit(self.descending), -1).otherwise(1))
         # Only a page's rows, ``limit`` + 1 at most, are gathered.
         got = self.rows.select(F.struct(keys.alias("_key"), *self.rows.columns).alias("row")).agg(F.collect_list("row").alias("all")).select(order.alias("all"))
         kept, more = F.slice("all", 1, self.limit), F.size("all") > self.limit
-        return got.select(
+        out = got.select(
             F.transform(kept, lambda r: F.struct(*[r[c].alias(c) for c in self.rows.columns])).alias("entries"), F.size(kept).alias("count"), more.alias("has_more"),
             F.when(more, F.get("all", F.lit(self.limit - 1))["_key"]).alias("next_place"),
         )
+        out = out.withColumn("next_cursor", Cursor.encoded(F.col("next_place")))
+        if f:
+            terms = {**{k: str(v) for k, v in vars(f).items() if v and k != "levels"}, **({"levels": ",".join(f.level_set())} if f.level_set() else {})}
+            out = out.withColumn("filters", F.from_json(F.lit(json.dumps(terms)), "map<string,string>"))
+        if warnings is not None:
+            # A bounded list; the note on how many more there are has no place and comes last.
+            texts = warnings.agg(F.array_sort(F.collect_list(F.struct(F.col("place").isNull().alias("note"), "place", "text"))).alias("w")).select(F.transform("w", lambda w: w["text"]).alias("warnings"))
+            out = out.withColumn("_one", F.lit(1)).join(texts.withColumn("_one", F.lit(1)), "_one").drop("_one")
+        return out
 
 
 def page(df: DataFrame, f: Filters, limit: int | None = None, cursor: str | None = None, spec: RedactionSpec | None = None, descending: bool = True, most: int = DEFAULT_LIMIT) -> Page:
@@ -99,17 +113,49 @@ def scan_window(df: DataFrame, per_source: int, newest: bool = True) -> DataFram
     return first.where(F.col("_rank") <= per_source).join(F.broadcast(over), "source").drop("_rank")
 
 
-def bounded_search(df: DataFrame, f: Filters, max_scan: int, limit: int | None = None, spec: RedactionSpec | None = None, most: int = DEFAULT_LIMIT) -> DataFrame:
-    """Newest rows that hold the text, among the first ``max_scan`` rows of the other terms; ``incomplete`` where rows lie beyond.
+def bounded_scan(
+    df: DataFrame, f: Filters, max_scan: int, limit: int | None = None, cursor: str | None = None, spec: RedactionSpec | None = None, descending: bool = True, most: int = DEFAULT_LIMIT
+) -> DataFrame:
+    """One row about the first ``max_scan`` rows of the other terms, after ``cursor``: entries that hold the text and where the scan got to.
 
-    The bound is the feature: a text search whose cost doesn't follow the history.
+    entries, count and has_more are a page's. ``scanned`` rows were looked at, ``incomplete`` tells that rows
+    lie beyond them, whether or not any was found. ``next_place`` is where to go on, also encoded as
+    ``next_cursor``: the last entry where there are more, else the last row scanned where rows lie
+    beyond, else null. The bound is the feature: a text search whose cost doesn't follow the history.
     """
-    n = effective_limit(limit, most)
-    rows = df.where(build_predicate(replace(f, text=None))).orderBy(*ordering(True)).limit(max_scan + 1)
-    ranked = rows.withColumn("_n", F.row_number().over(Window.orderBy(*ordering(True))))  # over max_scan + 1 rows at most
-    ranked = ranked.withColumn("incomplete", F.max("_n").over(Window.partitionBy()) > max_scan).where(F.col("_n") <= max_scan).drop("_n")
-    found = with_text(ranked, f.text, spec) if f.text else redact_entries(ranked, spec, full=True)
-    return found.drop("traceback", "attributes").orderBy(*ordering(True)).limit(n)
+    n, spec, order = effective_limit(limit, most), spec or RedactionSpec(), ordering(descending)
+    rows = df.where(build_predicate(replace(f, text=None)))
+    if cursor:
+        rows = rows.where(after_cursor(Cursor.decode(cursor), descending))
+    # The window and the sums are over max_scan + 1 rows at most.
+    ranked = rows.orderBy(*order).limit(max_scan + 1).withColumn("_n", F.row_number().over(Window.orderBy(*order)))
+    key = F.struct(*KEY)
+    full = redact_entries(ranked.withColumn("_place", key), spec, full=True)
+    shown = [c for c in full.columns if c not in ("_n", "_place", "traceback", "attributes")]
+    row = F.struct(*full.columns)
+    found = F.col("_n") <= max_scan
+    if f.text:
+        found = found & F.get(F.transform(F.array(row), lambda r: holds(r, full.drop("_n", "_place"), f.text)), F.lit(0))
+    marked = full.select("_n", "_place", F.struct(*shown).alias("entry"), found.alias("found"))
+    nth = F.count(F.when(F.col("found"), 1)).over(Window.orderBy("_n"))
+    kept = F.when(F.col("found") & (F.col("nth") <= n + 1), F.struct("_n", "_place", "entry"))
+    got = marked.withColumn("nth", nth).agg(
+        F.array_sort(F.collect_list(kept)).alias("hits"), F.coalesce(F.max("_n"), F.lit(0)).alias("seen"),
+        F.max_by("_place", F.when(F.col("_n") <= max_scan, F.col("_n"))).alias("last_place"),
+    )
+    more, incomplete = F.size("hits") > n, F.col("seen") > max_scan
+    at = F.when(more, F.get("hits", F.lit(n - 1))["_place"]).when(incomplete, F.col("last_place"))
+    entries = F.slice(F.transform("hits", lambda h: h["entry"]), 1, n)
+    out = got.select(
+        entries.alias("entries"), F.least(F.size("hits"), F.lit(n)).alias("count"), more.alias("has_more"), F.least("seen", F.lit(max_scan)).alias("scanned"), incomplete.alias("incomplete"),
+        at.alias("next_place"),
+    )
+    return out.withColumn("next_cursor", Cursor.encoded(F.col("next_place")))
+
+
+def bounded_search(df: DataFrame, f: Filters, max_scan: int, limit: int | None = None, spec: RedactionSpec | None = None, most: int = DEFAULT_LIMIT) -> DataFrame:
+    """The entries of ``bounded_scan`` as rows, each with ``incomplete``; where none is found only the scan's row tells."""
+    return bounded_scan(df, f, max_scan, limit, spec=spec, most=most).select(F.explode("entries").alias("e"), "incomplete").select("e.*", "incomplete")
 
 
 def write_evidence(df: DataFrame, path: str, spec: RedactionSpec | None = None, format: str = "parquet") -> None:

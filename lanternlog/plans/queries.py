@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from collections.abc import Callable
+from dataclasses import replace
 from datetime import datetime
 
 from pyspark.sql import DataFrame, SparkSession
@@ -14,7 +15,9 @@ from ..operators import filters, investigate, normalize, notices, page, stats
 from ..operators.filters import Filters
 from ..operators.redact import redact_entries
 from ..sources.model import SourceSpec
-from ..sources.readers import POSITION, RAW, read_jsonl, union_sources
+from ..sources import logfmt
+from ..sources.jdbc import read_jdbc
+from ..sources.readers import POSITION, RAW, read_jsonl, read_table, union_sources
 from . import views
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -438,3 +441,100 @@ def detail_one(spark: SparkSession, sf_dir: str) -> DataFrame:
 def stats_two_sources(spark: SparkSession, sf_dir: str) -> DataFrame:
     logs = union_sources([views.events(spark, sf_dir), views.orders(spark, sf_dir)]).withColumn("logger", F.coalesce("request_id", "job_id"))
     return stats.merged_stats(logs, Filters()).where("dimension in ('logger', 'level')").select("dimension", "bucket", "n", "truncated")
+
+
+SCANNED = 400
+
+
+@query(f"""WITH {EVENTS}, p AS (SELECT *, contains(lower({masked("message")}), 'user 42 ') AS hit, row_number() OVER ({TOP}) AS r FROM l WHERE {RANGE}),
+  n AS (SELECT count(*) AS all_rows FROM p), f1 AS (SELECT *, row_number() OVER (ORDER BY r) AS k FROM p WHERE hit AND r <= {SCANNED}),
+  e1 AS (SELECT CASE WHEN (SELECT count(*) FROM f1) > 3 THEN (SELECT r FROM f1 WHERE k = 3) ELSE least({SCANNED}, all_rows) END AS e FROM n),
+  f2 AS (SELECT *, row_number() OVER (ORDER BY r) AS k FROM p, e1 WHERE hit AND r > e AND r <= e + {SCANNED})
+  SELECT 1 AS page, CAST(least(3, (SELECT count(*) FROM f1)) AS int) AS "count", (SELECT count(*) > 3 FROM f1) AS has_more, CAST(least({SCANNED}, all_rows) AS int) AS scanned,
+  all_rows > {SCANNED} AS incomplete, coalesce((SELECT string_agg(id, ',' ORDER BY r) FROM f1 WHERE k <= 3), '') AS ids, (SELECT id FROM p, e1 WHERE r = e AND e < all_rows) AS next_id FROM n
+  UNION ALL SELECT 2, CAST(least(3, (SELECT count(*) FROM f2)) AS int), (SELECT count(*) > 3 FROM f2), CAST(least({SCANNED}, all_rows - e) AS int),
+  all_rows - e > {SCANNED}, coalesce((SELECT string_agg(id, ',' ORDER BY r) FROM f2 WHERE k <= 3), ''),
+  (SELECT id FROM p WHERE r = CASE WHEN (SELECT count(*) FROM f2) > 3 THEN (SELECT r FROM f2 WHERE k = 3) WHEN all_rows - e > {SCANNED} THEN e + {SCANNED} END) FROM n, e1""")
+def scan_resumed(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Two bounded scans, the second from where the first one stopped."""
+    f, logs = Filters(text="user 42 ", start=START, end=END), views.events(spark, sf_dir)
+    pages, cursor = [], None
+    for n in (1, 2):
+        got = page.bounded_scan(logs, f, SCANNED, 3, cursor)
+        cursor = got.select("next_cursor").first()[0]
+        ids = F.array_join(F.col("entries.id"), ",")
+        pages.append(got.select(F.lit(n).alias("page"), "count", "has_more", "scanned", "incomplete", ids.alias("ids"), F.col("next_place.id").alias("next_id")))
+    return pages[0].unionByName(pages[1])
+
+
+@query(f"""WITH {EVENTS}, p AS (SELECT id, row_number() OVER ({TOP}) AS r, count(*) OVER () AS n FROM l)
+  SELECT 0 AS "count", false AS has_more, 250 AS scanned, true AS incomplete, id AS next_id FROM p WHERE r = 250 AND n > 250""")
+def scan_without_match(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """No entry inside the bound; the scan still tells that rows lie beyond and where to go on."""
+    got = page.bounded_scan(views.events(spark, sf_dir), Filters(text="no such words"), 250)
+    return got.select("count", "has_more", "scanned", "incomplete", F.col("next_place.id").alias("next_id"))
+
+
+BAD_EVENT = """CASE WHEN event_id % 10 = 5 THEN 'invalid_json' WHEN event_id % 10 = 6 THEN 'not_object' END"""
+
+
+@query(f"""SELECT 'app' AS source, {BAD_EVENT} AS reason, count(*) AS n, sum(user_id) AS users FROM events WHERE event_id % 10 NOT IN (5, 6, 7) GROUP BY ALL
+  UNION ALL SELECT 'app', {BAD_EVENT}, count(*), NULL FROM events WHERE event_id % 10 IN (5, 6) GROUP BY ALL""")
+def quarantine_once(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Good rows and the counts by reason from one reading of the lines."""
+    shaped = normalize.shape_jsonl(read_jsonl(spark, views.jsonl_folder(spark, sf_dir), numbered=False), replace(views.LINES, field_map={**views.LINES.field_map, "id": "eid"}))
+    good, bad = normalize.split_once(shaped, views.folder(spark, "split"))
+    kept = good.groupBy("source").agg(F.count("*").alias("n"), F.sum(F.col("user_id").cast("long")).alias("users"))
+    counts = normalize.quarantine_summary(bad)
+    return kept.select("source", F.lit(None).cast("string").alias("reason"), "n", "users").unionByName(counts.withColumn("users", F.lit(None).cast("long")))
+
+
+@query(f"""WITH {EVENTS} SELECT id, "timestamp", level, message, logger, request_id, user_id, source FROM l
+  WHERE {RANGE} AND ("timestamp", id) < (timestamp '2024-01-15', '5000')""")
+def jdbc_events(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A database table in four ranges of its time; the time terms go down with the ranges."""
+    spec = views.events_in_derby(spark, sf_dir)
+    good, _ = normalize.normalize_table(read_jdbc(spark, spec, "ts", 4), spec)
+    after = filters.after_cursor(filters.Cursor(datetime(2024, 1, 15), "5000", ""), True)
+    return good.where(filters.build_predicate(Filters(start=START, end=END)) & after).select("id", "timestamp", "level", "message", "logger", "request_id", "user_id", "source")
+
+
+LOGFMT = SourceSpec("kv", {"timestamp": "ts", "message": "msg", "attributes": "rest"}, format=logfmt.FORMAT)
+
+
+@query(f"""SELECT cast(event_id AS varchar) AS id, ts AS "timestamp", upper(event_type) AS level, concat('say "', user_id, '\\" ', {MESSAGE}) AS message,
+  concat('{{"empty":"","user":"', user_id, '"}}') AS attributes, 'kv' AS source FROM events
+  WHERE event_id % 50 <> 7 AND event_type = 'click' AND ts >= timestamp '2024-01-10' AND ts < timestamp '2024-01-20'""")
+def logfmt_events(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """``key=value`` files by a data source of this package; level and times are tested where the lines are read."""
+    logfmt.register(spark)
+    path = views.logfmt_folder(spark, sf_dir)
+    days = [F.lit(str(d)).cast("timestamp_ntz") for d in (START, END)]
+    rows = read_table(spark, replace(LOGFMT, options={"splitBytes": "60000"}), path).where((F.col("level") == "click") & (F.col("ts") >= days[0]) & (F.col("ts") < days[1]))
+    good, _ = normalize.normalize_table(rows.drop("bad"), LOGFMT)
+    return good.select("id", "timestamp", "level", "message", "attributes", "source")
+
+
+@query(f"""WITH {EVENTS} SELECT id, regexp_replace(regexp_replace(regexp_replace({masked('message')}, 'user ([0-9]+)', 'U<\1>', 'g'), 'do{{0,3}}ne', 'end', 'g'), 'token', 'key', 'g') AS message FROM l""")
+def redact_python_patterns(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Patterns of which Java takes the last only; all run in the given order."""
+    spec = RedactionSpec(patterns=((r"(user )?(?(1)([0-9]+)|never)", r"U<\2>"), (r"do{,3}ne", "end"), (r"token", "key")))
+    return views.events(spark, sf_dir).select("id", redact_text(F.col("message"), spec).alias("message"))
+
+
+@query("""SELECT concat('talks:', conv_id) AS lookup, arg_min(role, turn) AS logger, cast(min(turn) AS varchar) AS position, true AS found FROM conversations GROUP BY conv_id
+  UNION ALL SELECT 'talks:none', NULL, NULL, false""")
+def detail_first_position(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Of rows that share an id the first by position counts, though time runs the other way."""
+    days = F.expr("timestamp_ntz'2024-06-01 00:00:00'") - F.make_dt_interval(F.col("turn"))
+    talks = views.raw(spark, sf_dir, "conversations").withColumns({"timestamp": days, "level": F.lit("info")})
+    logs, _ = normalize.normalize_table(talks, SourceSpec("talks", {"id": "conv_id", "message": "text", "logger": "role"}, position="turn"), positions=True)
+    ids = talks.select(F.concat(F.lit("talks:"), "conv_id").alias("lookup")).union(talks.sparkSession.range(1).select(F.lit("talks:none")))
+    return investigate.bulk_detail(logs, ids).select("lookup", "logger", "position", "found")
+
+
+@query("SELECT upper(event_type) AS level, count(*) AS n FROM events WHERE event_type IN ('click', 'error') GROUP BY ALL")
+def levels_pushed(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Levels in any spelling, asked of the raw column so that the scan skips the rest."""
+    rows = filters.where_levels(views.raw_events(spark, sf_dir), "event_type", " Click,ERROR,,none ")
+    return normalize.normalize_table(rows, views.EVENTS)[0].groupBy("level").agg(F.count("*").alias("n"))

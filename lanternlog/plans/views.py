@@ -60,6 +60,17 @@ def conversations(spark: SparkSession, sf_dir: str) -> DataFrame:
     return normalize_table(raw_conversations(spark, sf_dir), CONVERSATIONS)[0]
 
 
+def folder(spark: SparkSession, name: str) -> str:
+    """A new folder where driver and executors meet; what is written there is the result's and stays."""
+    root = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getCheckpointDir()
+    if not root:
+        if not spark.sparkContext.master.startswith("local["):
+            raise ValueError("spark.checkpoint.dir must name a folder that driver and executors share")
+        root = "file://" + tempfile.mkdtemp(prefix="lanternlog-")
+        spark.sparkContext.setCheckpointDir(root)
+    return f"{root.rstrip('/')}/{name}-{uuid.uuid4().hex}"
+
+
 def jsonl_folder(spark: SparkSession, sf_dir: str) -> str:
     """The events as JSON Lines in four files by event id, with the oddities that real logs have, by event_id % 10.
 
@@ -74,7 +85,31 @@ def jsonl_folder(spark: SparkSession, sf_dir: str) -> str:
         F.lit(', "msg": "token=t'), "event_id", F.lit(' seen", "user": '), "user_id", F.lit(', "eid": '), "event_id", F.lit("}"),
     )
     line = F.when(form == 5, F.concat(F.lit("not json "), "event_id")).when(form == 6, F.concat(F.lit("["), "event_id", F.lit("]"))).when(form == 7, F.lit("\t ")).otherwise(line)
-    root = spark.conf.get("spark.checkpoint.dir", None) or "file://" + tempfile.mkdtemp(prefix="lanternlog-")
-    path = f"{root.rstrip('/')}/lines-{uuid.uuid4().hex}"
+    path = folder(spark, "lines")
     raw(spark, sf_dir, "events").repartitionByRange(4, "event_id").sortWithinPartitions("event_id").select(line.alias("value")).write.text(path)
     return path
+
+
+def logfmt_folder(spark: SparkSession, sf_dir: str) -> str:
+    """The events as ``key=value`` lines in five files; messages hold blanks, quotes and backslashes, every 50th line is no such line."""
+    quoted = lambda c: F.concat(F.lit('"'), F.regexp_replace(c, r'(["\\])', r"\\$1"), F.lit('"'))
+    e = raw_events(spark, sf_dir)
+    message = F.concat(F.lit('say "'), F.col("user_id"), F.lit('\\" '), F.col("message"))
+    line = F.concat(
+        F.lit("ts="), F.date_format("ts", "yyyy-MM-dd'T'HH:mm:ss.SSSSSS"), F.lit(" level="), F.col("event_type"), F.lit(" id="), F.col("event_id"), F.lit(" msg="), quoted(message),
+        F.lit(" user="), F.col("user_id"), F.lit(' empty=""'),
+    )
+    line = F.when(F.col("event_id") % 50 == 7, F.concat(F.lit("no pairs here: "), "event_id")).otherwise(line)
+    path = folder(spark, "logfmt")
+    e.repartition(5, "event_id").select(line.alias("value")).write.text(path)
+    return path
+
+
+def events_in_derby(spark: SparkSession, sf_dir: str) -> SourceSpec:
+    """The events as a table of Spark's own embedded database, which lives in one JVM: for local mode only."""
+    if not spark.sparkContext.master.startswith("local["):
+        raise ValueError("an embedded database is in one JVM; a cluster reads a database server")
+    options = {"url": f"jdbc:derby:memory:logs{uuid.uuid4().hex};create=true", "driver": "org.apache.derby.iapi.jdbc.AutoloadedDriver", "dbtable": "app.events"}
+    rows = raw_events(spark, sf_dir).select("event_id", "ts", "event_type", "user_id", "message")
+    rows.write.format("jdbc").options(**options, createTableColumnTypes="event_type varchar(40), message varchar(200)").save()
+    return SourceSpec("events", {k: v for k, v in EVENTS.field_map.items() if k != "attributes"}, format="jdbc", options=options)
