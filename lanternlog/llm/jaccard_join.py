@@ -49,6 +49,8 @@ PAIRS_PER_MEMBER = 16_384
 PIVOTS = 4096
 #: Rows of a bucket whose sketches one task holds against another such block.
 BLOCK = 4096
+#: Bytes of sketches over ``WIDE`` bytes that such a block holds besides; a bucket of long texts has more blocks.
+BLOCK_BYTES, WIDE = 8 << 20, 1024
 #: Bits of the smallest sketch; larger sets have as many bits as shingles at least.
 SKETCH_BITS = 512
 #: Links that one task brings to stars.
@@ -358,7 +360,11 @@ def possible_in_buckets(rows: DataFrame, reps: DataFrame, percent: int, spanning
         yield out(held)
 
     sketches = reps.select(F.col("doc_id").alias("rep"), "n_shingles", "sketch")
-    blocks = F.ceil(F.col("n") / BLOCK).cast("int")
+    # Blocks are bounded by rows and, as a sketch grows with its set, by bytes.
+    long = materialize(sketches.where(F.octet_length("sketch") > WIDE).select("rep", F.octet_length("sketch").alias("bytes")), "wide")
+    wide = materialize(rows.join(checked_broadcast(long), "rep").groupBy("sig").agg(F.sum("bytes").alias("bytes")), "wide-buckets")
+    rows = rows.join(checked_broadcast(wide), "sig", "left")
+    blocks = (F.ceil(F.col("n") / BLOCK) + F.floor(F.coalesce("bytes", F.lit(0)) / BLOCK_BYTES)).cast("int")
     dealt = rows.join(sketches, "rep").select(
         "sig", blocks.alias("blocks"), F.pmod(F.xxhash64("rep"), blocks).cast("int").alias("block"), F.struct("rep", "label", "n_shingles", "sketch", "ahead").alias("row")
     )

@@ -241,8 +241,11 @@ def test_repeated_ids_keep_their_own_swaps(spark):
     assert a == b
 
 
-def test_a_large_group_of_near_copies_in_several_blocks(spark, monkeypatch):
-    monkeypatch.setattr(jaccard_join, "BLOCK", 16)
+@pytest.mark.parametrize("rows_a_block, bytes_a_block, wide", [(16, 8 << 20, 1024), (4096, 640, 32)])
+def test_a_large_group_of_near_copies_in_several_blocks(spark, monkeypatch, rows_a_block, bytes_a_block, wide):
+    monkeypatch.setattr(jaccard_join, "BLOCK", rows_a_block)
+    monkeypatch.setattr(jaccard_join, "BLOCK_BYTES", bytes_a_block)
+    monkeypatch.setattr(jaccard_join, "WIDE", wide)
     monkeypatch.setattr(jaccard_join, "LONG", 4)
     rng = random.Random(11)
     base, rows = prose(rng, 60).split(), []
@@ -268,6 +271,7 @@ def test_a_large_group_of_near_copies_in_several_blocks(spark, monkeypatch):
                     changed = True
         got = {r["doc_id"]: r["component_id"] for r in jaccard_join.similarity_groups(docs, k, percent).collect()}
         assert got == label
+    assert jaccard_join.similarity_groups(docs.limit(0)).count() == 0
 
 
 def test_sketches_fold_and_never_overstate():
