@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import Window
 
 from ..functions.redaction import RedactionSpec
+from ..sources.shared import written
 from .filters import id_is
 from .page import CORRELATIONS
 from .redact import redact_entries
@@ -52,6 +53,36 @@ def timeline_gaps(df: DataFrame, on: str) -> DataFrame:
     )
 
 
+def timeline_gaps_in_ranges(df: DataFrame, on: str, path: str, ranges: int | None = None) -> DataFrame:
+    """``timeline_gaps`` for ids that hold a large share of all rows: no task has more than one range of (id, time).
+
+    Rows are dealt to ranges of (id, order) and written to ``path`` with their range, so that both readings
+    below see the same ranges. Each range counts for itself; what lies before an id's rows in a range,
+    its last row and its errors, comes from a sum over one row per id and range, and only where an id
+    goes on from an earlier range, which happens once a range at most.
+    """
+    named = df.where(f"`{on}` is not null and `{on}` <> ''").select(on, *ORDER, "level")
+    ranged = named.repartitionByRange(ranges, on, *ORDER) if ranges else named.repartitionByRange(on, *ORDER)
+    rows = written(ranged.withColumn("_range", F.spark_partition_id()), path)
+    error, row = F.col("level") == "ERROR", F.struct(*ORDER, "level")
+    per_range = rows.groupBy(on, "_range").agg(F.max(row).alias("last"), F.count_if(error).alias("errors"))
+    ends = per_range.join(per_range.groupBy(on).agg(F.count("*").alias("n")).where("n > 1").select(on), on, "left_semi")
+    earlier = Window.partitionBy(on).orderBy("_range")
+    carried = ends.select(
+        on, "_range", F.lag("last").over(earlier).alias("last"), (F.sum("errors").over(earlier) - F.col("errors")).alias("errors"),
+    ).where("last is not null")
+    within = Window.partitionBy("_range", on).orderBy(*ORDER)
+    local = rows.select(
+        "_range", on, *ORDER, "level", F.lag(F.struct("timestamp", "level")).over(within).alias("before"),
+        F.count_if(error).over(within.rowsBetween(Window.unboundedPreceding, 0)).alias("errors_here"),
+    )
+    # At most one row a range: the id that its first row goes on with.
+    out = local.join(F.broadcast(carried), ["_range", on], "left")
+    before = F.coalesce("before", F.when(F.col("last").isNotNull(), F.struct("last.timestamp", "last.level")))
+    micros = F.timestamp_diff("MICROSECOND", before["timestamp"], F.col("timestamp"))
+    return out.select(on, *ORDER, "level", before["level"].alias("level_before"), (micros / 1_000_000).alias("gap_seconds"), (F.col("errors_here") + F.coalesce("errors", F.lit(0))).alias("errors_so_far"))
+
+
 def timeline_summary(df: DataFrame, on: str) -> DataFrame:
     """Per id: first and last time, rows, errors, id of the first error. Partial sums before the shuffle."""
     error = F.col("level") == "ERROR"

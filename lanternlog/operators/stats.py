@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import math
 from datetime import datetime
 
 from pyspark.sql import DataFrame
@@ -39,6 +40,35 @@ def cap_groups(counts: DataFrame, cap: int = 100, dimensions: tuple[str, ...] =
     return ranked.where(F.col("_rank") <= cap).drop("_rank")
 
 
+def heavy_groups(df: DataFrame, dimension: str, cap: int = 100, tracked: int = 10_000) -> DataFrame:
+    """(source, bucket, n, truncated): the ``cap`` largest labels of each source, exact, as ``cap_groups`` has them, without a row a label in the shuffle.
+
+    A frequent-items sketch of ``tracked`` labels a source gives candidates, which are then counted exactly.
+    The sketch is wrong by 3.5 rows in its map's size at most, so no other label has more rows than
+    that share, or than the last candidate's estimate. Where the ``cap``-th candidate has more, the result is proven;
+    the labels of the other sources are counted in full.
+    """
+    label = F.coalesce(F.nullif(F.col(dimension), F.lit("")), F.lit("unknown"))
+    rows, k = df.select("source", label.alias("bucket")), min(4 * cap, tracked)
+    sketch = F.expr(f"approx_top_k(bucket, {k}, {tracked})")
+    sketched = rows.groupBy("source").agg(F.count("*").alias("rows"), sketch.alias("top")).collect()  # k items a source
+    share = 3.5 / (1 << math.ceil(math.log2(tracked / 0.75)))
+    over = {r["source"]: max(r["rows"] * share, r["top"][-1]["count"] if len(r["top"]) == k else 0) for r in sketched}
+    candidates = df.sparkSession.createDataFrame([(r["source"], t["item"]) for r in sketched for t in r["top"]], "source string, bucket string")
+    # At most k labels a source.
+    counts = rows.join(F.broadcast(candidates), ["source", "bucket"]).groupBy("source", "bucket").agg(F.count("*").alias("n"))
+    order = Window.partitionBy("source").orderBy(F.desc("n"), "bucket")
+    ranked = counts.withColumn("r", F.row_number().over(order)).where(F.col("r") <= cap + 1).collect()  # cap + 1 rows a source
+    proven = [r["source"] for r in ranked if r["r"] == cap and r["n"] > over[r["source"]] and any(x["source"] == r["source"] and x["r"] == cap + 1 for x in ranked)]
+    kept = [(r["source"], r["bucket"], r["n"], True) for r in ranked if r["source"] in proven and r["r"] <= cap]
+    sure = df.sparkSession.createDataFrame(kept, "source string, bucket string, n long, truncated boolean")
+    rest = rows.where(~F.col("source").isin(proven)) if proven else rows
+    if len(proven) == len(sketched):
+        return sure
+    full = rest.groupBy("source", "bucket").agg(F.count("*").alias("n")).withColumn("dimension", F.lit(dimension))
+    return sure.unionByName(cap_groups(full, cap, (dimension,)).select("source", "bucket", "n", "truncated"))
+
+
 def redact_labels(counts: DataFrame, spec: RedactionSpec | None = None) -> DataFrame:
     """Labels masked after counting; those that become equal are summed. Time buckets stay as they are."""
     spec = spec or RedactionSpec()

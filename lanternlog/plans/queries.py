@@ -5,19 +5,22 @@ from __future__ import annotations
 from collections.abc import Callable
 from dataclasses import replace
 from datetime import datetime
+from functools import reduce
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..functions.redaction import SECRET_KEYS, RedactionSpec, redact_attributes, redact_text, sensitive_name
 from ..functions.timing import bucket_of, duration_seconds, iso_z, parse_timestamp
-from ..operators import filters, investigate, normalize, notices, page, stats
+from ..operators import filters, investigate, normalize, notices, page, paging, stats
 from ..operators.filters import Filters
 from ..operators.redact import redact_entries
 from ..sources.model import SourceSpec
 from ..sources import logfmt
 from ..sources.jdbc import read_jdbc
 from ..sources.readers import POSITION, RAW, read_jsonl, read_table, union_sources
+from ..sources.shared import folder
+from ..streaming import jsonl
 from . import views
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -483,7 +486,7 @@ BAD_EVENT = """CASE WHEN event_id % 10 = 5 THEN 'invalid_json' WHEN event_id % 1
 def quarantine_once(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Good rows and the counts by reason from one reading of the lines."""
     shaped = normalize.shape_jsonl(read_jsonl(spark, views.jsonl_folder(spark, sf_dir), numbered=False), replace(views.LINES, field_map={**views.LINES.field_map, "id": "eid"}))
-    good, bad = normalize.split_once(shaped, views.folder(spark, "split"))
+    good, bad = normalize.split_once(shaped, folder(spark, "split"))
     kept = good.groupBy("source").agg(F.count("*").alias("n"), F.sum(F.col("user_id").cast("long")).alias("users"))
     counts = normalize.quarantine_summary(bad)
     return kept.select("source", F.lit(None).cast("string").alias("reason"), "n", "users").unionByName(counts.withColumn("users", F.lit(None).cast("long")))
@@ -515,7 +518,7 @@ def logfmt_events(spark: SparkSession, sf_dir: str) -> DataFrame:
     return good.select("id", "timestamp", "level", "message", "attributes", "source")
 
 
-@query(f"""WITH {EVENTS} SELECT id, regexp_replace(regexp_replace(regexp_replace({masked('message')}, 'user ([0-9]+)', 'U<\1>', 'g'), 'do{{0,3}}ne', 'end', 'g'), 'token', 'key', 'g') AS message FROM l""")
+@query(f"""WITH {EVENTS} SELECT id, regexp_replace(regexp_replace(regexp_replace({masked('message')}, 'user ([0-9]+)', 'U<\\1>', 'g'), 'do{{0,3}}ne', 'end', 'g'), 'token', 'key', 'g') AS message FROM l""")
 def redact_python_patterns(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Patterns of which Java takes the last only; all run in the given order."""
     spec = RedactionSpec(patterns=((r"(user )?(?(1)([0-9]+)|never)", r"U<\2>"), (r"do{,3}ne", "end"), (r"token", "key")))
@@ -538,3 +541,47 @@ def levels_pushed(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Levels in any spelling, asked of the raw column so that the scan skips the rest."""
     rows = filters.where_levels(views.raw_events(spark, sf_dir), "event_type", " Click,ERROR,,none ")
     return normalize.normalize_table(rows, views.EVENTS)[0].groupBy("level").agg(F.count("*").alias("n"))
+
+
+@query(f"""WITH {EVENTS}, r AS (SELECT id, "timestamp", source, row_number() OVER (ORDER BY "timestamp", id, source) - 1 AS n, count(*) OVER () AS total FROM l)
+  SELECT cast(n // 130 AS bigint) AS page, id, "timestamp", cast(least(130, total - n // 130 * 130) AS int) AS rows_in_page FROM r
+  WHERE n // 130 IN (0, 7, (total - 1) // 130)""")
+def page_index(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """First, eighth and last page of all events, each read by its place."""
+    index = paging.write_pages(views.events(spark, sf_dir).select("id", "timestamp", "source"), folder(spark, "pages"), 130, 8)
+    manifest = index.pages()
+    last = manifest.agg(F.max("page")).first()[0]
+    rows = [index.page(n).select(F.lit(n).cast("long").alias("page"), "id", "timestamp") for n in dict.fromkeys((0, min(7, last), last))]
+    return reduce(DataFrame.unionByName, rows).join(manifest.select("page", F.col("n").alias("rows_in_page")), "page")
+
+
+HOT = """WITH l AS (SELECT cast(event_id AS varchar) AS id, ts AS "timestamp", upper(event_type) AS level, CASE WHEN event_id % 2 = 0 THEN 'hot' ELSE cast(user_id AS varchar) END AS request_id, 'events' AS source FROM events)"""
+
+
+@query(f"""{HOT} SELECT request_id, "timestamp", id, source, level, lag(level) OVER w AS level_before,
+  date_diff('microsecond', lag("timestamp") OVER w, "timestamp") / 1000000 AS gap_seconds,
+  count(CASE WHEN level = 'ERROR' THEN 1 END) OVER (w ROWS UNBOUNDED PRECEDING) AS errors_so_far
+  FROM l WINDOW w AS (PARTITION BY request_id ORDER BY "timestamp", id, source)""")
+def timeline_gaps_hot(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """One id has half of all rows; its timeline is dealt to ranges of time."""
+    logs = views.events(spark, sf_dir).withColumn("request_id", F.when(F.col("id").cast("long") % 2 == 0, "hot").otherwise(F.col("request_id")))
+    return investigate.timeline_gaps_in_ranges(logs, "request_id", folder(spark, "ranges"), 12)
+
+
+@query("""WITH g AS (SELECT CASE WHEN event_id % 3 = 0 THEN concat('hot', user_id % 150) ELSE concat('own', event_id) END AS bucket, count(*) AS n FROM events GROUP BY 1)
+  SELECT 'events' AS source, bucket, n, (SELECT count(*) FROM g) > 100 AS truncated FROM (SELECT *, row_number() OVER (ORDER BY n DESC, bucket) AS r FROM g) WHERE r <= 100""")
+def stats_heavy_labels(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The largest of very many labels: candidates from a sketch, counted exactly, proven by the sketch's bound."""
+    number = F.col("id").cast("long")
+    label = F.when(number % 3 == 0, F.concat(F.lit("hot"), F.col("user_id").cast("long") % 150)).otherwise(F.concat(F.lit("own"), "id"))
+    return stats.heavy_groups(views.events(spark, sf_dir).withColumn("logger", label), "logger", tracked=3000)
+
+
+@query(f"""SELECT 'app' AS source, {BAD_EVENT} AS reason, count(*) AS n FROM events WHERE event_id % 10 <> 7 GROUP BY ALL""")
+def jsonl_stream(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The lines as a stream: rows and quarantine of every batch, each written once."""
+    spec, path = replace(views.LINES, field_map={**views.LINES.field_map, "id": "eid"}), folder(spark, "ingested")
+    lines = spark.readStream.option("maxFilesPerTrigger", "2").text(views.jsonl_folder(spark, sf_dir))
+    jsonl.ingest(lines, spec, path, folder(spark, "ingest-checkpoint")).trigger(availableNow=True).start().awaitTermination()
+    good, bad = jsonl.ingested(spark, spec, path)
+    return normalize.quarantine_summary(bad).unionByName(good.groupBy("source").agg(F.count("*").alias("n")).withColumn("reason", F.lit(None).cast("string")))

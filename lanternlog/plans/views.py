@@ -2,7 +2,6 @@
 
 from __future__ import annotations
 
-import tempfile
 import uuid
 
 from pyspark.sql import DataFrame, SparkSession
@@ -10,6 +9,7 @@ from pyspark.sql import functions as F
 
 from ..operators.normalize import normalize_table
 from ..sources.model import SourceSpec
+from ..sources.shared import folder
 
 EVENTS = SourceSpec(
     "events",
@@ -60,17 +60,6 @@ def conversations(spark: SparkSession, sf_dir: str) -> DataFrame:
     return normalize_table(raw_conversations(spark, sf_dir), CONVERSATIONS)[0]
 
 
-def folder(spark: SparkSession, name: str) -> str:
-    """A new folder where driver and executors meet; what is written there is the result's and stays."""
-    root = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getCheckpointDir()
-    if not root:
-        if not spark.sparkContext.master.startswith("local["):
-            raise ValueError("spark.checkpoint.dir must name a folder that driver and executors share")
-        root = "file://" + tempfile.mkdtemp(prefix="lanternlog-")
-        spark.sparkContext.setCheckpointDir(root)
-    return f"{root.rstrip('/')}/{name}-{uuid.uuid4().hex}"
-
-
 def jsonl_folder(spark: SparkSession, sf_dir: str) -> str:
     """The events as JSON Lines in four files by event id, with the oddities that real logs have, by event_id % 10.
 
