@@ -60,8 +60,8 @@ class RedactionSpec:
         object.__setattr__(self, "names", frozenset(name.lower() for name in (*kept, *self.fields)))
 
     def rules(self) -> tuple[tuple[str, str, bool], ...]:
-        """The fixed rules; ``patterns`` follow them."""
-        return (*TEXT_RULES, *((EMAIL_RULE,) if self.emails else ()))
+        own = tuple((p, python_replacement(r), False) for p, r in self.patterns)
+        return (*TEXT_RULES, *((EMAIL_RULE,) if self.emails else ()), *own)
 
 
 def python_replacement(replacement: str) -> str:
@@ -153,7 +153,8 @@ def redact_text(text: Column, spec: RedactionSpec) -> Column:
     cut = F.concat(F.substring(text, 1, spec.max_chars), F.lit("... [truncated "), F.length(text) - spec.max_chars, F.lit(" chars]"))
     short = F.when(F.length(text) > spec.max_chars, cut).otherwise(text)
     out = short
-    for pattern, replacement, ignore_case in spec.rules():
+    rules = spec.rules()
+    for pattern, replacement, ignore_case in rules[: len(rules) - len(spec.patterns)]:
         out = F.regexp_replace(out, java_pattern(pattern, ignore_case), replacement)
     return redact_own(F.when(short.rlike(CUE), out).otherwise(short), spec.patterns)
 
