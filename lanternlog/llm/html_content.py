@@ -3,9 +3,10 @@
 A page becomes a sequence of words and tags. Words score positive and tags negative; the weights
 are log ratios of how often a token occurs inside and outside the article of pages that mark one
 (the labelled pages, menus and other furniture counted as outside), clamped to their sign. Tags
-within a marked article hardly count: its author has said that all of it belongs together. One linear scan finds the contiguous run of the
+within a marked article hardly count: its author has said that all of it belongs together, and what
+stands beside the articles of a page that marks some scores negative. One linear scan finds the contiguous run of the
 highest sum. Elements that never hold main text (scripts, menus, forms, adverts, comments and so
-on, by name, role or class) count as one heavy negative token and give no words. Where a script
+on, by name, role or class) are a negative token and their words score negative too; they are never part of the text. Where a script
 has no spaces, each letter counts as a word. A class or id
 is only a hint: an element around an ``<article>`` or ``<main>``, around most words of a page
 without them, or with a hint word only as part of a name (``has-sidebar``), keeps its words and
@@ -52,6 +53,16 @@ WORD = "#word"
 LOST = "#lost"
 #: A tag or skipped element within a marked article, whose author says that all of it belongs together.
 INSIDE_TAG = -0.01
+#: Elements that hold a whole page or article: they say nothing about what is in them.
+STRUCTURE = frozenset("html body article main".split())
+#: Bounds of what is learned: no tag outweighs more than a few words.
+WORD_WEIGHTS, TAG_WEIGHTS = (0.05, 1.0), (-3.0, -0.05)
+#: Elements of running text. Of the hint words these alone make furniture of them: a line may well be called a banner.
+TEXT = frozenset("p h1 h2 h3 h4 h5 h6 span b i em strong blockquote pre dt dd figcaption".split())
+PLAIN_HINTS = frozenset(
+    "ad ads adv advert adverts advertisement advertising sponsor sponsored promo promotion cookie cookies consent gdpr newsletter subscribe share sharing social "
+    "related recommended comment comments disqus breadcrumb breadcrumbs".split()
+)
 #: Used where no page marks its article.
 DEFAULT_WEIGHTS = {WORD: 0.7, SKIP: -6.0, HINT: -3.0, "a": -1.5, "li": -1.5, "ul": -2.0, "div": -1.0, "td": -1.0, "tr": -1.0, "table": -2.0}
 OTHER_TAG = -0.3
@@ -85,7 +96,7 @@ def hint_of(attrs: str, name: str = "div") -> str | None:
 
     The id of a heading or a piece of text is an anchor made of its words, and tells nothing.
     """
-    found = None
+    found, hints = None, PLAIN_HINTS if name in TEXT else HINTS
     for key, value in ATTRIBUTE.findall(attrs):
         key, value = key.lower(), value.strip("\"'").lower()
         if key == "role" and value in ROLES or key == "hidden" or key == "aria-hidden" and value == "true":
@@ -94,9 +105,9 @@ def hint_of(attrs: str, name: str = "div") -> str | None:
             return SKIP
         if key == "class" or key == "id" and name not in ANCHORED:
             for words in (set(re.findall("[a-z0-9]+", x)) for x in value.split()):
-                if words and words <= HINTS:
+                if words and words <= hints:
                     found = NAMED
-                elif not HINTS.isdisjoint(words):
+                elif not hints.isdisjoint(words):
                     found = found or HINT
     return found
 
@@ -142,7 +153,7 @@ def walk(page: str, spare: set[int] | None, stack: list[str], starts: list[int],
             if not skipping:
                 yield WORD, html.unescape(m["text"]), article > 0
             elif lost:
-                yield LOST, m["text"], False
+                yield LOST, html.unescape(m["text"]), article > 0
             continue
         if m["opaque"]:
             if not skipping:
@@ -191,16 +202,25 @@ def walk(page: str, spare: set[int] | None, stack: list[str], starts: list[int],
 
 
 def blocks_and_scores(page: str, weights: dict[str, float]) -> tuple[list[list[str]], list[tuple[int, float]]]:
-    """Texts of the blocks, and (block or -1, score) of each token in page order."""
+    """Texts of the blocks, and (block or -1, score) of each token in page order.
+
+    Words of skipped elements score negative, and words beside the articles of a page that marks some as far below
+    zero as the others above.
+    """
     blocks: list[list[str]] = [[]]
+    found = list(tokens(page, lost=True))
+    marked = any(inside for _, _, inside in found)
     scores = []
-    for kind, text, inside in tokens(page):
+    for kind, text, inside in found:
         if kind == WORD:
             blocks[-1].append(text)
             if n := n_words(text):
-                scores.append((len(blocks) - 1, n * weights[WORD]))
+                scores.append((len(blocks) - 1, n * weights[WORD] * (1 if inside or not marked else -1)))
+            continue
+        if kind == LOST:
+            scores.append((-1, INSIDE_TAG if inside else n_words(text) * weights.get(LOST, -weights[WORD])))
             continue
-        scores.append((-1, INSIDE_TAG if inside else weights.get(kind, OTHER_TAG)))
+        scores.append((-1, INSIDE_TAG if inside else TAG_WEIGHTS[1] if kind in STRUCTURE else weights.get(kind, OTHER_TAG)))
         if kind == "br":
             blocks[-1].append(" ")
         elif kind != HINT and kind not in INLINE:
@@ -210,6 +230,7 @@ def blocks_and_scores(page: str, weights: dict[str, float]) -> tuple[list[list[s
 
 
 def main_text(page: str | None, weights: dict[str, float]) -> str:
+    """The blocks that the run of the highest sum touches, of equal ones the first, without those that score below zero."""
     blocks, scores = blocks_and_scores(page or "", weights)
     best, run, start, span = 0.0, 0.0, 0, None
     for i, (_, score) in enumerate(scores):
@@ -220,8 +241,9 @@ def main_text(page: str | None, weights: dict[str, float]) -> str:
             best, span = run, (start, i)
     if span is None:
         return ""
-    touched = [b for b, _ in scores[span[0] : span[1] + 1] if b >= 0]
-    texts = (" ".join("".join(blocks[b]).split()) for b in range(touched[0], touched[-1] + 1))
+    touched = [(b, score) for b, score in scores[span[0] : span[1] + 1] if b >= 0]
+    beside = {b for b, score in touched if score < 0}
+    texts = (" ".join("".join(blocks[b]).split()) for b in range(touched[0][0], touched[-1][0] + 1) if b not in beside)
     return "\n\n".join(t for t in texts if t)
 
 
@@ -230,14 +252,14 @@ def learned_weights(pages: DataFrame) -> dict[str, float]:
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         counts: Counter = Counter()
-        known = BLOCKS | INLINE | VOID | {SKIP, HINT, WORD, "article"}
+        known = BLOCKS | INLINE | VOID | {SKIP, HINT, WORD}
         for b in batches:
             for page in b.column(0).to_pylist():
                 if page and len(re.findall(r"<article\b", page, re.I)) == 1:
                     for kind, text, inside in tokens(page, lost=True):
                         if kind == LOST:
-                            counts[WORD, False] += n_words(text)
-                        else:
+                            counts[LOST, False] += n_words(text)  # also within the article: they are none of its text
+                        elif kind not in STRUCTURE:
                             counts[kind if kind in known else "#other", inside] += n_words(text) if kind == WORD else 1
         keys = list(counts)
         yield pa.RecordBatch.from_arrays(
@@ -253,7 +275,8 @@ def learned_weights(pages: DataFrame) -> dict[str, float]:
     out = {}
     for k in kinds:
         ratio = math.log((n.get((k, True), 0) + 1) / (total[True] + len(kinds))) - math.log((n.get((k, False), 0) + 1) / (total[False] + len(kinds)))
-        out[k] = max(ratio, 0.05) if k == WORD else min(ratio, -0.05)
+        least, most = {WORD: WORD_WEIGHTS, LOST: (-WORD_WEIGHTS[1], -WORD_WEIGHTS[0])}.get(k, TAG_WEIGHTS)
+        out[k] = min(max(ratio, least), most)
     return out
 
 

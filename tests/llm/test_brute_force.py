@@ -199,6 +199,37 @@ def test_article_parts_are_kept_whatever_they_are_called(spark):
         assert part in text
 
 
+def test_words_beside_articles_score_negative():
+    weights = html_content.DEFAULT_WEIGHTS
+    beside = "<div>a word or two beside</div>"
+    parts = "<article><h1>First</h1><p>alpha beta gamma delta epsilon zeta eta theta iota</p></article>", "<article><h1>Second</h1><p>one two three four five six</p></article>"
+    page = f"<body><nav><a>menu one</a></nav>{beside}{parts[0]}{{}}{parts[1]}{beside}<footer>foot</footer></body>"
+    first, second = "First\n\nalpha beta gamma delta epsilon zeta eta theta iota", "Second\n\none two three four five six"
+    # A gap of few words is bridged, its words are none of the text; over a long one the better part counts.
+    assert html_content.main_text(page.format(""), weights) == html_content.main_text(page.format("<div>a teaser here</div>"), weights) == f"{first}\n\n{second}"
+    assert html_content.main_text(page.format(f"<div>{'long gap ' * 20}</div>"), weights) == first
+    assert html_content.main_text(page.format(f"<aside>{'long gap ' * 20}</aside>"), weights) == first
+    # Of runs that tie the first counts.
+    tie = "<body><p>one two three</p><nav>a b c d e f g</nav><p>uno dos tres</p></body>"
+    assert html_content.main_text(tie, weights) == "one two three"
+
+
+def test_the_scan_finds_articles_without_their_mark(spark, sf_pages=600):
+    pages = spark.read.parquet("/root/testdata/sf0.1/pages.parquet").orderBy("page_id").limit(sf_pages)
+    weights = html_content.learned_weights(pages)
+    marked = [r["html"] for r in pages.select("html").collect()]
+    same = [html_content.main_text(x, weights) == html_content.main_text(re.sub("</?article[^>]*>", "", x), weights) for x in marked]
+    assert sum(same) >= 0.95 * len(same)
+
+
+def test_pages_of_every_size(spark):
+    long = "<body><nav>menu</nav><p>" + "</p><p>".join(f"line {i} of it" for i in range(60_000)) + "</p><footer>f</footer></body>"
+    pages = spark.createDataFrame([(1, None, None), (2, "u", ""), (3, "u", long), (3, "u", long)], "page_id long, url string, html string")
+    got = html_content.extract(pages.withColumn("text", F.lit("x"))).collect()
+    assert sorted((r["page_id"], r["n_chars"], r["text"].count("\n\n")) for r in got) == [(1, 0, 0), (2, 0, 0), *[(3, len("\n\n".join(f"line {i} of it" for i in range(60_000))), 59_999)] * 2]
+    assert html_content.extract(pages.limit(0)).count() == 0
+
+
 def test_language_is_told_and_partitions_do_not_matter(spark):
     rng = random.Random(4)
     kinds = {"aa": "bcdfg", "bb": "hjklm", "cc": "npqrs"}
