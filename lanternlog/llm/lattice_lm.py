@@ -10,7 +10,7 @@ All recursions run in log space, on words of one length at a time.
 
 Within a text the lattice of the next word gains arcs for the words before it: one weighted by how
 often the word came so far, one by how often it followed the same word. Both are Dirichlet priors
-around the arcs above, so the sum stays one; a text's probability is the mean over ``PRIORS`` (one pair of strengths by default).
+around the arcs above, so the sum stays one; a text's probability is the mean over the pairs of strengths in ``PRIORS``.
 
 Words are counted by Spark over all documents. To score, each block of documents gets the counts
 and probabilities of just its own distinct words by a join, so no table of all words is ever held
@@ -34,8 +34,12 @@ from .tokens import vocabulary_path
 
 PIECES, WORD_MARK, BLOCK_CHARS = "piece_bpe_32k.model", "▁", 16_000_000
 FLOOR = 0.01
+#: Times the mean length from which on a text is dealt with others of its length.
+LONG = 8
 #: Strengths (in words) of the corpus against the text so far, and of both against what followed the same word.
-PRIORS = ((500,), (50,))
+PRIORS = ((100, 1000, 10_000, 100_000), (5, 2000))
+#: Least log-probability that sums with counts as a plain number.
+SMALL = -600.0
 U = np.uint64
 
 
@@ -198,24 +202,33 @@ def in_context(at: np.ndarray, lp: np.ndarray, priors: tuple[tuple[float, ...],
     if not len(at):
         return 0.0
     before = np.concatenate([[-1], at[:-1]])
-    with np.errstate(divide="ignore"):
-        word, pair = np.log(earlier(at)), np.log(earlier((before + 1) * (at.max() + 2) + at))
+    word, pair = earlier(at).astype(float), earlier((before + 1) * (at.max() + 2) + at).astype(float)
     so_far, followed, totals = np.arange(len(at)), earlier(before), []
+    # Sums of counts and priors need no logarithms. What is too small for a number is put apart; it only matters where no count is.
+    own, small = np.exp(np.maximum(lp, SMALL)), (lp < SMALL) & (word == 0)
+    apart = (lp[small] - SMALL).sum()
     for mu in priors[0]:
-        one = np.logaddexp(word, lp + np.log(mu)) - np.log(so_far + mu)
-        totals += [(np.logaddexp(pair, one + np.log(nu)) - np.log(followed + nu)).sum() for nu in priors[1]]
+        one = (word + mu * own) / (so_far + mu)
+        totals += [apart + np.log((pair + nu * one) / (followed + nu)).sum() for nu in priors[1]]
     return float(np.logaddexp.reduce(totals) - np.log(len(totals)))
 
 
 def with_blocks(docs: DataFrame, block_chars: int) -> DataFrame:
-    """(doc_id, text, learn, block): blocks are runs of rows of a file, about ``block_chars`` long."""
+    """(doc_id, text, learn, block): blocks are runs of rows of a file, about ``block_chars`` long.
+
+    A run has as many rows as would be ``block_chars`` at the mean length. Texts of over ``LONG`` times the mean go to blocks
+    of texts of their own length, whose runs have accordingly fewer rows, so no block holds more than ``LONG`` * ``block_chars``
+    and a longer text is alone.
+    """
     try:
         stored = docs.select("doc_id", whole_text().alias("text"), "_metadata.file_path", "_metadata.row_index")
     except AnalysisException:  # not read from files: write it
         stored = materialize(docs.select("doc_id", "text"), "docs").select("doc_id", whole_text().alias("text"), "_metadata.file_path", "_metadata.row_index")
     mean = stored.agg(F.avg(F.octet_length("text"))).first()[0] or 1
-    rows = max(1, int(block_chars / max(mean, 1)))
-    return stored.select("doc_id", "text", (fold(F.col("doc_id"), 7) != 2).alias("learn"), F.xxhash64("file_path", F.floor(F.col("row_index") / rows)).alias("block"))
+    rows, times = max(1, int(block_chars / max(mean, 1))), F.octet_length("text") / max(mean, 1)
+    size = F.when(times > LONG, F.ceil(F.log2(times))).otherwise(0)
+    run = F.floor(F.col("row_index") / F.greatest(F.lit(1), F.floor(rows / F.pow(F.lit(2), size))))
+    return stored.select("doc_id", "text", (fold(F.col("doc_id"), 7) != 2).alias("learn"), F.xxhash64("file_path", size, run).alias("block"))
 
 
 def block_words(blocked: DataFrame) -> DataFrame:
@@ -266,7 +279,7 @@ def trained_pieces(words: DataFrame, rounds: int, vocabulary: str) -> np.ndarray
     return logp
 
 
-def score_documents(docs: DataFrame, rounds: int = 1, vocabulary: str = PIECES, block_chars: int = BLOCK_CHARS) -> DataFrame:
+def score_documents(docs: DataFrame, rounds: int = 2, vocabulary: str = PIECES, block_chars: int = BLOCK_CHARS) -> DataFrame:
     """Per row: doc_id, held_out, n_tokens, n_known, train_tokens, base_score, score, bits_per_byte.
 
     Rows whose crc32(doc_id) mod 7 is not 2 are learned from. A null or empty text is the end

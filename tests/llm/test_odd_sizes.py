@@ -11,7 +11,7 @@ import pytest
 from pyspark.sql import functions as F
 from tokenizers import Tokenizer
 
-from lanternlog.llm import chunk_dedup, jaccard_join, langid, packing, pii, token_shards, toxicity
+from lanternlog.llm import chunk_dedup, jaccard_join, langid, lattice_lm, packing, pii, token_shards, toxicity
 from lanternlog.llm.tokens import vocabulary_path
 
 ALPHABET = [a + b for a in "bdfgklmnprst" for b in ("a", "e", "i", "o", "u", "an", "el")]
@@ -152,3 +152,36 @@ def test_pipeline_equals_plain_python(spark, tmp_path, long_text):
     shutil.rmtree(none / "benchmark.parquet")
     shutil.copytree(tmp_path / "benchmark.parquet", none / "benchmark.parquet")
     assert corpus_pipeline.run(spark, str(none)).count() == 0
+
+
+def test_context_by_the_definition():
+    """Each word's probability from counts so far, in logarithms and one by one, also where probabilities are below any number."""
+    rng = random.Random(6)
+    for n, words in ((0, 1), (1, 1), (40, 6), (300, 30)):
+        at = np.array([rng.randrange(words) for _ in range(n)], np.int64)
+        lp = np.array([rng.choice([-1.0, -9.5, -700.0, -3000.0]) for _ in range(words)])
+        priors, totals = ((3.0, 70.0), (2.0, 900.0)), []
+        for mu in priors[0]:
+            for nu in priors[1]:
+                total = 0.0
+                for i, w in enumerate(at.tolist()):
+                    before = [x for k, x in enumerate(at[:i].tolist()) if k and at[k - 1] == at[i - 1]] if i else []
+                    starts = int((at[: i - 1] == at[i - 1]).sum()) if i else 0
+                    n_before = int((at[:i] == w).sum())
+                    one = np.logaddexp(np.log(n_before) if n_before else -np.inf, lp[w] + np.log(mu)) - np.log(i + mu)
+                    pairs = before.count(w)
+                    total += np.logaddexp(np.log(pairs) if pairs else -np.inf, one + np.log(nu)) - np.log(starts + nu)
+                totals.append(total)
+        want = np.logaddexp.reduce(totals) - np.log(4) if n else 0.0
+        assert abs(lattice_lm.in_context(at, lp[at], priors) - want) < 1e-6 * max(1, abs(want))
+
+
+def test_blocks_are_bounded_by_bytes(spark, tmp_path):
+    rng = random.Random(7)
+    sizes = [rng.choice([10, 100, 300]) for _ in range(3000)] + [20_000] * 40 + [rng.choice([5, 60_000, 200_000]) for _ in range(60)] + [50] * 500
+    spark.createDataFrame([(i, "x" * n) for i, n in enumerate(sizes)], "doc_id long, text string").coalesce(1).write.parquet(str(tmp_path / "t"))
+    docs = spark.read.parquet(str(tmp_path / "t"))
+    for limit in (20_000, 100_000, 1_000_000):
+        held = lattice_lm.with_blocks(docs, limit).groupBy("block").agg(F.sum(F.length("text")).alias("bytes"), F.count("*").alias("n")).collect()
+        assert sum(r["n"] for r in held) == len(sizes)
+        assert all(r["bytes"] <= lattice_lm.LONG * limit or r["n"] == 1 for r in held)
