@@ -1,7 +1,9 @@
 """Training-order materialisation: token sequences in a keyed random order, in fixed-stride shards.
 
-Documents follow each other, each closed by the end id, and are cut every ``length`` ids, so only a
-task's last sequence is padded. Every sequence has an index from 0 to N-1. A Feistel network keyed
+Documents follow each other, each closed by the end id, and are cut every ``length`` ids. They follow
+each other as they lie in the tasks that read them, so the sequences hang on the input's splits, and a
+task's last one is padded; with ``repeatable`` they follow each other by doc_id and text over the whole table,
+so the same documents give the same sequences and slots on any cluster, for one move of the ids more. Every sequence has an index from 0 to N-1. A Feistel network keyed
 with ``seed`` permutes the next power of four; walking its cycles until a value below N is met
 permutes 0..N-1 itself. The result is the sequence's global slot: step k of a training run reads
 slot k, whatever the cluster. Range partitions of slots write shards of ``shard_slots`` sequences;
@@ -21,11 +23,12 @@ from collections.abc import Iterator
 import numpy as np
 import pandas as pd
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import Window
 
-from .common import checked_broadcast, materialize, scratch, scratch_root
+from .common import checked_broadcast, materialize, scratch, scratch_root, text_hash
 from .packing import END_ID
 from .tokens import DEFAULT_VOCABULARY, UnitTokenizer
 
@@ -125,8 +128,87 @@ def with_slots(stored: DataFrame, seed: int) -> tuple[DataFrame, int]:
     return placed.select(slot(F.col("first") + F.col("at")).alias("slot"), packed("ids").alias("ids"), F.octet_length("ids").alias("bytes"), "pieces"), n
 
 
+def ordered_ids(docs: DataFrame, vocabulary: str) -> DataFrame:
+    """(part, start, doc_id, ids): documents by doc_id and text in ranges, with the number of ids before them in their range."""
+    end = np.array([END_ID], dtype="<u2").tobytes()
+
+    def encode(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        tokenizer = UnitTokenizer(vocabulary)
+        for b in batches:
+            ids = [x + end for x in tokenizer.ids(b.column(2).to_pylist())]
+            yield pa.RecordBatch.from_arrays([b.column(0), b.column(1), pa.array(ids, pa.binary())], ["doc_id", "key", "ids"])
+
+    def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        total = 0
+        for b in batches:
+            sizes = pc.binary_length(b.column("ids")).to_numpy().astype(np.int64) // 2
+            starts = total + np.cumsum(sizes) - sizes
+            total += int(sizes.sum())
+            yield pa.RecordBatch.from_arrays([b.column("part"), pa.array(starts), b.column("doc_id"), b.column("ids")], ["part", "start", "doc_id", "ids"])
+
+    given = docs.select(F.col("doc_id").cast("long"), text_hash().alias("key"), F.col("text").cast("string"))
+    ranged = given.mapInArrow(encode, "doc_id long, key string, ids binary").repartitionByRange("doc_id", "key").sortWithinPartitions("doc_id", "key")
+    return ranged.withColumn("part", F.spark_partition_id()).mapInArrow(count, "part int, start long, doc_id long, ids binary")
+
+
+def ordered_pieces(stored: DataFrame, length: int, seed: int) -> tuple[DataFrame, int]:
+    """(slot, ids, piece) of each document's part in a sequence, of ``ordered_ids``, and the number of sequences."""
+    sizes = materialize(stored.groupBy("part").agg(F.max(F.col("start") + F.octet_length("ids") / 2).cast("long").alias("size")), "sizes")  # one row a range
+    ids = sizes.agg(F.sum("size")).first()[0] or 0
+    n = -(-ids // length)
+    first = sizes.select("part", (F.sum("size").over(Window.orderBy("part")) - F.col("size")).alias("first"))
+
+    def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for b in batches:
+            rows = []
+            for doc_id, at, raw in zip(*(b.column(c).to_pylist() for c in ("doc_id", "start", "ids")), strict=True):
+                done, piece, size = 0, 0, len(raw) // 2
+                while done < size:
+                    index, offset = divmod(at + done, length)
+                    many = min(length - offset, size - done)
+                    part = raw[2 * done : 2 * (done + many)]
+                    rows.append((index, part, doc_id, piece, done, many, offset, crc(np.frombuffer(part, "<u2"))))
+                    done, piece = done + many, piece + 1
+            if rows:
+                index, parts, *piece = zip(*rows, strict=True)
+                types = (pa.int64(), pa.int32(), *[pa.int64()] * 4)
+                struct = pa.StructArray.from_arrays([pa.array(c, t) for c, t in zip(piece, types, strict=True)], ["doc_id", "piece", "start", "length", "offset", "ids_crc32"])
+                slots = feistel(np.array(index, np.int64), n, seed)
+                yield pa.RecordBatch.from_arrays([pa.array(slots), pa.array(parts, pa.binary()), struct], ["slot", "ids", "piece"])
+
+    placed = stored.join(checked_broadcast(materialize(first, "first")), "part").select("doc_id", (F.col("first") + F.col("start")).alias("start"), "ids")
+    return placed.mapInArrow(cut, f"slot long, ids binary, piece {PIECE}"), n
+
+
+def whole_sequences(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Rows of one slot (slot, shard, ids, piece), which follow each other by their offsets, as one (slot, shard, ids: zstd, bytes, pieces)."""
+    codec, rows = pa.Codec("zstd"), []
+    slot, shard, held, pieces = None, None, bytearray(), []
+
+    def batch() -> pa.RecordBatch:
+        types = [pa.int64(), pa.int64(), pa.binary(), pa.int64(), pa.list_(pa.struct([("doc_id", pa.int64()), ("piece", pa.int32()), *((c, pa.int64()) for c in ("start", "length", "offset", "ids_crc32"))]))]
+        out = pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(zip(*rows, strict=True), types, strict=True)], ["slot", "shard", "ids", "bytes", "pieces"])
+        rows.clear()
+        return out
+
+    for b in batches:
+        for s, d, ids, piece in zip(*(b.column(c).to_pylist() for c in ("slot", "shard", "ids", "piece")), strict=True):
+            if s != slot and held:
+                rows.append((slot, shard, codec.compress(bytes(held), asbytes=True), len(held), pieces))
+                held, pieces = bytearray(), []
+                if len(rows) >= 1024:
+                    yield batch()
+            slot, shard = s, d
+            held += ids
+            pieces.append(piece)
+    if held:
+        rows.append((slot, shard, codec.compress(bytes(held), asbytes=True), len(held), pieces))
+    if rows:
+        yield batch()
+
+
 def write_shards(
-    docs: DataFrame, path: str, seed: int, length: int = LENGTH, shard_slots: int = SHARD_SLOTS, vocabulary: str = DEFAULT_VOCABULARY
+    docs: DataFrame, path: str, seed: int, length: int = LENGTH, shard_slots: int = SHARD_SLOTS, vocabulary: str = DEFAULT_VOCABULARY, repeatable: bool = False
 ) -> DataFrame:
     """Write all sequences of ``docs`` to ``path`` and return where each piece of a document went.
 
@@ -134,18 +216,23 @@ def write_shards(
     length in the document's ids, slot, shard, byte_offset of its first id in the shard, ids_crc32
     (of its ids as uint32). The files are ``shard-<number>.u16``. A task writes under names of its
     own in ``_open`` and renames at the end, so a repeated or lost task leaves no broken shard;
-    ``_open`` goes at the end. Shards are written once, here; reading the result writes nothing.
+    ``_open`` goes at the end. With ``repeatable`` the order of the documents, and so every slot, hangs on the table's
+    rows alone. Shards are written once, here; reading the result writes nothing.
     A null or empty text is the end id alone, a text of any length is cut where a sequence ends,
     rows that repeat a doc_id are documents each, other columns are ignored; an empty table writes nothing.
     """
     spark = docs.sparkSession
     with scratch(spark) as keep:
-        placed, n = with_slots(materialize(sequences(docs, length, vocabulary), "sequences", "zstd"), seed)
+        if repeatable:
+            placed, n = ordered_pieces(materialize(ordered_ids(docs, vocabulary), "ordered", "zstd"), length, seed)
+        else:
+            placed, n = with_slots(materialize(sequences(docs, length, vocabulary), "sequences", "zstd"), seed)
         shards = max(1, -(-n // shard_slots))
         parts, shard = min(shards, 4096), F.floor(F.col("slot") / shard_slots)
         # Ranges of slots: a shard lies within one task, neighbours lie together.
-        ordered = placed.withColumn("shard", shard).repartitionById(parts, F.floor(F.col("shard") * parts / shards).cast("int")).sortWithinPartitions("slot")
-        written = keep(ordered.mapInArrow(shard_writer(path, length), f"slot long, shard long, pieces array<{PIECE}>"), "places")
+        ordered = placed.withColumn("shard", shard).repartitionById(parts, F.floor(F.col("shard") * parts / shards).cast("int")).sortWithinPartitions(*(["slot", "piece.offset"] if repeatable else ["slot"]))
+        write = shard_writer(path, length)
+        written = keep(ordered.mapInArrow((lambda batches: write(whole_sequences(batches))) if repeatable else write, f"slot long, shard long, pieces array<{PIECE}>"), "places")
     if n:
         system, root = file_system(path)
         system.delete_dir(f"{root}/_open")

@@ -185,3 +185,25 @@ def test_blocks_are_bounded_by_bytes(spark, tmp_path):
         held = lattice_lm.with_blocks(docs, limit).groupBy("block").agg(F.sum(F.length("text")).alias("bytes"), F.count("*").alias("n")).collect()
         assert sum(r["n"] for r in held) == len(sizes)
         assert all(r["bytes"] <= lattice_lm.LONG * limit or r["n"] == 1 for r in held)
+
+
+def test_repeatable_shards_hang_on_the_rows_alone(spark, tmp_path):
+    rng = random.Random(9)
+    texts = [prose(rng, rng.choice([0, 1, 40, 700, 2500])) for _ in range(150)] + [None, "", "same", "same"]
+    rows = [(i if i < 152 else 152, t) for i, t in enumerate(texts)] + [(None, "no id"), (3, "other text of three")]
+    whole, seen = Tokenizer.from_file(vocabulary_path("word_bpe_49k.json")), []
+    for parts in (2, 5, 11):
+        rng.shuffle(rows)
+        path = str(tmp_path / f"p{parts}")
+        docs = spark.createDataFrame(rows, "doc_id long, text string").repartition(parts)
+        got = token_shards.write_shards(docs, path, seed=11, length=256, shard_slots=8, repeatable=True).collect()
+        n = 1 + max(r["slot"] for r in got)
+        stored = np.stack(list(token_shards.read_slots(path, 0, n, length=256, shard_slots=8)))
+        seen.append((sorted(map(str, got)), stored.tobytes()))
+        ids = sum(len(whole.encode(t or "", add_special_tokens=False).ids) + 1 for _, t in rows)
+        assert n == -(-ids // 256) and sum(r["length"] for r in got) == ids  # the last sequence alone is padded
+        for r in got:
+            at = (r["byte_offset"] % 512) // 2
+            assert token_shards.crc(stored[r["slot"]][at : at + r["length"]]) == r["ids_crc32"]
+    assert seen[0] == seen[1] == seen[2]
+    assert token_shards.write_shards(docs.limit(0), str(tmp_path / "none"), seed=5, repeatable=True).count() == 0
