@@ -6,7 +6,7 @@ piece over all segmentations of every distinct training word. A word is a path o
 begins with the word mark; a word seen in training has one arc more, from end to end, weighted by
 its count. What the lattice keeps for its pieces is the share of words seen once (Good-Turing). A
 text is its words and one end; its probability is the product, and over all texts it sums to one.
-All recursions run in log space, on words of one length at a time.
+The recursion that scores runs in log space, on words of one length at a time; the one that counts in plain numbers where they hold it.
 
 Within a text the lattice of the next word gains arcs for the words before it: one weighted by how
 often the word came so far, one by how often it followed the same word. Both are Dirichlet priors
@@ -35,11 +35,13 @@ from .tokens import vocabulary_path
 PIECES, WORD_MARK, BLOCK_CHARS = "piece_bpe_32k.model", "▁", 16_000_000
 FLOOR = 0.01
 #: Times the mean length from which on a text is dealt with others of its length.
-LONG = 8
+LONG = 16
 #: Strengths (in words) of the corpus against the text so far, and of both against what followed the same word.
 PRIORS = ((100, 1000, 10_000, 100_000), (5, 2000))
 #: Least log-probability that sums with counts as a plain number.
 SMALL = -600.0
+#: Least probability of a word that sums of products give exactly enough.
+LEAST = 1e-250
 U = np.uint64
 
 
@@ -89,13 +91,21 @@ class Lattice:
         return int(mix(np.array([h], U))[0])
 
     def find(self, h: np.ndarray) -> np.ndarray:
+        """Piece id of each hash, -1 without one; only places taken by another piece are looked at again."""
         key = mix(h)
-        at, out = key & self.mask, np.full(h.shape, -1, np.int32)
-        for _ in range(self.probes):
-            hit = (self.keys[at] == key) & (self.ids[at] >= 0)
-            out[hit] = self.ids[at][hit]
+        at = key & self.mask
+        ids = self.ids[at]
+        out = np.where(self.keys[at] == key, ids, -1).ravel()
+        left = np.flatnonzero((ids.ravel() >= 0) & (out < 0))
+        key, at = key.ravel()[left], at.ravel()[left]
+        for _ in range(self.probes - 1):
             at = (at + U(1)) & self.mask
-        return out
+            ids = self.ids[at]
+            hit = (self.keys[at] == key) & (ids >= 0)
+            out[left[hit]] = ids[hit]
+            again = ~hit & (ids >= 0)
+            left, key, at = left[again], key[again], at[again]
+        return out.reshape(h.shape)
 
     def arcs(self, points: np.ndarray) -> list[np.ndarray]:
         """For words of one length (rows of code points): piece ids by arc length, -1 where there is none."""
@@ -161,24 +171,58 @@ class Lattice:
         return -float(np.log(np.exp(logp[self.opening]).sum())) + float(np.log1p(-np.exp(logp[~self.opening]).sum()))
 
     def expected(self, words: list[str], logp: np.ndarray) -> np.ndarray:
-        """Expected uses of each piece in all segmentations of ``words``."""
+        """Expected uses of each piece in all segmentations of ``words``.
+
+        Sums of products of plain probabilities; words that are too improbable for a number go by logarithms.
+        """
         out, logp = np.zeros(self.size + 1), np.append(logp, -np.inf)
+        p = np.exp(logp)
         for at, points in self.by_length(words):
             arcs = self.arcs(points)
             extra, parts = self.spelled(points, arcs, logp)
-            alpha, beta = self.forward(arcs, extra, logp), self.backward(arcs, extra, logp)
-            weight = -alpha[-1]
-            length = points.shape[1]
+            own, (n, length) = np.exp(extra), points.shape
+            steps = [p[ids] for ids in arcs]
+            steps[0] = steps[0] + own  # a character has a piece of its own or is spelled
+            alpha, beta = np.zeros((length + 1, n)), np.zeros((length + 1, n))
+            alpha[0] = beta[length] = 1
+            for e in range(1, length + 1):
+                for s in range(1, min(e, len(steps)) + 1):
+                    alpha[e] += alpha[e - s] * steps[s - 1][:, e - s]
+            sure = alpha[-1] > LEAST
+            if not sure.all():
+                out += self.expected_by_logarithms(points[~sure], logp)
+                if not sure.any():
+                    continue
+            for b in range(length - 1, -1, -1):
+                for s in range(1, min(length - b, len(steps)) + 1):
+                    beta[b] += beta[b + s] * steps[s - 1][:, b]
+            weight = np.where(sure, 1 / np.where(sure, alpha[-1], 1), 0)
             for s, ids in enumerate(arcs, 1):
-                for b in range(length - s + 1):
-                    use = np.exp(alpha[b] + logp[ids[:, b]] + beta[b + s] + weight)
-                    out += np.bincount(ids[:, b] % (self.size + 1), use, self.size + 1)
+                use = alpha[: length - s + 1] * p[ids].T * beta[s:] * weight
+                out += np.bincount((ids % (self.size + 1)).ravel(), use.T.ravel(), self.size + 1)
             for c, ids in parts.items():
-                use = np.exp(alpha[:-1].T + extra + beta[1:].T + weight[:, None])[(points == U(c)) & np.isfinite(extra)].sum()
+                use = (alpha[:-1].T * own * beta[1:].T * weight[:, None])[(points == U(c)) & (own > 0)].sum()
                 for i in ids:
                     out[i] += use
         return out[:-1]
 
+    def expected_by_logarithms(self, points: np.ndarray, logp: np.ndarray) -> np.ndarray:
+        """As ``expected`` for words of one length, with a last entry for no piece."""
+        out, arcs = np.zeros(self.size + 1), self.arcs(points)
+        extra, parts = self.spelled(points, arcs, logp)
+        alpha, beta = self.forward(arcs, extra, logp), self.backward(arcs, extra, logp)
+        weight = -alpha[-1]
+        length = points.shape[1]
+        for s, ids in enumerate(arcs, 1):
+            for b in range(length - s + 1):
+                use = np.exp(alpha[b] + logp[ids[:, b]] + beta[b + s] + weight)
+                out += np.bincount(ids[:, b] % (self.size + 1), use, self.size + 1)
+        for c, ids in parts.items():
+            use = np.exp(alpha[:-1].T + extra + beta[1:].T + weight[:, None])[(points == U(c)) & np.isfinite(extra)].sum()
+            for i in ids:
+                out[i] += use
+        return out
+
 
 def log_sum(paths: list[np.ndarray]) -> np.ndarray:
     all_ = np.stack(paths)

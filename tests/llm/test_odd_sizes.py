@@ -207,3 +207,13 @@ def test_repeatable_shards_hang_on_the_rows_alone(spark, tmp_path):
             assert token_shards.crc(stored[r["slot"]][at : at + r["length"]]) == r["ids_crc32"]
     assert seen[0] == seen[1] == seen[2]
     assert token_shards.write_shards(docs.limit(0), str(tmp_path / "none"), seed=5, repeatable=True).count() == 0
+
+
+def test_expected_uses_by_numbers_and_by_logarithms():
+    rng = random.Random(4)
+    lattice = lattice_lm.Lattice()
+    words = [prose(rng, 1) + rng.choice(["", ".", "ing", "ЖЖ", "7", "é"]) for _ in range(300)] + ["语" * 40, "😀" * 30, "Ж" * 200, "a" * 900, "", "x"]
+    got, want = lattice.expected(words, lattice.start), np.zeros(lattice.size + 1)
+    for _, points in lattice.by_length(words):
+        want += lattice.expected_by_logarithms(points, np.append(lattice.start, -np.inf))
+    assert np.allclose(got, want[:-1], rtol=1e-9, atol=1e-12) and got.sum() > 600
