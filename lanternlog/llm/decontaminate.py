@@ -145,9 +145,13 @@ def leaks(docs: DataFrame, items: DataFrame, window: int, literals: int, coverag
             of(window, F.transform(template_hashes(canon, window), lambda h, i: place(i + 1, h))),
             of(window, F.transform(wordless(canon, window, literals), lambda p: place(p, values_hash(raw, p, window)))),
         ]
-        starts = lambda size: F.sequence(F.lit(1), F.size(canon) - size + 1)
-        found += [of(size, F.transform(starts(size), lambda p, size=size: place(p, F.xxhash64(F.lit("whole"), F.slice(raw, p, size))))) for size in sorted(lengths)]
-        return F.concat(*found)
+
+        def whole_items(size: int) -> Column:
+            # The size comes from around the lambda: Spark hands a second parameter of its own, the index, even to one with a default.
+            starts = F.sequence(F.lit(1), F.size(canon) - size + 1)
+            return of(size, F.transform(starts, lambda p: place(p, F.xxhash64(F.lit("whole"), F.slice(raw, p, size)))))
+
+        return F.concat(*found, *(whole_items(size) for size in sorted(lengths)))
 
     def windows(some: DataFrame) -> DataFrame:
         tokens = F.struct(canon_tokens(whole_text()).alias("canon"), raw_tokens(whole_text()).alias("raw"))

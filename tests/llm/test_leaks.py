@@ -159,3 +159,18 @@ def test_parts_and_insertions_are_found(spark):
     for others in ((), (short,), (seven,)):
         items = spark.createDataFrame([(i, " ".join(w)) for i, w in enumerate((alone, *others))], "item_id long, text string")
         assert {r["doc_id"] for r in decontaminate.find_leaks(docs, items).collect() if r["item_id"] == 0} == want
+
+
+def test_short_items_of_both_sizes_are_found_at_every_place(spark):
+    texts = {0: "Is 7 prime?", 1: "Name two rivers here", 2: "Is 8 odd?"}
+    items = spark.createDataFrame(list(texts.items()), "item_id long, text string")
+    rows, want = [], set()
+    for offset in range(12):
+        head = " ".join(WORDS[:offset])
+        for item in (0, 1):
+            rows.append((len(rows), f"{head} {texts[item]} {WORDS[-1]}"))
+            want.add((rows[-1][0], item))
+        rows.append((len(rows), f"{head} is 9 prime? name three rivers here"))
+    rows.append((len(rows), "Is 7"))
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    assert {(r["doc_id"], r["item_id"]) for r in decontaminate.find_leaks(docs, items).collect()} == want
