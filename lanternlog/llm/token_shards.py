@@ -30,9 +30,11 @@ from pyspark.sql import Window
 
 from .common import checked_broadcast, materialize, scratch, scratch_root, text_hash
 from .packing import END_ID
-from .tokens import DEFAULT_VOCABULARY, UnitTokenizer
+from .tokens import DEFAULT_VOCABULARY, worker_tokenizer
 
 LENGTH, SHARD_SLOTS, PAD_ID, ROUNDS = 1024, 4096, 0, 6
+#: Units a worker remembers over its tasks, about 160 bytes each.
+REMEMBERED = 900_000
 PIECE = "struct<doc_id: bigint, piece: int, start: bigint, length: bigint, offset: bigint, ids_crc32: bigint>"
 
 
@@ -72,7 +74,7 @@ def sequences(docs: DataFrame, length: int, vocabulary: str) -> DataFrame:
     end = np.array([END_ID], dtype="<u2").tobytes()
 
     def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        tokenizer, task, at = UnitTokenizer(vocabulary), TaskContext.get().partitionId(), 0
+        tokenizer, task, at = worker_tokenizer(vocabulary, REMEMBERED), TaskContext.get().partitionId(), 0
         held, pieces, full, lists = bytearray(), [], [], []
 
         def rows() -> pa.RecordBatch:
@@ -133,7 +135,7 @@ def ordered_ids(docs: DataFrame, vocabulary: str) -> DataFrame:
     end = np.array([END_ID], dtype="<u2").tobytes()
 
     def encode(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        tokenizer = UnitTokenizer(vocabulary)
+        tokenizer = worker_tokenizer(vocabulary, REMEMBERED)
         for b in batches:
             ids = [x + end for x in tokenizer.ids(b.column(2).to_pylist())]
             yield pa.RecordBatch.from_arrays([b.column(0), b.column(1), pa.array(ids, pa.binary())], ["doc_id", "key", "ids"])

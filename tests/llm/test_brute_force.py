@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 from tokenizers import Tokenizer
 
 from lanternlog.llm import chunk_dedup, decontaminate, html_content, jaccard_join, langid, lattice_lm, packing, pii, token_shards, toxicity
-from lanternlog.llm.tokens import UnitTokenizer, vocabulary_path
+from lanternlog.llm.tokens import UnitTokenizer, vocabulary_path, worker_tokenizer
 
 
 def prose(rng, n, letters="abcdefghij"):
@@ -114,6 +114,32 @@ def test_ids_are_the_tokenizers():
         assert np.frombuffer(next(own.ids([text])), "<u2").tolist() == whole.encode(text, add_special_tokens=False).ids, text
 
 
+def test_ids_stay_the_tokenizers_while_units_are_forgotten():
+    whole = Tokenizer.from_file(vocabulary_path("word_bpe_49k.json"))
+    words = ["Éier", "\u00c8ellevique", "\u039f\u0394\u039f\u03a3", "\u03c3\u03af\u03c3\u03c5\u03c6\u03bf\u03c2.", "\u0130stanbul", "\u01c5", "STRASSE", "Stra\u00dfe", "\u1e9e", "E\u0301t\u00e9", "thea", "it's", "'s", "l'\u00c9t\u00e9's", "\u041c\u0418\u0420", "\u65e5\u672c", "3a", "\u00aa"]
+    units = [w + tail for w in words for tail in ("", ".", ",!!", "$$$", "'", "'.", "<|", "-x")]
+    for memory in (2, 7, 50, 10_000):
+        own = UnitTokenizer(memory=memory)
+        for text in [*units, " ".join(units), *reversed(units)]:
+            assert np.frombuffer(next(own.ids([text])), "<u2").tolist() == whole.encode(text, add_special_tokens=False).ids, (memory, text)
+        assert len(own) + len(own.older) <= memory + 2
+
+
+def test_known_units_are_not_looked_up_again(monkeypatch):
+    asked = []
+    look = UnitTokenizer.looked_up
+    monkeypatch.setattr(UnitTokenizer, "looked_up", lambda self, unit: asked.append(unit) or look(self, unit))
+    own = UnitTokenizer(memory=20)
+    for i in range(60):  # a frequent unit among new ones
+        list(own.ids(["often " + "".join(chr(97 + int(c)) for c in str(i))]))
+    assert asked.count(b"often") == 1
+    worker_tokenizer.cache_clear()
+    list(worker_tokenizer("word_bpe_49k.json", 100).ids(["first task"]))
+    list(worker_tokenizer("word_bpe_49k.json", 100).ids(["task first"]))
+    assert asked.count(b"task") == asked.count(b"first") == 1
+    worker_tokenizer.cache_clear()
+
+
 def test_language_model_counts(spark):
     rng = random.Random(9)
     rows = [(i, prose(rng, rng.choice([0, 1, 5, 60]), "bcd")) for i in range(80)] + [(90, None), (None, "ba da"), (91, "Ba\tDA\x0bcI"), (91, "Ba\tDA\x0bcI"), (92, prose(rng, 30_000, "bcd"))]
