@@ -59,6 +59,11 @@ def word_features(word: str, bits: int) -> set[int]:
     return {xxh3_64_intdigest(k.encode()) >> 64 - bits for k in keys}
 
 
+def active_features(word: str, weights: dict[int, float], bits: int) -> tuple[int, ...]:
+    """Those of ``word_features`` with a weight; most words have none, and these share one empty tuple."""
+    return tuple(x for x in word_features(word, bits) if x in weights)
+
+
 def features(found: set[str], bits: int) -> np.ndarray:
     return np.array(sorted(set().union(*(word_features(w, bits) for w in found))) if found else [], np.int64)
 
@@ -142,7 +147,7 @@ def score(docs: DataFrame, labels: DataFrame, per_label: int = PER_LABEL, bits:
         bias = 30.0
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        active: dict[str, frozenset[int]] = {}
+        active: dict[str, tuple[int, ...]] = {}
         for b in batches:
             out = []
             for text in b.column("text").to_pylist():
@@ -151,9 +156,9 @@ def score(docs: DataFrame, labels: DataFrame, per_label: int = PER_LABEL, bits:
                     if (f := active.get(w)) is None:
                         if len(active) >= 300_000:
                             active.clear()
-                        f = active[w] = frozenset(x for x in word_features(w, bits) if x in weights)
+                        f = active[w] = active_features(w, weights, bits)
                     if f:
-                        hit |= f
+                        hit.update(f)
                 z = bias + sum(weights[f] for f in sorted(hit))
                 out.append(1 / (1 + math.exp(-max(-30.0, min(30.0, z)))))
             scores = np.array(out, float)

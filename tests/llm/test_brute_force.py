@@ -396,3 +396,9 @@ def test_scratch_goes_when_an_operator_ends(spark, tmp_path, operator):
     assert run().count() >= 20
     left = set(Path(root).iterdir()) - before
     assert len(left) == 1 and "scratch" not in next(iter(left)).name
+
+
+def test_words_without_weight_cost_a_scoring_task_no_set_each():
+    weights = dict.fromkeys(toxicity.word_features("awful", 20), 1.0)
+    assert set(toxicity.active_features("awful", weights, 20)) == set(weights)
+    assert toxicity.active_features("river", weights, 20) is toxicity.active_features("stone", weights, 20) == ()
